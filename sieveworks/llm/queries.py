@@ -1,7 +1,19 @@
 """The operators' queries over the fixture tables, and SQL where it can express them."""
 
-from . import decontam, quality, token_counts, toxicity
+from . import bpe, decontam, html_render, line_dedup, quality, token_counts, toxicity, warc
 
-QUERIES = {f.__name__: f for f in (quality.op3_compression_quality, decontam.op5_spaced_seeds, token_counts.op6_trie_token_counts, toxicity.op8_toxicity_cnn)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        html_render.op2_html_layout,
+        quality.op3_compression_quality,
+        decontam.op5_spaced_seeds,
+        token_counts.op6_trie_token_counts,
+        warc.op7_warc_chunks,
+        toxicity.op8_toxicity_cnn,
+        bpe.op9_byte_bpe,
+        line_dedup.op10_line_winnow,
+    )
+}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op7_warc_chunks": warc.OP7_SQL}
