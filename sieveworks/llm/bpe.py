@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import json
 import re
 from collections.abc import Iterator
 
@@ -78,50 +79,57 @@ def latin(raw: bytes) -> str:
 ID_BITS, PLACE_BITS = 17, 16
 NONE = 1 << ID_BITS
 
-#: Two factors for each of the two hash functions of the rank map.
-_FACTORS = ((982_451_653, 32_452_843), (179_424_673, 817_504_243))
-
-
-def _slot(a, b, which: int, bits: int):
-    """The slot of a pair of ids in one half of the rank map; for numbers and for columns alike."""
-    x, y = _FACTORS[which]
-    mixed = a * x + b * y
-    return (F.shiftright(mixed, 9) if isinstance(mixed, Column) else mixed >> 9) % ((1 << bits) - 1)
-
 
 class RankMap:
-    """The rank of every pair of tokens that concatenates to a token, as two literal arrays in which a pair has one possible place each (cuckoo hashing): a literal map would be searched from its front."""
+    """The rank of every pair of tokens that concatenates to a token, as literal arrays.
+
+    A literal map would be searched from its front, so the pairs' sparse matrix
+    is stored with displaced rows: the pair (a, b) can only stand at place
+    shift[a] + b, and an entry holds its row's a above the rank.  An entry of
+    another row, or none, therefore yields a number of NONE or more.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
-        pairs = [(ranks[t[:k]], ranks[t[k:]], r) for t, r in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
-        self.bits = max(4, (3 * len(pairs)).bit_length() - 1)
-        while (halves := self._dealt(pairs)) is None:
-            self.bits += 1
-        self.halves = [F.from_json(F.lit("[" + ",".join(map(str, h)) + "]"), "array<bigint>") for h in halves]
-        self.bytes = F.lit([ranks.get(bytes([i]), 0) for i in range(256)])
-
-    def _dealt(self, pairs: list[tuple[int, int, int]]) -> list[list[int]] | None:
-        halves: list[list] = [[None] * (1 << self.bits) for _ in range(2)]
-        for entry in pairs:
-            which = 0
-            for _ in range(500):
-                at = _slot(entry[0], entry[1], which, self.bits)
-                entry, halves[which][at] = halves[which][at], entry
-                if entry is None:
+        rows: dict[int, list[tuple[int, int]]] = {}
+        for token, rank in ranks.items():
+            for k in range(1, len(token)):
+                a, b = ranks.get(token[:k]), ranks.get(token[k:])
+                if a is not None and b is not None:
+                    rows.setdefault(a, []).append((b, rank))
+        size = max(ranks.values(), default=0) + 1
+        if size > NONE - 2:
+            raise ValueError(f"the fold holds ids below {NONE - 2}")
+        self.edge = size  # an id without any pair, at both ends of a word
+        taken = np.zeros(4 * (size + sum(map(len, rows.values()))), bool)
+        shift, entries, free, last = np.full(size + 1, len(taken), np.int64), {}, 0, 0
+        for a, row in sorted(rows.items(), key=lambda x: (-len(x[1]), x[0])):
+            columns = np.array(sorted(b for b, _ in row))
+            while taken[free]:
+                free += 1
+            at, wide = (max(free, last) if len(row) > 2 else free) - int(columns[0]), 256  # small rows fill the gaps that large ones leave
+            while True:
+                clear = np.arange(at, at + wide)
+                for c in columns:
+                    clear = clear[~taken[clear + c]]
+                if len(clear):
                     break
-                which = 1 - which
-            else:
-                return None
-        return [[0 if e is None else (e[0] << ID_BITS | e[1]) << ID_BITS | e[2] for e in h] for h in halves]
+                at += wide
+            shift[a] = clear[0]
+            last = int(clear[0] + columns[0])
+            taken[shift[a] + columns] = True
+            entries.update({int(shift[a]) + b: a << ID_BITS | rank for b, rank in row})
+        self.values = [entries.get(i) for i in range(max(entries, default=0) + 1)]
+        self.shift = np.where(shift < len(taken), shift, len(self.values) + 1).tolist()
+        self.bytes = [ranks.get(bytes([i]), 0) for i in range(256)]
 
-    def rank(self, a: Column, b: Column) -> Column:
-        """The rank of the pair of ids, or NONE; null ids have none."""
-        key = F.shiftleft(a, ID_BITS).bitwiseOR(b)
+    def literal(self) -> Column:
+        """The map as one literal: entries e, shifts s and the ids b of single bytes."""
+        return F.from_json(F.lit(json.dumps({"e": self.values, "s": self.shift, "b": self.bytes}, separators=(",", ":"))), "e array<bigint>, s array<int>, b array<bigint>")
 
-        def at(which: int, otherwise: Column) -> Column:
-            return let(F.get(self.halves[which], _slot(a, b, which, self.bits).cast("int")), lambda e: F.when(F.shiftright(e, ID_BITS) == key, e.bitwiseAND(NONE - 1)).otherwise(otherwise))
 
-        return F.coalesce(at(0, at(1, F.lit(NONE).cast("long"))), F.lit(NONE).cast("long"))
+def pair_rank(table: Column, a: Column, b: Column) -> Column:
+    """The rank of a pair of ids, or NONE."""
+    return F.least(F.lit(NONE).cast("long"), F.get(table.e, F.get(table.s, a) + b).bitwiseXOR(F.shiftleft(a, ID_BITS)))
 
 
 def let(value: Column, body) -> Column:
@@ -129,15 +137,17 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def merged(word: Column, table: RankMap) -> Column:
+def merged(word: Column, ranks: RankMap) -> Column:
     """The token ids of a word given as latin characters: the pair of the lowest rank, the first of equals, is merged until none has a rank.
 
-    The fold's state is one array of packed parts, whose minimum is the pair to
-    merge; a merge replaces two parts and looks up the two ranks that it changes.
+    The fold's state is one array of packed parts between two edges.  Its
+    minimum is the pair to merge; a merge replaces two parts and looks up the
+    two ranks that it changes.  The literal rank map is bound once, so that it
+    stands in the plan once.
     """
     n = F.length(word)
     low_bits = ID_BITS + PLACE_BITS
-    empty = F.array().cast("array<bigint>")
+    edge = F.array(F.lit(NONE << low_bits | ranks.edge).cast("long"))
 
     def ident(part: Column) -> Column:
         return part.bitwiseAND(NONE - 1)
@@ -145,24 +155,30 @@ def merged(word: Column, table: RankMap) -> Column:
     def packed(rank: Column, rest: Column) -> Column:
         return F.shiftleft(rank, low_bits).bitwiseOR(rest)
 
-    ids = F.transform(F.sequence(F.lit(1), n), lambda i: F.get(table.bytes, F.ascii(F.substring(word, i, F.lit(1)))).cast("long"))
-    parts = let(ids, lambda x: F.transform(x, lambda v, i: packed(table.rank(v, F.get(x, i + 1)), F.shiftleft(i.cast("long"), ID_BITS).bitwiseOR(v))))
+    def fold(table: Column) -> Column:
+        ids = F.transform(F.sequence(F.lit(1), n), lambda i: F.get(table.b, F.ascii(F.substring(word, i, F.lit(1)))))
+        parts = let(ids, lambda x: F.transform(x, lambda v, i: packed(pair_rank(table, v, F.get(x, i + 1)), F.shiftleft(i.cast("long"), ID_BITS).bitwiseOR(v))))
+
+        def merge(s: Column, low: Column) -> Column:
+            new = F.shiftright(low, low_bits)
+
+            def placed(at: Column) -> Column:  # the two parts are at and at + 1, from 1; the first of all is an edge
+                left = F.get(s, at - 2)
+                before = packed(pair_rank(table, ident(left), new), left.bitwiseAND((1 << low_bits) - 1))
+                own = packed(pair_rank(table, new, ident(F.get(s, at + 1))), low.bitwiseAND(((1 << PLACE_BITS) - 1) << ID_BITS).bitwiseOR(new))
+                return F.concat(F.slice(s, F.lit(1), at - 2), F.array(before, own), F.slice(s, at + 2, n + 2))
 
-    def merge(s: Column, low: Column) -> Column:
-        new = F.shiftright(low, low_bits)
+            return let(F.array_position(s, low).cast("int"), placed)
 
-        def placed(at: Column) -> Column:  # the two parts are at and at + 1, from 1
-            before = F.when(at > 1, let(F.get(s, at - 2), lambda v: F.array(packed(table.rank(ident(v), new), v.bitwiseAND((1 << low_bits) - 1))))).otherwise(empty)
-            own = packed(table.rank(new, ident(F.get(s, at + 1))), low.bitwiseAND(((1 << PLACE_BITS) - 1) << ID_BITS).bitwiseOR(new))
-            return F.concat(F.slice(s, F.lit(1), F.greatest(at - 2, F.lit(0))), before, F.array(own), F.slice(s, at + 2, n))
+        def step(s: Column, _: Column) -> Column:
+            return let(F.array_min(s), lambda low: F.when(low < F.lit(NONE << low_bits), merge(s, low)).otherwise(s))
 
-        return let(F.array_position(s, low).cast("int"), placed)
+        def found(s: Column) -> Column:
+            return F.transform(F.slice(s, F.lit(2), F.size(s) - 2), lambda v: ident(v).cast("int"))
 
-    def step(s: Column, _: Column) -> Column:
-        return let(F.array_min(s), lambda low: F.when(low < F.lit(NONE << low_bits), merge(s, low)).otherwise(s))
+        return F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), F.concat(edge, parts, edge), step, found)
 
-    folded = F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), parts, step)
-    return F.when(n == 0, empty.cast("array<int>")).otherwise(F.transform(folded, lambda v: ident(v).cast("int")))
+    return F.when(n == 0, F.array().cast("array<int>")).otherwise(let(ranks.literal(), fold))
 
 
 def heap_merged(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
