@@ -1,12 +1,13 @@
 """The operators' queries over the fixture tables, and SQL where it can express them."""
 
-from . import bpe, decontam, html_render, line_dedup, quality, token_counts, toxicity, warc
+from . import bpe, decontam, html_render, line_dedup, ngram_join, quality, token_counts, toxicity, warc
 
 QUERIES = {
     f.__name__: f
     for f in (
         html_render.op2_html_layout,
         quality.op3_compression_quality,
+        ngram_join.op4_ngram_jaccard,
         decontam.op5_spaced_seeds,
         token_counts.op6_trie_token_counts,
         warc.op7_warc_chunks,
