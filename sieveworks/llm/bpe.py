@@ -6,8 +6,8 @@ import base64
 import hashlib
 import heapq
 import json
-import re
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
@@ -20,11 +20,12 @@ from .common import read_table, shared_path
 #: Longer words are merged with a heap: the fold's work grows with the square of a word's bytes.
 FOLD_BYTES = 48
 
-#: Distinct pieces of text whose words, and whose tokens, a Python worker keeps.
-CACHE_PIECES = 500_000
+#: Distinct pieces of text that a Python worker remembers at once.
+CACHE_PIECES = 400_000
 
-#: A space next to other white space or at an end: such texts are split by the pattern as a whole.
-_UNEVEN = re.compile(r"\s | \s|\A | \Z")
+#: White space but for the space itself, as str.isspace() has it.
+_OTHER_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace() and c != 32]
+_ASCII_SPACE = [c for c in _OTHER_SPACE if c.isascii()]
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -32,38 +33,23 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
-def _pattern(pattern: str):
+def splitter(pattern: str):
+    """A function from text to its words, the matches of the pattern."""
     import regex
 
-    return regex.compile(pattern)
+    return regex.compile(pattern).findall
 
 
-class Splitter:
-    """Texts to words, the matches of the pattern.
+def is_even(text: str) -> bool:
+    """Whether every space stands between two characters that aren't white space."""
+    if "  " in text or text[0] == " " or text[-1] == " ":
+        return False
+    return not any(c in text and (c + " " in text or " " + c in text) for c in (_ASCII_SPACE if text.isascii() else _OTHER_SPACE))
 
-    Where a single space stands between two other characters the pattern never
-    matches across its front, so the pieces between such spaces are split once
-    each and remembered.
-    """
 
-    def __init__(self, pattern: str):
-        self.find, self.known = _pattern(pattern).findall, {}
-
-    def pieces(self, text: str) -> list[str]:
-        if _UNEVEN.search(text):
-            return [text]
-        head, *rest = text.split(" ")
-        return [head, *[" " + r for r in rest]]
-
-    def words(self, piece: str) -> list[str]:
-        got = self.known.get(piece)
-        if got is None:
-            if len(self.known) >= CACHE_PIECES:
-                self.known.clear()
-            got = self.find(piece)
-            if len(piece) < 256:
-                self.known[piece] = got
-        return got
+def pieces(text: str) -> list[str]:
+    """The text cut before its spaces where it is even, since no match of the pattern reaches over such a place; else whole."""
+    return text.replace(" ", "\0 ").split("\0") if is_even(text) and "\0" not in text else [text]
 
 
 def bytes_of(word: str) -> bytes:
@@ -214,25 +200,21 @@ def heap_merged(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def _block(batch: pa.RecordBatch) -> list[tuple[str, int]]:
-    return list(zip(batch.column("file").to_pylist(), batch.column("start").to_pylist(), strict=True))
-
-
 def distinct_words(docs: DataFrame, pattern: str) -> DataFrame:
-    """(file, start, word): the distinct words of each block of the input, as latin characters."""
+    """(block, word): the distinct words of up to FOLD_BYTES bytes of each block of the input, as latin characters."""
 
     def scan(batches):
-        splitter, own, seen, held = Splitter(pattern), None, set(), set()
+        find, own, seen, held = splitter(pattern), None, set(), set()
 
         def flush():
-            words = sorted(held)
+            words = sorted(x for w in held if len(x := bytes_of(w)) <= FOLD_BYTES)
             held.clear()
             for i in range(0, len(words), 50_000):
-                part = [latin(bytes_of(w)) for w in words[i : i + 50_000]]
-                yield pa.RecordBatch.from_arrays([pa.array([own[0]] * len(part), pa.string()), pa.array([own[1]] * len(part), pa.int64()), pa.array(part, pa.string())], names=["file", "start", "word"])
+                part = list(map(latin, words[i : i + 50_000]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), own)), pa.array(part, pa.string())], names=["block", "word"])
 
         for batch in batches:
-            for block, text in zip(_block(batch), batch.column("text").to_pylist(), strict=True):
+            for block, text in zip(batch.column("block").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 if block != own:
                     if own is not None:
                         yield from flush()
@@ -240,17 +222,18 @@ def distinct_words(docs: DataFrame, pattern: str) -> DataFrame:
                     seen.clear()
                 if not text:
                     continue
-                for p in set(splitter.pieces(text)) - seen:
-                    held.update(w for w in splitter.words(p) if len(bytes_of(w)) <= FOLD_BYTES)
-                    if len(p) < 256:
-                        seen.add(p)
-                if len(seen) > 4 * CACHE_PIECES:
+                head, *rest = pieces(text)
+                held.update(find(head))
+                fresh = set(rest) - seen
+                held.update(find("".join(fresh)))
+                seen |= fresh
+                if len(seen) > 2 * CACHE_PIECES:
                     yield from flush()
                     seen.clear()
         if own is not None:
             yield from flush()
 
-    return docs.mapInArrow(scan, "file string, start long, word string")
+    return docs.mapInArrow(scan, "block long, word string")
 
 
 class Pieces:
@@ -270,13 +253,13 @@ class Encoder:
     """Texts to ids by the words of their block; words too long for the fold are merged here."""
 
     def __init__(self, pattern: str, ranks: dict[bytes, int]):
-        self.splitter, self.ranks = Splitter(pattern), ranks
+        self.find, self.ranks = splitter(pattern), ranks
         self.words: dict[str, bytes] = {}
         self.tokens: dict[str, bytes] = {}
 
     def block(self, words: Iterator[tuple[str, bytes]]) -> None:
-        self.words, self.tokens = dict(words), {}
-        self.splitter.known.clear()
+        self.words, self.tokens = {}, {}
+        self.words = dict(words)
 
     def word(self, word: str) -> bytes:
         raw = bytes_of(word)
@@ -285,9 +268,9 @@ class Encoder:
         return np.array(heap_merged(raw, self.ranks), "<u4").tobytes()
 
     def piece(self, piece: str) -> bytes:
-        got = b"".join(map(self.word, self.splitter.words(piece)))
-        if len(piece) < 256:
-            if len(self.tokens) >= 2 * CACHE_PIECES:
+        got = b"".join(map(self.word, self.find(piece)))
+        if len(piece) < 64:
+            if len(self.tokens) >= CACHE_PIECES:
                 self.tokens.clear()
             self.tokens[piece] = got
         return got
@@ -296,27 +279,22 @@ class Encoder:
         """The ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        out = []
-        for p in self.splitter.pieces(text):
-            got = self.tokens.get(p)
-            out.append(self.piece(p) if got is None else got)
-        return b"".join(out)
+        get, piece = self.tokens.get, self.piece
+        return b"".join([piece(p) if (got := get(p)) is None else got for p in pieces(text)])
 
 
-def _words_of_block(root: str, file: str, start: int) -> Iterator[tuple[str, bytes]]:
+def _words_of_block(root: str, block: int) -> Iterator[tuple[str, bytes]]:
     """The encoded words of a block, from the shared folder."""
     import pyarrow.dataset as ds
     from pyarrow import fs
 
-    filesystem, path = fs.FileSystem.from_uri(f"{root}/block={_name(file, start)}")
+    filesystem, path = fs.FileSystem.from_uri(f"{root}/block={block}")
     if filesystem.get_file_info(path).type == fs.FileType.NotFound:
         return
-    for batch in ds.dataset(path, filesystem=filesystem, format="parquet").to_batches(columns=["word", "ids"]):
-        yield from zip(batch.column("word").to_pylist(), batch.column("ids").to_pylist(), strict=True)
-
-
-def _name(file: str, start: int) -> str:
-    return hashlib.md5(f"{file}:{start}".encode()).hexdigest()
+    for batch in ds.dataset(path, filesystem=filesystem, format="parquet").to_batches(columns=["word", "ids"], batch_size=1 << 16):
+        ids = batch.column("ids")
+        raw, ends = ids.flatten().to_numpy().astype("<u4").tobytes(), np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())]) * 4
+        yield from zip(batch.column("word").to_pylist(), (raw[i:j] for i, j in pairwise(ends.tolist())), strict=True)
 
 
 def encoded(documents: DataFrame, path: str, *, pattern: str = public_tokenizers.PATTERN, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
@@ -341,17 +319,14 @@ def encoded(documents: DataFrame, path: str, *, pattern: str = public_tokenizers
         at = shared_path(spark, "texts")
         docs.write.parquet(at)
         docs = spark.read.schema(docs.schema).parquet(at)
-    docs = docs.select("*", F.input_file_name().alias("file"), F.input_file_block_start().alias("start"))
+    docs = docs.select("*", F.xxhash64(F.input_file_name(), F.input_file_block_start()).alias("block"))
 
     root = shared_path(spark, "words")
     table = RankMap(ranks)
-    found = distinct_words(docs.select("text", "file", "start"), pattern)
-    by_word = found.repartition(spark.conf.get("spark.sql.shuffle.partitions") and int(spark.conf.get("spark.sql.shuffle.partitions")), "word")
-    own = by_word.groupBy("word").agg(F.lit(1).alias("one")).select("word", merged(F.col("word"), table).alias("ids"))
-    ids = F.unhex(F.array_join(F.transform("ids", lambda i: F.concat(*(F.lpad(F.hex(F.shiftright(i, 8 * k).bitwiseAND(255)), 2, "0") for k in range(4)))), ""))
-    own = own.select("word", ids.alias("ids"))
-    name = F.md5(F.concat_ws(":", "file", F.col("start").cast("string")).cast("binary"))
-    by_word.join(own, "word").select(name.alias("block"), "word", "ids").repartition("block").write.partitionBy("block").parquet(root)
+    by_word = distinct_words(docs.select("text", "block"), pattern).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word")
+    # The block is kept on both sides of the join so that they read one exchange.
+    own = by_word.groupBy("word").agg(F.min("block").alias("least")).where("least is not null").select("word", merged(F.col("word"), table).alias("ids"))
+    by_word.join(own, "word").select("block", "word", "ids").repartition("block").write.partitionBy("block").parquet(root)
 
     held = spark.sparkContext.broadcast(ranks)  # of the size of the vocabulary
 
@@ -359,9 +334,9 @@ def encoded(documents: DataFrame, path: str, *, pattern: str = public_tokenizers
         encoder, pieces, own = Encoder(pattern, held.value), Pieces(held.value), None
         for batch in batches:
             ids, decoded = [], []
-            for block, t in zip(_block(batch), batch.column("text").to_pylist(), strict=True):
+            for block, t in zip(batch.column("block").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 if block != own:
-                    encoder.block(_words_of_block(root, *block))
+                    encoder.block(_words_of_block(root, block))
                     own = block
                 ids.append(encoder.text(t))
                 decoded.append(hashlib.sha256(pieces.decode(np.frombuffer(ids[-1], "<u4"))).hexdigest())
