@@ -1,10 +1,11 @@
 """The operators' queries over the fixture tables, and SQL where it can express them."""
 
-from . import bpe, decontam, html_render, line_dedup, ngram_join, quality, token_counts, toxicity, warc
+from . import ann, bpe, decontam, html_render, line_dedup, ngram_join, quality, token_counts, toxicity, warc
 
 QUERIES = {
     f.__name__: f
     for f in (
+        ann.op1_rp_forest,
         html_render.op2_html_layout,
         quality.op3_compression_quality,
         ngram_join.op4_ngram_jaccard,
