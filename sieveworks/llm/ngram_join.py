@@ -57,7 +57,7 @@ def histogram(s: np.ndarray) -> np.ndarray:
 
 
 def surveyed(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
-    """One pass over all texts: (doc_id, size, sig, parts) of every row, and how often the shingles of each slot occur over all sets.
+    """One pass over all texts: (doc_id, text_hash, size, sig, parts) of every row, and how often the shingles of each slot occur over all sets.
 
     Every task sums its documents up in a table of fixed size and hands it on in
     slices, which are added by slice; the table that is collected has a fixed
@@ -78,10 +78,10 @@ def surveyed(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
                 table += np.bincount(np.concatenate(slots), minlength=SLOTS)
             none = [None] * len(got)
             size, sig, parts = zip(*got, strict=True) if got else ((), (), ())
-            yield _survey([batch.column("doc_id"), size, sig, parts, none, none])
+            yield _survey([batch.column("doc_id"), batch.column("text_hash"), size, sig, parts, none, none])
         rows = table.reshape(-1, SLICE)
         for i in np.flatnonzero(rows.any(1)).tolist():
-            yield _survey([[None], [None], [None], [None], [i], [zlib.compress(np.minimum(rows[i], 2**32 - 1).astype("<u4").tobytes(), 1)]])
+            yield _survey([[None], [None], [None], [None], [None], [i], [zlib.compress(np.minimum(rows[i], 2**32 - 1).astype("<u4").tobytes(), 1)]])
 
     def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLICE, np.int64)
@@ -90,15 +90,16 @@ def surveyed(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
                 total += np.frombuffer(zlib.decompress(c), "<u4")
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([np.minimum(total, 2**32 - 1).astype("<u4").tobytes()], pa.binary())], names=["slice", "counts"])
 
-    both = stored(docs.mapInArrow(scan, "doc_id long, size int, sig long, parts binary, slice int, counts binary"), "survey")
+    hashed = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+    both = stored(hashed.mapInArrow(scan, "doc_id long, text_hash long, size int, sig long, parts binary, slice int, counts binary"), "survey")
     table = np.zeros(SLOTS, np.uint32)
     for r in both.where("slice is not null").select("slice", "counts").groupBy("slice").applyInArrow(add, "slice int, counts binary").collect():
         table[r["slice"] * SLICE : (r["slice"] + 1) * SLICE] = np.frombuffer(r["counts"], "<u4")
-    return both.where("slice is null").select("doc_id", "size", "sig", "parts"), table
+    return both.where("slice is null").select("doc_id", "text_hash", "size", "sig", "parts"), table
 
 
 def _survey(cols: list) -> pa.RecordBatch:
-    kinds = {"doc_id": pa.int64(), "size": pa.int32(), "sig": pa.int64(), "parts": pa.binary(), "slice": pa.int32(), "counts": pa.binary()}
+    kinds = {"doc_id": pa.int64(), "text_hash": pa.int64(), "size": pa.int32(), "sig": pa.int64(), "parts": pa.binary(), "slice": pa.int32(), "counts": pa.binary()}
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(cols, kinds.values(), strict=True)], names=list(kinds))
 
 
@@ -389,28 +390,9 @@ def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, n: int, perc
     return pairs.join(a, "a").join(b, "b").select("a", "b", "aset", "bset").mapInArrow(scan, "a long, b long")
 
 
-def components(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row: documents are linked when their sets' Jaccard similarity is percent / 100 or more.
-
-    Words are runs of other than ASCII white space, with A-Z lower-cased; a set
-    holds the 64-bit hashes of the distinct n-word shingles, or of the whole
-    sequence if it is shorter.  Equal sets are one node.  Shingles are ordered
-    by rarity (the count of a hash slot, then the hash), and a set's prefix, all
-    that a linked set needs to share one shingle with, is joined by shingle.
-
-    All pairs of a bucket are not made at once: first each set meets its
-    neighbours there, pairs that pass the length, positional and suffix filters
-    are verified, and links give components; then, in larger buckets, every pair
-    of different components that passes the filters is verified too.  A pair
-    left out is connected already, so the components are exact.
-
-    Null and wordless texts have empty sets, are linked with nothing and keep
-    their own id; a null id stays null and counts only if no other id is in its
-    component; rows with equal ids are separate documents; other columns are
-    ignored.
-    """
-    spark = documents.sparkSession
-    docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+def linked_sets(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of surveyed(), and (sig, component) of the sets that have a link."""
+    spark = docs.sparkSession
     members, table = surveyed(docs, n)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = prefixes(docs, table, n, percent).repartition(parts, "h", "salt").sortWithinPartitions("h", "salt", "size", "sig")
@@ -431,8 +413,35 @@ def components(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     if not more.isEmpty():
         links = stored(links.union(verified(more, docs, members, n, percent)), "links")
         labels = connected_components(links, "labels")
+    return members, labels.select(F.col("node").alias("sig"), "component")
+
 
-    own = members.where("size > 0").groupBy("sig").agg(F.min("doc_id").alias("low")).join(labels.withColumnRenamed("node", "sig"), "sig", "left")
+def _plain(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+
+
+def components(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row: documents are linked when their sets' Jaccard similarity is percent / 100 or more.
+
+    Words are runs of other than ASCII white space, with A-Z lower-cased; a set
+    holds the 64-bit hashes of the distinct n-word shingles, or of the whole
+    sequence if it is shorter.  Equal sets are one node.  Shingles are ordered
+    by rarity (the count of a hash slot, then the hash), and a set's prefix, all
+    that a linked set needs to share one shingle with, is joined by shingle.
+
+    All pairs of a bucket are not made at once: first each set meets its
+    neighbours there, pairs that pass the length, positional and suffix filters
+    are verified, and links give components; then, in larger buckets, every pair
+    of different components that passes the filters is verified too.  A pair
+    left out is connected already, so the components are exact.
+
+    Null and wordless texts have empty sets, are linked with nothing and keep
+    their own id; a null id stays null and counts only if no other id is in its
+    component; rows with equal ids are separate documents; other columns are
+    ignored.
+    """
+    members, labels = linked_sets(_plain(documents, doc_id, text), n, percent)
+    own = members.where("size > 0").groupBy("sig").agg(F.min("doc_id").alias("low")).join(labels, "sig", "left")
     own = own.withColumn("component", F.coalesce("component", "sig"))
     lowest = own.groupBy("component").agg(F.min("low").alias("component_id"))
     by_set = own.join(lowest, "component").select("sig", "component_id")
@@ -440,6 +449,24 @@ def components(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     return linked.unionByName(members.where("size = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
+def one_of_each(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
+    """The rows of documents, all columns, without those that another of their component stands for; see components().
+
+    The row with the smallest id stays (null counts as the largest), of equal
+    ids that with the smallest hash of its text, of equal texts one.  Null and
+    wordless texts all stay.
+    """
+    members, labels = linked_sets(_plain(documents, doc_id, text), n, percent)
+    place = F.struct(F.col("doc_id").isNull().alias("null"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("text_hash").alias("hash"))
+    own = members.where("size > 0").groupBy("sig").agg(F.min(place).alias("first")).join(labels, "sig", "left")
+    stays = own.groupBy(F.coalesce("component", "sig").alias("component")).agg(F.min("first").alias("first")).select("first.*")
+    names = ["__null", "__id", "__hash"]
+    placed = documents.withColumns({"__null": F.col(doc_id).isNull(), "__id": F.coalesce(F.col(doc_id).cast("long"), F.lit(0)), "__hash": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
+    wordless = ~F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    kept = placed.join(stays.toDF(*names), names, "left_semi").dropDuplicates(names)
+    return kept.select(documents.columns).unionByName(documents.where(wordless))
+
+
 def op4_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     """Every document's set size and component at five words and 0.75."""
     return components(read_table(spark, sf_dir, "documents"))
