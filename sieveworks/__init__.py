@@ -1 +1,11 @@
-"""Spark-first engine that turns semi-structured text records into a ranked, auditable report."""
+"""Spark-first engine that turns semi-structured text records into a ranked, auditable report.
+
+Functions of this package travel to the Python workers by value, so executors
+need no copy of it.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

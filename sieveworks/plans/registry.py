@@ -1,6 +1,545 @@
-QUERIES = {}
-ORACLE = {}
+"""Queries that apply the operators to the fixture tables, and the same in DuckDB SQL."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from .. import judge as J
+from ..config import LANES, Lane
+from ..functions import text as X
+from ..operators import chunks, dedupe, normalize, phrase, report, scoring, seen, status, verdicts
+from ..streaming import pool
+from ..vocab import RoleRules, SnippetRules, PhraseRules
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+
+#: White space in DuckDB's dialect, the same characters as functions.text.WS.
+WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+#: A vocabulary that the fixture texts hold.
+WORDS = PhraseRules(("in the and", "of the on", "that the"), r"\bthanedble\b|\bantion\b|\bonwh\b", r"\bonly\b|\bretion\b|\bment\b", 200)
+SNIPPET = SnippetRules(terms="thanedble|antion|queaux|ment", head=400, cap=1200)
+ROLES = RoleRules(roles=r"steel|brass\b|copper", metadata=r"(small|large|economy)\b|brand#1", urls=r"promo")
+
+RUN_DATE = "2024-01-15"
+
+
+def query(sql: str | None):
+    """Registers the function under its name, with its SQL."""
+
+    def put(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return put
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _day(c: str):
+    return F.date_format(F.to_timestamp_ltz(F.col(c).cast("timestamp")), "yyyy-MM-dd")
+
+
+def _sql_strip(x: str) -> str:
+    return f"regexp_replace(regexp_replace({x}, '\\A{WS}+', ''), '{WS}+\\z', '')"
+
+
+# --- text -----------------------------------------------------------------
+
+
+@query(r"SELECT page_id, regexp_replace(coalesce(html, ''), '<[^<]+?>', ' ', 'g') AS text FROM pages")
+def strip_tags(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", X.strip_tags("html").alias("text"))
+
+
+@query("""SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(replace(html, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&#39;', ''''), '&nbsp;', chr(160)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS text FROM pages""")
+def decode_entities(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", X.decode_common("html").alias("text"))
+
+
+@query("""SELECT page_id, replace(replace(replace(replace(regexp_replace(coalesce(html, ''), '<[^<]+?>', ' ', 'g'), '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS text FROM pages""")
+def strip_html(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", X.strip_html("html").alias("text"))
+
+
+@query(f"SELECT doc_id, trim(regexp_replace(coalesce(text, ''), '{WS}+', ' ', 'g')) AS line FROM documents")
+def one_line_text(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", X.one_line("text").alias("line"))
+
+
+@query(f"SELECT doc_id, lower(regexp_replace(coalesce(text, ''), '{WS}+', ' ', 'g')) AS line FROM documents")
+def match_text(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", X.match_text("text").alias("line"))
+
+
+@query(f"""
+WITH s AS (SELECT doc_id, {_sql_strip("coalesce(text, '')")} AS t FROM documents),
+p AS (SELECT doc_id, substring(t, 1, 400) AS head, substring(t, 401) AS tail FROM s),
+h AS (SELECT *, list_transform(list_filter(string_split(regexp_replace(tail, '([.!?\\n]){WS}+', '\\1' || chr(1), 'g'), chr(1)), lambda x: regexp_matches(x, '{SNIPPET.terms}', 'i')), lambda x: {_sql_strip("x")}) AS hits FROM p)
+SELECT doc_id, CASE WHEN tail = '' OR len(hits) = 0 THEN head ELSE substring(head || ' […] ' || array_to_string(hits, ' '), 1, 1200) END AS snippet FROM h""")
+def snippet_extract(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", X.snippet("text", SNIPPET).alias("snippet"))
+
+
+@query(f"""
+WITH t AS (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN p_brand || ': ' || p_name ELSE p_brand || ': ' END AS title FROM part),
+s AS (SELECT *, strpos(title, ': ') AS k FROM t)
+SELECT p_partkey, CASE WHEN k = 0 OR k + 2 > length(title) THEN '' ELSE {_sql_strip("substring(title, 1, k - 1)")} END AS company,
+  CASE WHEN k = 0 OR k + 2 > length(title) THEN {_sql_strip("title")} ELSE {_sql_strip("substring(title, k + 2)")} END AS role FROM s""")
+def title_partition(spark, sf_dir):
+    k = F.col("p_partkey") % 3
+    title = F.when(k == 0, F.col("p_name")).when(k == 1, F.concat("p_brand", F.lit(": "), "p_name")).otherwise(F.concat("p_brand", F.lit(": ")))
+    parts = table(spark, sf_dir, "part").select("p_partkey", X.title_parts(title).alias("t"))
+    return parts.select("p_partkey", "t.company", "t.role")
+
+
+@query(f"""
+WITH f AS (SELECT p_partkey, list_transform(string_split(p_brand || '|' || p_type || ' | ' || p_name, '|'), lambda x: {_sql_strip("x")}) AS fields FROM part),
+r AS (SELECT p_partkey, list_filter(fields[2:], lambda x: x <> '') AS c FROM f)
+SELECT p_partkey, substring(coalesce(
+  list_filter(c, lambda x: regexp_matches(x, '{ROLES.roles}', 'i') AND NOT regexp_matches(x, '^(?:{ROLES.urls})', 'i'))[1],
+  list_filter(c, lambda x: NOT regexp_matches(x, '^(?:{ROLES.metadata})', 'i') AND NOT regexp_matches(x, '^(?:{ROLES.urls})', 'i'))[1],
+  array_to_string(c, ' | ')), 1, 100) AS role FROM r""")
+def header_pick(spark, sf_dir):
+    header = F.concat("p_brand", F.lit("|"), "p_type", F.lit(" | "), "p_name")
+    return table(spark, sf_dir, "part").select("p_partkey", X.pick_role(X.header_fields(header), ROLES).alias("role"))
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
+def json_props(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k int")["k"].alias("k"))
+
+
+@query("SELECT l.doc_id, '{\"doc_id\":' || l.doc_id || ',\"quality\":' || coalesce(l.quality::VARCHAR, 'null') || ',\"headcount\":null}' AS payload FROM labels l")
+def judge_payload(spark, sf_dir):
+    rows = table(spark, sf_dir, "labels").withColumn("headcount", F.lit(None).cast("int"))
+    return rows.select("doc_id", J.payload("doc_id", "quality", "headcount").alias("payload"))
+
+
+@query("SELECT event_id, ((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01') + 5000) // 10000) / 100.0 AS elapsed_s FROM events")
+def elapsed(spark, sf_dir):
+    at = F.col("ts").cast("timestamp")
+    return table(spark, sf_dir, "events").select("event_id", X.elapsed_seconds(F.lit("2024-01-01").cast("timestamp"), at).alias("elapsed_s"))
+
+
+# --- filters --------------------------------------------------------------
+
+_TEXT = f"lower(regexp_replace(coalesce(text, ''), '{WS}+', ' ', 'g'))"
+_TIER1 = " OR ".join(f"contains(t, '{p}')" for p in WORDS.phrases)
+
+
+#: What isn't part of a word; DuckDB's own word boundary knows ASCII letters only.
+_NO_WORD = r"[^\p{L}\p{N}_]"
+
+
+def _terms(pattern: str) -> list[str]:
+    return [t.replace("\\b", "") for t in pattern.split("|")]
+
+
+def _has(pattern: str) -> str:
+    return f"regexp_matches(t, '(?:^|{_NO_WORD})(?:{'|'.join(_terms(pattern))})(?:{_NO_WORD}|$)')"
+
+
+def _spread(first: str, second: str) -> str:
+    """Terms of known length, then at most the window less that length, then a term of the other family."""
+    after = f"(?:{'|'.join(_terms(second))})(?:{_NO_WORD}|$)"
+    return "|".join(f"(?:^|{_NO_WORD}){t}(?:{_NO_WORD}|{_NO_WORD}(?s:.{{0,{WORDS.window - len(t) - 2}}}){_NO_WORD}){after}" for t in _terms(first))
+
+
+_TIER2 = f"regexp_matches(t, '{_spread(WORDS.role, WORDS.foundation)}') OR regexp_matches(t, '{_spread(WORDS.foundation, WORDS.role)}')"
+_EVALUATED = f"SELECT *, ({_TIER1}) AS tier1, ({_TIER2}) AS tier2, {_has(WORDS.role)} <> {_has(WORDS.foundation)} AS near_miss FROM (SELECT *, {_TEXT} AS t FROM documents)"
+
+
+def _evaluated(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("lane", F.when(F.col("lang") == "en", "first_tpm").otherwise("fractional"))
+    return phrase.evaluated(docs, WORDS, F.col("text"))
+
+
+@query(f"SELECT doc_id, {_TIER1} AS tier1 FROM (SELECT doc_id, {_TEXT} AS t FROM documents)")
+def phrase_tier1(spark, sf_dir):
+    return _evaluated(spark, sf_dir).select("doc_id", "tier1")
+
+
+@query(f"SELECT doc_id, tier2, near_miss FROM ({_EVALUATED})")
+def proximity_tier2(spark, sf_dir):
+    return _evaluated(spark, sf_dir).select("doc_id", "tier2", "near_miss")
+
+
+@query(f"SELECT CAST(count_if(lang <> 'en' OR tier1 OR tier2) AS BIGINT) AS passed, CAST(count_if(lang = 'en' AND NOT (tier1 OR tier2)) AS BIGINT) AS filtered, CAST(count_if(lang = 'en' AND NOT (tier1 OR tier2) AND near_miss) AS BIGINT) AS near_misses FROM ({_EVALUATED})")
+def near_miss_counts(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.lit("").alias("title"), F.col("text").alias("snippet"), F.when(F.col("lang") == "en", "first_tpm").otherwise("fractional").alias("lane"))
+    return phrase.counts(docs, WORDS)
+
+
+@query(f"SELECT doc_id, CASE WHEN lang = 'en' THEN 'first_tpm' ELSE 'fractional' END AS lane FROM ({_EVALUATED}) WHERE lang <> 'en' OR tier1 OR tier2")
+def lane_bypass(spark, sf_dir):
+    return _evaluated(spark, sf_dir).where(phrase.bypassed() | F.col("passes")).select("doc_id", "lane")
+
+
+# --- union, dedupe, seen --------------------------------------------------
+
+
+@query("""SELECT 0 AS source_rank, doc_id AS pos, 'documents' AS source, substring(text, 1, 40) AS title FROM documents
+UNION ALL SELECT 1, page_id, 'pages', url FROM pages UNION ALL SELECT 2, item_id, 'benchmark', substring(text, 1, 40) FROM benchmark""")
+def source_union(spark, sf_dir):
+    parts = (("documents", "doc_id", F.substring("text", 1, 40)), ("pages", "page_id", F.col("url")), ("benchmark", "item_id", F.substring("text", 1, 40)))
+    out = None
+    for rank, (name, pos, title) in enumerate(parts):
+        one = table(spark, sf_dir, name).select(F.lit(rank).alias("source_rank"), F.col(pos).alias("pos"), F.lit(name).alias("source"), title.alias("title"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("SELECT doc_id, lang, source FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS n FROM documents) WHERE n = 1")
+def keep_first(spark, sf_dir):
+    return dedupe.keep_first(table(spark, sf_dir, "documents"), "text", "doc_id").select("doc_id", "lang", "source")
+
+
+def _seen(spark, sf_dir):
+    """A store from the labels: every third document, on the run's date for even ones."""
+    day = F.when(F.col("doc_id") % 2 == 0, RUN_DATE).otherwise("2024-01-01")
+    return table(spark, sf_dir, "labels").where("doc_id % 3 = 0").select(F.concat(F.lit("doc/"), F.col("doc_id").cast("string")).alias("url"), day.alias("first_seen"))
+
+
+def _keyed(spark, sf_dir):
+    """Documents under keys of which some repeat, are blank or null."""
+    id_, k = F.col("doc_id"), F.col("doc_id") % 10
+    url = F.when(k == 9, F.lit("")).when(k == 8, F.lit(None)).when(k == 7, F.concat(F.lit("doc/"), F.floor(id_ / 20).cast("string"))).otherwise(F.concat(F.lit("doc/"), id_.cast("string")))
+    return table(spark, sf_dir, "documents").select(id_.alias("pos"), url.alias("url"))
+
+
+_SQL_SEEN = f"(SELECT 'doc/' || doc_id AS url, CASE WHEN doc_id % 2 = 0 THEN '{RUN_DATE}' ELSE '2024-01-01' END AS first_seen FROM labels WHERE doc_id % 3 = 0)"
+_SQL_KEYED = "(SELECT doc_id AS pos, CASE doc_id % 10 WHEN 9 THEN '' WHEN 8 THEN NULL WHEN 7 THEN 'doc/' || (doc_id // 20) ELSE 'doc/' || doc_id END AS url FROM documents)"
+_SQL_REASON = f"""(SELECT k.*, CASE WHEN coalesce(k.url, '') = '' THEN 'no_url'
+  WHEN EXISTS (SELECT 1 FROM {_SQL_SEEN} s WHERE s.url = k.url AND s.first_seen <> '{RUN_DATE}') THEN 'previously_matched'
+  WHEN k.pos > min(k.pos) OVER (PARTITION BY k.url) THEN 'in_run_dupe' ELSE 'kept' END AS reason FROM {_SQL_KEYED} k)"""
+
+
+@query(f"SELECT pos, url FROM {_SQL_KEYED} k WHERE NOT EXISTS (SELECT 1 FROM {_SQL_SEEN} s WHERE s.url = k.url AND s.first_seen <> '{RUN_DATE}')")
+def seen_anti(spark, sf_dir):
+    return dedupe.unseen(_keyed(spark, sf_dir), _seen(spark, sf_dir), RUN_DATE).select("pos", "url")
+
+
+@query(f"SELECT count(*) AS raw_count, CAST(count_if(reason = 'no_url') AS BIGINT) AS no_url, CAST(count_if(reason = 'previously_matched') AS BIGINT) AS previously_matched, CAST(count_if(reason = 'in_run_dupe') AS BIGINT) AS in_run_dupes, CAST(count_if(reason = 'kept') AS BIGINT) AS deduped_count FROM {_SQL_REASON}")
+def drop_reasons(spark, sf_dir):
+    return dedupe.drop_counts(_keyed(spark, sf_dir), _seen(spark, sf_dir), RUN_DATE)
+
+
+@query(f"SELECT pos, url FROM {_SQL_REASON} WHERE reason = 'kept'")
+def deduplicated(spark, sf_dir):
+    return dedupe.deduplicated(_keyed(spark, sf_dir), _seen(spark, sf_dir), RUN_DATE).select("pos", "url")
+
+
+@query(f"SELECT url, first_seen FROM {_SQL_SEEN} UNION ALL SELECT DISTINCT url, '{RUN_DATE}' FROM {_SQL_KEYED} k WHERE coalesce(url, '') <> '' AND url NOT IN (SELECT url FROM {_SQL_SEEN})")
+def seen_merge(spark, sf_dir):
+    return seen.merged(_seen(spark, sf_dir), _keyed(spark, sf_dir), RUN_DATE)
+
+
+# --- ids and chunks -------------------------------------------------------
+
+
+@query("SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS id FROM documents")
+def listing_ids(spark, sf_dir):
+    return chunks.dense_ids(table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"])
+
+
+def _chunked(spark, sf_dir):
+    return chunks.chunked(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("lane")), 50)
+
+
+_SQL_CHUNKED = """(WITH a AS (SELECT doc_id AS id, lang AS lane, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS lane_pos FROM documents)
+  SELECT *, lane_pos // 50 AS local_chunk, dense_rank() OVER (ORDER BY lane, lane_pos // 50) - 1 AS chunk FROM a)"""
+
+
+@query(f"SELECT id, lane, lane_pos, local_chunk, chunk FROM {_SQL_CHUNKED}")
+def chunk_assign(spark, sf_dir):
+    return _chunked(spark, sf_dir).select("id", "lane", "lane_pos", "local_chunk", "chunk")
+
+
+@query(f"SELECT chunk, lane, count(*) AS rows, count(*) FILTER (chunk % 5 = 0) AS unclassified FROM {_SQL_CHUNKED} GROUP BY chunk, lane")
+def chunk_sizes(spark, sf_dir):
+    return _chunked(spark, sf_dir).groupBy("chunk", "lane").agg(F.count("*").alias("rows"), F.count_if(F.col("chunk") % 5 == 0).alias("unclassified"))
+
+
+@query(f"SELECT count(*) AS unclassified_count FROM {_SQL_CHUNKED} WHERE chunk % 5 = 0")
+def unclassified_total(spark, sf_dir):
+    made = _chunked(spark, sf_dir)
+    return chunks.failed_total(made, made.where("chunk % 5 = 0"))
+
+
+@query(f"SELECT chunk FROM {_SQL_CHUNKED} GROUP BY chunk HAVING CAST(count_if(id % 97 = 0) AS BIGINT) = 0")
+def checkpoint_validity(spark, sf_dir):
+    made = _chunked(spark, sf_dir)
+    return chunks.valid_checkpoints(made.where("id % 97 <> 0"), made)
+
+
+# --- verdicts -------------------------------------------------------------
+
+
+def _answers(spark, sf_dir):
+    """Answers from the labels: matches have a category, and some faults are in them."""
+    labels, made = table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "id"), _chunked(spark, sf_dir)
+    rows = made.join(labels, "id").select("chunk", "id", F.when(F.col("quality") == 1, "match").otherwise("no_match").alias("verdict"), F.when(F.col("quality") == 1, "senior_tpm").alias("role_category"), F.when((F.col("quality") == 1) & (F.col("id") % 61 != 0), "labelled").alias("reason"), F.col("id").alias("resp_pos"))
+    twice = rows.where("id % 53 = 0").withColumn("resp_pos", F.col("resp_pos") + 1_000_000)
+    strange = rows.where("id % 71 = 0").select("chunk", (F.col("id") + 5_000_000).alias("id"), "verdict", "role_category", "reason", (F.col("resp_pos") + 2_000_000).alias("resp_pos"))
+    return rows.unionByName(twice).unionByName(strange), made
+
+
+_SQL_ANSWERS = f"""(WITH r AS (SELECT c.chunk, c.id, CASE WHEN quality = 1 THEN 'match' ELSE 'no_match' END AS verdict, CASE WHEN quality = 1 THEN 'senior_tpm' END AS role_category,
+    CASE WHEN quality = 1 AND c.id % 61 <> 0 THEN 'labelled' END AS reason, c.id AS resp_pos FROM {_SQL_CHUNKED} c JOIN labels l ON l.doc_id = c.id)
+  SELECT * FROM r UNION ALL SELECT chunk, id, verdict, role_category, reason, resp_pos + 1000000 FROM r WHERE id % 53 = 0
+  UNION ALL SELECT chunk, id + 5000000, verdict, role_category, reason, resp_pos + 2000000 FROM r WHERE id % 71 = 0)"""
+
+
+@query("SELECT d.doc_id AS id, l.quality, d.lang, d.source FROM documents d JOIN labels l ON l.doc_id = d.doc_id WHERE l.quality = 1")
+def verdict_join(spark, sf_dir):
+    answers = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.when(F.col("quality") == 1, "match").otherwise("no_match").alias("verdict"), F.lit("senior_tpm").alias("role_category"), F.col("quality").cast("string").alias("reason"))
+    listings = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.lit("u").alias("url"), "lang", "source")
+    return verdicts.matched(answers, listings).select("id", F.col("reason").cast("int").alias("quality"), "listing.lang", "listing.source")
+
+
+@query(f"""SELECT 'missing' AS kind, c.chunk, c.id FROM {_SQL_CHUNKED} c WHERE c.id NOT IN (SELECT id FROM {_SQL_ANSWERS})
+UNION ALL SELECT 'foreign', a.chunk, a.id FROM {_SQL_ANSWERS} a WHERE NOT EXISTS (SELECT 1 FROM {_SQL_CHUNKED} c WHERE c.id = a.id AND c.chunk = a.chunk)
+UNION ALL SELECT 'duplicate', chunk, id FROM {_SQL_ANSWERS} GROUP BY chunk, id HAVING count(*) > 1""")
+def verdict_gaps(spark, sf_dir):
+    answers, made = _answers(spark, sf_dir)
+    kinds = (("missing", verdicts.missing(answers, made)), ("foreign", verdicts.foreign(answers, made)), ("duplicate", verdicts.duplicates(answers)))
+    out = None
+    for kind, df in kinds:
+        one = df.select(F.lit(kind).alias("kind"), "chunk", "id")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query(f"""WITH e AS (SELECT chunk, id FROM {_SQL_CHUNKED} WHERE id IN (SELECT doc_id FROM labels)), a AS (SELECT *, row_number() OVER (PARTITION BY chunk, id ORDER BY resp_pos) AS n FROM {_SQL_ANSWERS}),
+w AS (SELECT a.chunk, a.resp_pos, CASE WHEN a.n > 1 THEN 'duplicate id in response: ' || a.id WHEN e.id IS NULL THEN 'id not in this chunk: ' || a.id
+  WHEN a.verdict = 'match' AND a.reason IS NULL THEN 'match verdict missing role_category/reason for id ' || a.id END AS error
+  FROM a LEFT JOIN e ON e.chunk = a.chunk AND e.id = a.id)
+SELECT chunk, arg_min(error, resp_pos) AS error FROM w WHERE error IS NOT NULL GROUP BY chunk""")
+def verdict_first_error(spark, sf_dir):
+    answers, made = _answers(spark, sf_dir)
+    expected = made.join(table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id")), "id", "left_semi")
+    return verdicts.first_errors(answers, expected)
+
+
+# --- scores ---------------------------------------------------------------
+
+
+def _scores(spark, sf_dir):
+    """Orders as scores of their customers: the last order counts."""
+    return table(spark, sf_dir, "orders").select(F.concat(F.lit("c/"), F.col("o_custkey").cast("string")).alias("url"), (F.col("o_orderkey") % 101).cast("int").alias("fit_score"), F.col("o_orderpriority").alias("rationale"), F.col("o_orderkey").alias("resp_pos"))
+
+
+def _customers(spark, sf_dir):
+    return table(spark, sf_dir, "customer").select(F.concat(F.lit("c/"), F.col("c_custkey").cast("string")).alias("url"), F.col("c_custkey").alias("pos"), F.col("c_name").alias("title"))
+
+
+@query("""WITH s AS (SELECT o_custkey, arg_max(o_orderkey % 101, o_orderkey) AS fit_score, arg_max(o_orderpriority, o_orderkey) AS rationale FROM orders GROUP BY o_custkey)
+SELECT 'c/' || c_custkey AS url, CAST(fit_score AS INTEGER) AS fit_score, rationale FROM customer JOIN s ON o_custkey = c_custkey""")
+def score_join_last_wins(spark, sf_dir):
+    return scoring.scored(_customers(spark, sf_dir), _scores(spark, sf_dir)).select("url", "fit_score", "rationale")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 101 >= 35 THEN 'published' ELSE 'rejected' END AS status FROM orders")
+def score_floor_split(spark, sf_dir):
+    return table(spark, sf_dir, "orders").withColumn("fit_score", F.col("o_orderkey") % 101).select("o_orderkey", scoring.status().alias("status"))
+
+
+@query("SELECT CAST(count_if(o_orderkey % 101 >= 35) AS BIGINT) AS matches, CAST(count_if(o_orderkey % 101 < 35) AS BIGINT) AS rejected FROM orders")
+def score_counts(spark, sf_dir):
+    return scoring.floor_counts(_scores(spark, sf_dir))
+
+
+@query("SELECT o_orderkey, o_orderstatus, CAST(row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey % 101 DESC, o_orderkey) AS INTEGER) AS rank FROM orders")
+def rank_stable(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").withColumn("fit_score", F.col("o_orderkey") % 101)
+    return scoring.ranked(rows, ["o_orderstatus"], pos="o_orderkey").select("o_orderkey", "o_orderstatus", "rank")
+
+
+@query("SELECT count(*) AS unscored_count FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def unscored_count(spark, sf_dir):
+    return scoring.unscored_count(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
+
+
+# --- dimensions, status, report -------------------------------------------
+
+
+@query("SELECT 'lever:s' || s_suppkey AS source, s_name AS company, CAST(s_nationkey AS INTEGER) AS headcount, 'l/' || l_orderkey || '/' || l_linenumber AS url FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE s_suppkey % 4 <> 0 AND l_orderkey % 10 = 0")
+def company_jobs_flatten(spark, sf_dir):
+    jobs = table(spark, sf_dir, "lineitem").where("l_orderkey % 10 = 0").groupBy("l_suppkey").agg(F.collect_list(F.struct(F.lit("job").alias("text"), F.concat(F.lit("l/"), F.col("l_orderkey").cast("string"), F.lit("/"), F.col("l_linenumber").cast("string")).alias("hostedUrl"))).alias("jobs"))
+    company = F.struct(F.col("s_name").alias("name"), F.lit("lever").alias("ats"), F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("token"), F.col("s_nationkey").alias("headcount"))
+    results = table(spark, sf_dir, "supplier").join(jobs, F.col("s_suppkey") == F.col("l_suppkey")).select(company.alias("company"), F.col("s_suppkey").alias("pos"), F.when(F.col("s_suppkey") % 4 == 0, "failed").otherwise("success").alias("status"), "jobs")
+    return normalize.job_listings(normalize.company_jobs(results)).select("source", "company", "headcount", "url")
+
+
+@query("SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
+def dimension_lookup(spark, sf_dir):
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_name", "r_name")
+
+
+def _status_rows(spark, sf_dir):
+    """Event types as sources: those without a purchase-like value in any event failed."""
+    by = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("name")).agg(F.count("*").alias("count"))
+    return by.select("name", F.when(F.length("name") % 2 == 0, "failed").otherwise("success").alias("status"), F.lit(1).alias("attempts"), "count")
+
+
+@query("""WITH s AS (SELECT event_type AS name, count(*) AS n, CASE WHEN length(event_type) % 2 = 0 THEN 'failed' ELSE 'success' END AS status FROM events GROUP BY 1)
+SELECT CAST(sum(n) AS BIGINT) AS total, CAST(count_if(status = 'success') AS BIGINT) AS succeeded, CAST(count_if(status = 'skipped') AS BIGINT) AS skipped, CAST(count_if(status = 'failed') AS BIGINT) AS failed,
+  coalesce(string_agg(name, ',' ORDER BY name) FILTER (status = 'failed'), '') AS failed_names, count(*) > 0 AND bool_and(status = 'failed') AS total_failure FROM s""")
+def source_status_rollup(spark, sf_dir):
+    return status.totals(_status_rows(spark, sf_dir)).withColumn("failed_names", F.array_join("failed_names", ","))
+
+
+@query("""WITH s AS (SELECT event_type AS name, count(*) AS n FROM events GROUP BY 1)
+SELECT '7 matches from ' || (SELECT count(*) FROM documents) || ' candidates (2 rejected on scoring) (50 listings unclassified, 1 chunks failed)' || chr(10) || 'sources: ' || string_agg(name || ' ' || n, ', ' ORDER BY name) AS message FROM s""")
+def heartbeat_text(spark, sf_dir):
+    summary = table(spark, sf_dir, "documents").agg(F.lit(7).alias("matches"), F.count("*").alias("candidates"), F.lit(2).alias("rejected"), F.lit(50).alias("unclassified"), F.lit(1).alias("failed_chunks"))
+    return report.heartbeat(_status_rows(spark, sf_dir), summary)
+
+
+@query("SELECT conv_id, arg_min(role, turn) AS role, arg_min(text, turn) AS text FROM conversations GROUP BY conv_id")
+def latest_first_hit(spark, sf_dir):
+    first = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.min_by(F.struct("role", "text"), "turn").alias("t"))
+    return first.select("conv_id", "t.role", "t.text")
+
+
+#: The fixture's lanes: languages as categories.
+FIXTURE_LANES = {"western": Lane("western", "Western", "documents", "CRITERIA.md", {"en": "English", "fr": "French"}), "other": Lane("other", "Other", "more documents", "MORE.md", {"de": "German", "it": "Italian"})}
+
+
+def _report_rows(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return docs.join(labels, "doc_id").where("quality = 1").select(F.col("doc_id").alias("pos"), F.concat(F.lit("doc "), F.col("doc_id").cast("string")).alias("title"), F.when(F.col("doc_id") % 2 == 0, "").otherwise(F.col("lang")).alias("company"), "source", F.concat(F.lit("u/"), F.col("doc_id").cast("string")).alias("url"), F.col("lang").alias("role_category"), (F.col("n_chars") % 101).cast("int").alias("fit_score"), F.lit("labelled").alias("rationale"))
+
+
+@query(f"""WITH r AS (SELECT d.doc_id AS pos, 'doc ' || d.doc_id AS title, CASE WHEN d.doc_id % 2 = 0 THEN '' ELSE lang END AS company, source, 'u/' || d.doc_id AS url, lang, CAST(n_chars % 101 AS INTEGER) AS fit FROM documents d JOIN labels l ON l.doc_id = d.doc_id WHERE quality = 1),
+p AS (SELECT *, CASE WHEN fit < 35 THEN 4 WHEN lang IN ('en', 'fr') THEN 1 WHEN lang = 'de' THEN 2 ELSE 3 END AS section, CASE WHEN fit < 35 THEN 0 WHEN lang IN ('en', 'de') THEN 1 WHEN lang = 'fr' THEN 2 ELSE 0 END AS category FROM r),
+k AS (SELECT *, row_number() OVER (PARTITION BY section, category ORDER BY fit DESC, pos) AS rank FROM p),
+e AS (SELECT section, category, rank, unnest([0, 1, 2, 3]) AS line_ord, unnest(['- **' || title || '** — ' || CASE WHEN company = '' THEN source ELSE company END || ' (fit: ' || fit || '/100)', '  ' || url, '  labelled', '']) AS line FROM k),
+h(section, category, rank, line_ord, line) AS (VALUES
+ (0,0,0,0,'# Matches — {RUN_DATE}'),(0,0,0,1,''),(0,0,0,2,'Sources: documents; more documents. 1000 candidate listings reviewed against [`CRITERIA.md`](../CRITERIA.md) and [`MORE.md`](../MORE.md).'),(0,0,0,3,''),
+ (1,0,0,0,'## Western'),(1,0,0,1,''),(1,1,0,0,'### English'),(1,1,0,1,''),(1,2,0,0,'### French'),(1,2,0,1,''),(2,0,0,0,'## Other'),(2,0,0,1,''),(2,1,0,0,'### German'),(2,1,0,1,''),(2,2,0,0,'### Italian'),(2,2,0,1,'')),
+c(section, category) AS (VALUES (1,1),(1,2),(2,1),(2,2)),
+n AS (SELECT section, category, 0 AS rank, unnest([2, 3]) AS line_ord, unnest(['{report.EMPTY}', '']) AS line FROM c WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.section = c.section AND k.category = c.category)),
+x AS (SELECT 3 AS section, 0 AS category, 0 AS rank, unnest([0, 1]) AS line_ord, unnest(['## Uncategorized', '']) AS line WHERE EXISTS (SELECT 1 FROM k WHERE section = 3)
+ UNION ALL SELECT 4, 0, 0, unnest([0, 1, 2, 3]), unnest(['## {report.REJECTED}', '', '{report.REJECTED_NOTE.format(floor=35)}', '']) WHERE EXISTS (SELECT 1 FROM k WHERE section = 4))
+SELECT CAST(section AS INTEGER) AS section, CAST(category AS INTEGER) AS category, CAST(rank AS INTEGER) AS rank, CAST(line_ord AS INTEGER) AS line_ord, line FROM (SELECT * FROM h UNION ALL SELECT * FROM e UNION ALL SELECT * FROM n UNION ALL SELECT * FROM x)""")
+def report_lines(spark, sf_dir):
+    return report.report_lines(spark, _report_rows(spark, sf_dir), RUN_DATE, 1000, list(FIXTURE_LANES), FIXTURE_LANES)
+
+
+# --- pool -----------------------------------------------------------------
+
+
+def _events(spark, sf_dir):
+    return table(spark, sf_dir, "events").select(F.concat_ws("/", F.col("user_id").cast("string"), F.to_date("ts").cast("string")).alias("key"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("pos"), "event_type")
+
+
+def _pool(spark, sf_dir):
+    empty = _events(spark, sf_dir).limit(0).withColumns({"first_ingested": F.to_date("ts"), "consumed_by": F.lit(None).cast("string")})
+    return pool.merged(empty, _events(spark, sf_dir))
+
+
+_SQL_POOL = "(SELECT user_id || '/' || CAST(ts AS DATE) AS key, event_id AS pos, event_type, CAST(ts AS DATE) AS first_ingested FROM (SELECT *, row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id) AS n FROM events) WHERE n = 1)"
+
+
+@query(f"SELECT key, pos, event_type, CAST(first_ingested AS VARCHAR) AS first_ingested FROM {_SQL_POOL}")
+def pool_merge(spark, sf_dir):
+    return _pool(spark, sf_dir).select("key", "pos", "event_type", F.col("first_ingested").cast("string"))
+
+
+@query(f"SELECT key, pos FROM {_SQL_POOL} WHERE first_ingested > DATE '2024-01-08' AND first_ingested <= DATE '2024-01-15'")
+def digest_window(spark, sf_dir):
+    return pool.window_of(_pool(spark, sf_dir), "2024-01-08", "2024-01-15").select("key", "pos")
+
+
+@query(f"SELECT pos, url FROM {_SQL_KEYED} k WHERE NOT EXISTS (SELECT 1 FROM {_SQL_SEEN} s WHERE s.url = k.url AND NOT (s.first_seen > '2024-01-08' AND s.first_seen <= '2024-01-15'))")
+def window_unseen(spark, sf_dir):
+    return pool.unseen_in_window(_keyed(spark, sf_dir), _seen(spark, sf_dir), "2024-01-08", "2024-01-15").select("pos", "url")
+
+
+@query("SELECT count(DISTINCT CAST(ts AS DATE)) AS covered_days, 7 AS days FROM events WHERE CAST(ts AS DATE) > DATE '2024-01-25' AND CAST(ts AS DATE) <= DATE '2024-02-01'")
+def coverage_days(spark, sf_dir):
+    return pool.coverage(_events(spark, sf_dir), "2024-02-01")
+
+
+@query(f"SELECT key, CASE WHEN first_ingested > DATE '2024-01-08' AND first_ingested <= DATE '2024-01-15' THEN '{RUN_DATE}' END AS consumed_by FROM {_SQL_POOL}")
+def consume_marker(spark, sf_dir):
+    held = _pool(spark, sf_dir)
+    return pool.consumed(held, pool.window_of(held, "2024-01-08", "2024-01-15"), RUN_DATE).select("key", "consumed_by")
+
+
+@query(ORACLE["pool_merge"])
+def stream_pool(spark, sf_dir):
+    """The same merge from a file stream, in versions of a table in the shared folder."""
+    import uuid
+
+    from ..runstate import shared_root
+
+    root = f"{shared_root(spark).rstrip('/')}/pool-{uuid.uuid4().hex}"
+    kind = table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(kind).parquet(f"{sf_dir}/events*.parquet")
+    stream = stream.select(F.concat_ws("/", F.col("user_id").cast("string"), F.to_date("ts").cast("string")).alias("key"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("pos"), "event_type")
+    held = {"at": _pool(spark, sf_dir).limit(0)}
+
+    def put(df, number):
+        df.write.mode("overwrite").parquet(f"{root}/v{number}")
+        held["at"] = spark.read.schema(df.schema).parquet(f"{root}/v{number}")
+
+    pool.stream_into(stream, lambda: held["at"], put, f"{root}/state").awaitTermination()
+    return held["at"].select("key", "pos", "event_type", F.col("first_ingested").cast("string"))
+
+
+# --- the whole ------------------------------------------------------------
 
 
 def flagship(spark, sf_dir):
-    raise NotImplementedError
+    """Documents and pages as listings, filtered, deduplicated, judged by the labels, scored, split and ranked."""
+    docs = table(spark, sf_dir, "documents").select(F.lit(0).alias("rank_"), F.col("doc_id").alias("pos"), F.concat(F.lit("doc/"), F.col("doc_id").cast("string")).alias("url"), F.col("text").alias("body"), F.col("lang"), F.md5("text").alias("same"))
+    pages = table(spark, sf_dir, "pages").select(F.lit(1).alias("rank_"), F.col("page_id").alias("pos"), "url", X.decode_common(X.strip_tags("html")).alias("body"), F.lit("page").alias("lang"), F.md5("html").alias("same"))
+    rows = docs.unionByName(pages).withColumn("pos", F.col("rank_") * (1 << 40) + F.col("pos"))
+    rows = phrase.evaluated(rows, WORDS, F.col("body")).where(F.col("passes") | (F.col("lang") != "en"))
+    first = dedupe.keep_first(rows.select("pos", "url", "lang", "same"), "same", "pos")
+    kept = dedupe.unseen(first, _seen(spark, sf_dir), RUN_DATE)
+    answers = table(spark, sf_dir, "labels").where("quality = 1").select(F.col("doc_id").alias("pos"), ((F.col("doc_id") * 37) % 101).cast("int").alias("fit_score"))
+    scored = kept.join(answers, "pos").where("fit_score >= 35")
+    return scoring.ranked(scored, ["lang"]).select("url", "lang", "fit_score", "rank")
+
+
+@query(f"""WITH a AS (SELECT doc_id AS pos, 'doc/' || doc_id AS url, lang, md5(text) AS same, tier1 OR tier2 AS passes FROM ({_EVALUATED})),
+f AS (SELECT *, row_number() OVER (PARTITION BY same ORDER BY pos) AS n FROM a WHERE passes OR lang <> 'en'),
+k AS (SELECT * FROM f WHERE n = 1 AND url NOT IN (SELECT url FROM {_SQL_SEEN} WHERE first_seen <> '{RUN_DATE}')),
+s AS (SELECT k.*, CAST((doc_id * 37) % 101 AS INTEGER) AS fit_score FROM k JOIN labels l ON l.doc_id = k.pos WHERE quality = 1)
+SELECT url, lang, fit_score, CAST(row_number() OVER (PARTITION BY lang ORDER BY fit_score DESC, pos) AS INTEGER) AS rank FROM s WHERE fit_score >= 35""")
+def ranked_pipeline(spark, sf_dir):
+    return flagship(spark, sf_dir)
+
+
+@query(f"""WITH c AS {_SQL_CHUNKED}, bad AS (SELECT DISTINCT chunk FROM c WHERE id NOT IN (SELECT doc_id FROM labels) AND chunk % 7 = 0)
+SELECT c.id, c.chunk, c.lane FROM c JOIN labels l ON l.doc_id = c.id WHERE quality = 1 AND c.chunk NOT IN (SELECT chunk FROM bad)""")
+def judged_pipeline(spark, sf_dir):
+    """A table as the judge; every seventh chunk must be answered in full."""
+    made = _chunked(spark, sf_dir)
+    answers = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.when(F.col("quality") == 1, "match").otherwise("no_match").alias("verdict"), F.when(F.col("quality") == 1, "senior_tpm").alias("role_category"), F.when(F.col("quality") == 1, "labelled").alias("reason"))
+    given = J.table_judged(made, answers)
+    expected = made.where("chunk % 7 = 0").select("chunk", "id").unionByName(given.where("chunk % 7 <> 0").select("chunk", "id"))
+    good = verdicts.accepted(given, expected)
+    return good.where("verdict = 'match'").join(made.select("id", "lane"), "id").select("id", "chunk", "lane")
+
+
+@query(f"SELECT c.id, c.chunk, CASE WHEN d.text ILIKE '%thanedble%' THEN 'match' ELSE 'no_match' END AS verdict FROM {_SQL_CHUNKED} c JOIN documents d ON d.doc_id = c.id")
+def judge_calls(spark, sf_dir):
+    """The rule-based judge, one call for each chunk."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.lit("u").alias("url"), F.lit("").alias("title"), F.lit("").alias("company"), "source", F.lit("").alias("posted_date"), F.array().cast("array<string>").alias("tags"), F.col("text").alias("snippet"))
+    made = _chunked(spark, sf_dir).select("id", "lane", "chunk").join(docs, "id")
+    rules = J.RuleJudge({lane: [("senior_tpm", "thanedble")] for lane in ("en", "fr", "de", "es")})
+    return J.judged(made, rules, attempts=1).select("id", "chunk", "verdict")
