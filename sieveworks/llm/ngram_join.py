@@ -10,10 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, connected_components, mixed, read_table, stored, windowed
+from .common import WordHashes, connected_components, handed_out, mixed, read_table, stored, taken_in, windowed
 
 #: Slots of the table of shingle frequencies; 4 bytes each are broadcast, at any size of the input.
-SLOTS = 1 << 20
+SLOTS = 1 << 22
 
 #: Slots in a row of that table as it is summed up.
 SLICE = 1 << 12
@@ -21,8 +21,14 @@ SLICE = 1 << 12
 #: Occurrences in a slot from which its shingles' buckets are dealt out, or eight times the mean.
 BUSY = 20_000
 
-#: Hash ranges of the suffix filter, rows of a bucket that meet in one block, and bits of a Bloom filter at most.
-PARTS, BUCKET_ROWS, BLOOM_BITS = 64, 20_000, 1 << 26
+#: Salts of a shingle at most, and bits of a size or a place where they are packed.
+SALTS, FIELD = 128, 28
+
+#: Bits of the suffix filter's hash ranges, and a count in one that may be more.
+MIN_BITS, MAX_BITS, OPEN = 6, 14, 65_535
+
+#: Sets and shingles of a family that meet in one block, and bits of a Bloom filter at most.
+FAMILY_ROWS, FAMILY_SHINGLES, BLOOM_BITS = 2000, 1 << 20, 1 << 26
 
 
 def shingles(hashes: WordHashes, text: str | None, n: int) -> np.ndarray:
@@ -51,9 +57,47 @@ def _slots(s: np.ndarray) -> np.ndarray:
     return (s & np.uint64(SLOTS - 1)).astype(np.int64)
 
 
-def histogram(s: np.ndarray) -> np.ndarray:
-    """How many shingles fall in each of PARTS ranges of the hash."""
-    return np.bincount((s >> np.uint64(64 - PARTS.bit_length() + 1)).astype(np.int64), minlength=PARTS)
+def profile(s: np.ndarray) -> bytes:
+    """How many shingles fall in each of 2^k ranges of the hash, about as many ranges as shingles; 255 stands for more too."""
+    bits = min(MAX_BITS, max(MIN_BITS, len(s).bit_length()))
+    return np.minimum(np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+class Profiles:
+    """Profiles of several sets, folded to a common number of ranges when two are compared."""
+
+    def __init__(self, raw: list[bytes]):
+        self.raw = [np.frombuffer(b, np.uint8) for b in raw]
+        self.ranges = np.array([len(b) for b in raw], np.int64)
+        self.folded: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def at(self, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+        """The counts in that many ranges of all sets that have them, and each set's row there; OPEN for counts that may be more."""
+        if ranges not in self.folded:
+            own = np.flatnonzero(self.ranges >= ranges)
+            row = np.full(len(self.raw), -1)
+            row[own] = np.arange(len(own))
+            table = np.empty((len(own), ranges), np.uint16)
+            for k, i in enumerate(own.tolist()):
+                parts = self.raw[i].astype(np.int64)
+                parts[parts == 255] = OPEN
+                table[k] = np.minimum(parts.reshape(ranges, -1).sum(1), OPEN)
+            self.folded[ranges] = table, row
+        return self.folded[ranges]
+
+    def alike(self, x: int, others: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray:
+        """Suffix filter: which of the others can share with x what the threshold asks for; the sets' rests, parted by hash ranges, share the smaller count of each range at most."""
+        keep = np.zeros(len(others), bool)
+        for ranges in np.unique(self.ranges[others]).tolist():
+            at = np.flatnonzero(self.ranges[others] == ranges)
+            fine = min(ranges, int(self.ranges[x]))
+            for width in (fine >> 3, fine) if fine >= 512 else (fine,):  # most fail in few ranges
+                table, row = self.at(width)
+                low = np.minimum(table[row[others[at]]], table[row[x]])
+                need = -(-percent * (size[others[at]] + size[x]) // (100 + percent))
+                at = at[(low.sum(1, dtype=np.int64) >= need) | (low == OPEN).any(1)]
+            keep[at] = True
+        return keep
 
 
 def surveyed(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
@@ -69,9 +113,9 @@ def surveyed(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
         for batch in batches:
             got, slots = [], []
             for s, g in _sets(batch, hashes, n):
-                got.append((len(s), g, np.minimum(histogram(s), 65535).astype("<u2").tobytes() if len(s) else b""))
+                got.append((len(s), g, profile(s) if len(s) else b""))
                 slots.append(_slots(s))
-                if len(slots) >= 512:
+                if len(slots) >= 2048:
                     table += np.bincount(np.concatenate(slots), minlength=SLOTS)
                     slots.clear()
             if slots:
@@ -109,10 +153,12 @@ def prefix_length(size: int, percent: int) -> int:
 
 
 def prefixes(docs: DataFrame, table: np.ndarray, n: int, percent: int) -> DataFrame:
-    """(h, salt, size, sig, pos): the rarest shingles of each distinct set, as many as the threshold asks for.
+    """(h, m, sig): the rarest shingles of each distinct set, as many as the threshold asks for.
 
-    Copies of a set in one task are passed over; those of other tasks give equal
-    rows.  Shingles of very busy slots are dealt out by a salt from 1 on.
+    h holds the upper 40 bits of the hash (a shared place is only a candidate),
+    m packs a salt, the set's size and the shingle's place in the prefix.  Copies
+    of a set in one task are passed over; those of other tasks give equal rows.
+    Shingles of very busy slots are dealt out by a salt from 1 on.
     """
     held = docs.sparkSession.sparkContext.broadcast(table)  # 4 * SLOTS bytes
     busy = max(BUSY, 8 * int(table.mean(dtype=np.float64)))
@@ -127,15 +173,17 @@ def prefixes(docs: DataFrame, table: np.ndarray, n: int, percent: int) -> DataFr
                 seen.add(g)
                 k, often = prefix_length(len(s), percent), counts[_slots(s)]
                 order = np.lexsort((s, often))[:k]
-                salts = (often[order] // np.uint32(busy)).astype(np.uint64)
+                salts = np.minimum(often[order] // np.uint32(busy), SALTS - 2).astype(np.uint64)
                 h = s[order]
-                salt = np.where(salts > 0, 1 + mixed(h ^ np.int64(g).astype(np.uint64)) % (salts + np.uint64(1)), 0).astype(np.int32)
-                out.append((h.view(np.int64), salt, np.full(k, len(s), np.int32), np.full(k, g, np.int64), np.arange(k, dtype=np.int32)))
-            cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.empty(0, t) for t in (np.int64, np.int32, np.int32, np.int64, np.int32)]
+                salt = np.where(salts > 0, 1 + (mixed(h ^ np.int64(g).astype(np.uint64)) % (salts + np.uint64(1))).astype(np.int64), 0)
+                out.append(((h >> np.uint64(24)).astype(np.int64), salt << 2 * FIELD | len(s) << FIELD | np.arange(k), np.full(k, g, np.int64)))
+            cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.empty(0, np.int64)] * 3
             for i in range(0, len(cols[0]), 1 << 18):
-                yield pa.RecordBatch.from_arrays([pa.array(c[i : i + (1 << 18)]) for c in cols], names=["h", "salt", "size", "sig", "pos"])
+                yield pa.RecordBatch.from_arrays([pa.array(c[i : i + (1 << 18)]) for c in cols], names=["h", "m", "sig"])
 
-    return docs.select("text").mapInArrow(scan, "h long, salt int, size int, sig long, pos int")
+    rows = docs.select("text").mapInArrow(scan, "h long, m long, sig long")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, "h", F.shiftright("m", 2 * FIELD)).sortWithinPartitions("h", F.shiftright("m", FIELD), "sig")
 
 
 def _possible(size, pos, size2, pos2, percent: int) -> np.ndarray:
@@ -145,25 +193,21 @@ def _possible(size, pos, size2, pos2, percent: int) -> np.ndarray:
     return (100 * low >= percent * high) & (1 + np.minimum(size - pos, size2 - pos2) - 1 + np.minimum(pos, pos2) >= need)
 
 
-def _alike(parts, parts2, size, size2, percent: int) -> np.ndarray:
-    """Suffix filter: the sets' rests, parted by hash ranges, can't share more than the smaller count of each range."""
-    need = -(-percent * (size + size2) // (100 + percent))
-    return np.minimum(parts, parts2).sum(-1) >= need
-
-
 def _columns(batch: pa.RecordBatch, names: list[str]) -> list[np.ndarray]:
     return [batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64, copy=False) for n in names]
 
 
 def neighbours(rows: DataFrame, percent: int) -> DataFrame:
-    """From rows sorted by (h, salt, size, sig): pairs (a, b), and the rows of large buckets (h, size, sig, pos).
+    """From the rows of prefixes(): pairs (a, b), and the rows of large buckets (h, size, sig, pos).
 
     In a bucket, the sets with one shingle and salt, every set is paired with
     the one before it and with the first, which are all pairs of up to three.
     Rows of larger buckets, and salted ones, are handed on as well.  Memory
     doesn't grow with a bucket.
     """
-    names = ["h", "salt", "size", "sig", "pos"]
+    def unpacked(batch):
+        h, m, sig = _columns(batch, ["h", "m", "sig"])
+        return h, m >> 2 * FIELD, m >> FIELD & (1 << FIELD) - 1, sig, m & (1 << FIELD) - 1
 
     def scan(batches):
         pending = [np.empty(0, np.int64)] * 5
@@ -216,69 +260,100 @@ def neighbours(rows: DataFrame, percent: int) -> DataFrame:
             return out
 
         for batch in batches:
-            yield from work([np.concatenate(c) for c in zip(pending, _columns(batch, names), strict=True)], False) or ()
+            yield from work([np.concatenate(c) for c in zip(pending, unpacked(batch), strict=True)], False) or ()
         yield from work(pending, True) or ()
 
     return rows.mapInArrow(scan, "a long, b long, h long, size int, pos int")
 
 
-def crossings(rows: DataFrame, percent: int) -> DataFrame:
-    """From rows sorted by (h, i, j): all pairs (a, b) of a bucket that lie in different components and pass the filters.
+def families(large: DataFrame) -> DataFrame:
+    """(sig, component, family): the sets of large buckets (h, sig, size, component) whose bucket holds sets of another component and of like size, and the components that such buckets connect.
 
-    Columns: h, i <= j the two blocks of the bucket that meet, block, size, sig,
-    pos, component, parts.  A block has a bounded number of rows.
+    Sets that can link differ in size by at most one band, and each stands in
+    its own band and the next.  Buckets are aggregated by component first, so a
+    hot one is small.
     """
+    band = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(4 / 3)) + 1e-9).cast("int")
+    rows = large.select("h", "sig", "component", F.explode(F.array(band, band + 1)).alias("band"))
+    held = stored(rows.select("h", "band", "component").distinct(), "buckets")
+    open_ = stored(held.groupBy("h", "band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("h", "band", "low"), "open")
+    edges = held.join(open_, ["h", "band"]).select(F.col("low").alias("a"), F.col("component").alias("b")).where("a <> b").distinct()
+    of = connected_components(edges, "families").select(F.col("node").alias("component"), F.col("component").alias("family"))
+    return rows.join(open_, ["h", "band"]).select("sig", "component").distinct().join(of, "component").select("sig", "component", "family")
 
-    def within(cols, parts):
-        i, j, block, size, sig, pos, component = cols
-        names, of, count = np.unique(component, return_inverse=True, return_counts=True)
-        if len(names) < 2:
-            return
-        minor = np.flatnonzero(of != count.argmax())
-        placed = np.full(len(sig), len(sig))
-        placed[minor] = np.arange(len(minor))
-        for k, x in enumerate(minor):
-            ok = (component != component[x]) & (placed > k) & (sig != sig[x])
-            if i[0] != j[0]:
-                ok &= block != block[x]
-            at = np.flatnonzero(ok)
-            at = at[_possible(size[at], pos[at], size[x], pos[x], percent)]
-            at = at[_alike(parts[at], parts[x], size[at], size[x], percent)] if len(at) else at
-            if len(at):
-                yield np.minimum(sig[at], sig[x]), np.maximum(sig[at], sig[x])
-
-    def scan(batches):
-        names = ["h", "i", "j", "block", "size", "sig", "pos", "component"]
-        held: list[tuple[list[np.ndarray], np.ndarray]] = []
-        key = None
-
-        def flush():
-            if held:
-                cols = [np.concatenate(c) for c in zip(*(h[0] for h in held), strict=True)]
-                for a, b in within(cols, np.concatenate([h[1] for h in held])):
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-                held.clear()
-
-        for batch in batches:
-            cols = _columns(batch, names)
-            parts = _parts(batch.column("parts"))
-            change = np.flatnonzero((np.diff(cols[0]) != 0) | (np.diff(cols[1]) != 0) | (np.diff(cols[2]) != 0)) + 1
-            edges = [0, *change.tolist(), batch.num_rows]
-            for lo, hi in zip(edges, edges[1:], strict=False):
-                if lo == hi:
-                    continue
-                own = tuple(int(c[lo]) for c in cols[:3])
-                if own != key:
-                    yield from flush()
-                    key = own
-                held.append(([c[lo:hi] for c in cols[1:]], parts[lo:hi]))
-        yield from flush()
-
-    return rows.mapInArrow(scan, "a long, b long")
 
+def crossings(members: DataFrame, percent: int) -> DataFrame:
+    """(family, i, j, a, b): the pairs of a family's sets in different components that pass the length and suffix filters.
 
-def _parts(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, PARTS).astype(np.int32)
+    members has sig, component, family, size and parts.  The sets outside a
+    family's largest component meet all of its sets, each pair once, in blocks
+    i, j of bounded rows and shingles.
+    """
+    sizes = members.groupBy("family", "component").agg(F.count("*").alias("n"), F.sum("size").alias("w"))
+    main = sizes.groupBy("family").agg(F.sum("n").alias("n"), F.sum("w").alias("w"), F.max(F.struct("n", "component", "w")).alias("top"))
+    blocks = lambda n, w: F.greatest(F.ceil(n / FAMILY_ROWS), F.ceil(w / FAMILY_SHINGLES), F.lit(1)).cast("int")
+    plan = main.select("family", F.col("top.component").alias("main"), blocks(F.col("n"), F.col("w")).alias("is"), blocks(F.col("n") - F.col("top.n"), F.col("w") - F.col("top.w")).alias("js"))
+    placed = members.join(plan, "family").withColumn("minor", F.col("component") != F.col("main"))
+    every = placed.select("family", F.pmod(F.xxhash64("sig"), F.col("is")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("js") - 1)).alias("j"), F.lit(False).alias("asks"), "sig", "component", "minor", "size", "parts")
+    asks = placed.where("minor").select("family", F.explode(F.sequence(F.lit(0), F.col("is") - 1)).alias("i"), F.pmod(F.xxhash64("sig"), F.col("js")).cast("int").alias("j"), F.lit(True).alias("asks"), "sig", "component", "minor", "size", "parts")
+
+    def meet(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches)).combine_chunks()
+        asking, minor = (table.column(c).to_numpy() for c in ("asks", "minor"))
+        sig, component, size = (table.column(c).to_numpy().astype(np.int64) for c in ("sig", "component", "size"))
+        profiles, there = Profiles(table.column("parts").to_pylist()), np.flatnonzero(~asking)
+
+        def rows(x: int, at: np.ndarray) -> pa.RecordBatch:
+            keys = [pa.array([k.as_py()] * len(at), t) for k, t in zip(key, (pa.int64(), pa.int32(), pa.int32()), strict=True)]
+            return pa.RecordBatch.from_arrays([*keys, pa.array(np.full(len(at), sig[x])), pa.array(sig[at])], names=["family", "i", "j", "a", "b"])
+
+        for x in np.flatnonzero(asking).tolist():
+            low, high = np.minimum(size[there], size[x]), np.maximum(size[there], size[x])
+            at = there[(component[there] != component[x]) & (~minor[there] | (sig[there] > sig[x])) & (100 * low >= percent * high)]
+            for lo in range(0, len(at), 512):
+                near = at[lo : lo + 512]
+                near = near[profiles.alike(x, near, size, percent)]
+                if len(near):
+                    yield rows(x, near)
+        yield rows(0, there[:0])
+
+    return every.unionByName(asks).groupBy("family", "i", "j").applyInArrow(meet, "family long, i int, j int, a long, b long")
+
+
+def verified_in_blocks(pairs: DataFrame, kin: DataFrame, docs: DataFrame, members: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (a, b) among the pairs of crossings(); a set is sent once to a block, and pairs whose components a link found there connects are passed over."""
+    keys = ["family", "i", "j"]
+    need = stored(pairs.select(*keys, F.col("a").alias("sig")).union(pairs.select(*keys, F.col("b").alias("sig"))).distinct().join(kin.select("sig", "component"), "sig"), "need")
+    sets = need.join(sets_of(docs, members, need.select("sig").distinct(), n), "sig")
+
+    def check(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+        own = dict(zip(sets.column("sig").to_pylist(), sets.column("shingles").to_pylist(), strict=True))
+        of = dict(zip(sets.column("sig").to_pylist(), sets.column("component").to_pylist(), strict=True))
+        root: dict[int, int] = {}
+
+        def find(c: int) -> int:
+            while (up := root.get(c, c)) != c:
+                root[c] = root.get(up, up)
+                c = up
+            return c
+
+        links = []
+        for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True):
+            x, y = find(of[a]), find(of[b])
+            if x != y and linked(np.frombuffer(own[a], np.uint64), np.frombuffer(own[b], np.uint64), percent):
+                root[x] = y
+                links.append((a, b))
+        return pa.table([pa.array([k[c] for k in links], pa.int64()) for c in (0, 1)], names=["a", "b"])
+
+    return pairs.groupBy(*keys).cogroup(sets.groupBy(*keys)).applyInArrow(check, "a long, b long")
+
+
+def linked(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets are similar enough, exactly."""
+    both = np.concatenate([s, t])
+    both.sort()
+    common = int(np.count_nonzero(both[1:] == both[:-1]))
+    return 100 * common >= percent * (len(both) - common)
 
 
 class Bloom:
@@ -336,10 +411,10 @@ def sets_of(docs: DataFrame, members: DataFrame, sigs: DataFrame, n: int) -> Dat
     A Bloom filter of those documents' ids spares the others; no text is shuffled.
     """
     owners = members.join(sigs, "sig").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
-    held = docs.sparkSession.sparkContext.broadcast(bloom_of(owners.select(F.coalesce("doc_id", F.lit(0)).alias("key"))))
+    held = handed_out(docs.sparkSession, bloom_of(owners.select(F.coalesce("doc_id", F.lit(0)).alias("key"))))
 
     def scan(batches):
-        hashes, bloom, seen = WordHashes(), held.value, set()
+        hashes, bloom, seen = WordHashes(), taken_in(held), set()
         for batch in batches:
             ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
             own = batch.filter(pa.array(bloom.has(ids)))
@@ -362,10 +437,10 @@ def plausible(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 
     def scan(batches):
         for batch in batches:
-            if batch.num_rows:
-                s, s2 = _columns(batch, ["asize", "bsize"])
-                keep = pa.array(_alike(_parts(batch.column("aparts")), _parts(batch.column("bparts")), s, s2, percent))
-                yield batch.select(["a", "b"]).filter(keep)
+            sizes, keep = np.stack(_columns(batch, ["asize", "bsize"]), axis=1), []
+            for two, size in zip(zip(batch.column("aparts").to_pylist(), batch.column("bparts").to_pylist(), strict=True), sizes, strict=True):
+                keep.append(bool(Profiles(list(two)).alike(0, np.array([1]), size, percent)[0]))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.select("a", "b").distinct().join(a, "a").join(b, "b").select("a", "b", "aparts", "bparts", "asize", "bsize").mapInArrow(scan, "a long, b long")
 
@@ -373,18 +448,12 @@ def plausible(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets link; each is compared once."""
     sigs = pairs.select(F.col("a").alias("sig")).union(pairs.select("b")).distinct()
-    sets = stored(sets_of(docs, members, sigs, n), "sets")
+    sets = sets_of(docs, members, sigs, n)  # both joins read one exchange
     a, b = (sets.select(F.col("sig").alias(k), F.col("shingles").alias(f"{k}set")) for k in "ab")
 
     def scan(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("aset").to_pylist(), batch.column("bset").to_pylist(), strict=True):
-                s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.concatenate([s, t])
-                both.sort()
-                common = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep.append(100 * common >= percent * (len(both) - common))
+            keep = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(batch.column("aset").to_pylist(), batch.column("bset").to_pylist(), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.join(a, "a").join(b, "b").select("a", "b", "aset", "bset").mapInArrow(scan, "a long, b long")
@@ -392,26 +461,18 @@ def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, n: int, perc
 
 def linked_sets(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The rows of surveyed(), and (sig, component) of the sets that have a link."""
-    spark = docs.sparkSession
     members, table = surveyed(docs, n)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = prefixes(docs, table, n, percent).repartition(parts, "h", "salt").sortWithinPartitions("h", "salt", "size", "sig")
-    found = stored(neighbours(rows, percent), "neighbours")
+    found = stored(neighbours(prefixes(docs, table, n, percent), percent), "neighbours")
     links = stored(verified(stored(plausible(found.where("b is not null"), members, percent), "pairs"), docs, members, n, percent), "links")
     labels = connected_components(links, "labels")
 
     large = found.where("b is null").select("h", F.col("a").alias("sig"), "size", "pos").join(labels.withColumnRenamed("node", "sig"), "sig", "left")
     large = large.withColumn("component", F.coalesce("component", "sig"))
-    open_ = large.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("rows")).where("low < high")
-    open_ = open_.select("h", F.ceil(F.col("rows") / BUCKET_ROWS).cast("int").alias("blocks"))
-    each = members.where("size > 0").groupBy("sig").agg(F.any_value("parts").alias("parts"))
-    mixed_ = large.join(open_, "h").join(each, "sig").withColumn("block", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
-    mixed_ = mixed_.select("h", "size", "sig", "pos", "component", "parts", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    mixed_ = mixed_.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other")
-    more = crossings(mixed_.repartition(parts, "h", "i", "j").sortWithinPartitions("h", "i", "j"), percent)
-    more = stored(more.distinct(), "crossings")
-    if not more.isEmpty():
-        links = stored(links.union(verified(more, docs, members, n, percent)), "links")
+    kin = stored(families(large), "kin")
+    each = members.where("size > 0").groupBy("sig").agg(F.any_value("parts").alias("parts"), F.any_value("size").alias("size"))
+    pairs = stored(crossings(kin.join(each, "sig"), percent), "crossings")
+    if not pairs.isEmpty():
+        links = stored(links.union(verified_in_blocks(pairs, kin, docs, members, n, percent)), "links")
         labels = connected_components(links, "labels")
     return members, labels.select(F.col("node").alias("sig"), "component")
 
@@ -431,9 +492,10 @@ def components(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     All pairs of a bucket are not made at once: first each set meets its
     neighbours there, pairs that pass the length, positional and suffix filters
-    are verified, and links give components; then, in larger buckets, every pair
-    of different components that passes the filters is verified too.  A pair
-    left out is connected already, so the components are exact.
+    are verified, and links give components; then every pair of different
+    components that larger buckets bring together is verified too if it passes
+    the length and suffix filters.  A pair left out is connected already, so the
+    components are exact.
 
     Null and wordless texts have empty sets, are linked with nothing and keep
     their own id; a null id stays null and counts only if no other id is in its
@@ -461,12 +523,45 @@ def one_of_each(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "te
     own = members.where("size > 0").groupBy("sig").agg(F.min(place).alias("first")).join(labels, "sig", "left")
     stays = own.groupBy(F.coalesce("component", "sig").alias("component")).agg(F.min("first").alias("first")).select("first.*")
     names = ["__null", "__id", "__hash"]
+    stays = stored(stays.toDF(*names), "stays")
+    rows = members.where("size > 0").select(place.alias("p")).select("p.*").toDF(*names).groupBy(*names).agg(F.count("*").alias("n"))
+    doubtful = rows.join(stays.withColumn("one", F.lit(True)), names, "left").where("one is null or n > 1").select(F.xxhash64(*names).alias("key"))
+    held = handed_out(documents.sparkSession, bloom_of(doubtful))
     placed = documents.withColumns({"__null": F.col(doc_id).isNull(), "__id": F.coalesce(F.col(doc_id).cast("long"), F.lit(0)), "__hash": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
-    wordless = ~F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    kept = placed.join(stays.toDF(*names), names, "left_semi").dropDuplicates(names)
-    return kept.select(documents.columns).unionByName(documents.where(wordless))
+    worded = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    placed = placed.withColumn("__key", F.when(worded, F.xxhash64(*names)))
+
+    def sift(batches, doubted):
+        bloom = taken_in(held)
+        for batch in batches:
+            key = batch.column("__key")
+            hit = bloom.has(key.fill_null(0).to_numpy(zero_copy_only=False)) & ~key.is_null().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(hit == doubted))
+
+    sure = placed.mapInArrow(lambda batches: sift(batches, False), placed.schema)
+    tested = placed.mapInArrow(lambda batches: sift(batches, True), placed.schema).join(stays, names, "left_semi").dropDuplicates(names)
+    return sure.select(documents.columns).unionByName(tested.select(documents.columns))
 
 
 def op4_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     """Every document's set size and component at five words and 0.75."""
     return components(read_table(spark, sf_dir, "documents"))
+
+
+#: Shingle sets as lists, all pairs that share a shingle, and the ids reachable over links, downwards.
+OP4_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh FROM w
+), e AS (
+  SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2 HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))
+), l AS (
+  SELECT a, b FROM p UNION ALL SELECT b, a FROM p
+), r(doc_id, c) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.doc_id WHERE r.c < l.b
+)
+SELECT s.doc_id, len(any_value(s.sh))::BIGINT AS n_shingles, min(r.c) AS component_id FROM s JOIN r ON r.doc_id = s.doc_id GROUP BY s.doc_id
+"""

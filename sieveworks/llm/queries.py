@@ -18,4 +18,4 @@ QUERIES = {
     )
 }
 
-ORACLE: dict[str, str] = {"op7_warc_chunks": warc.OP7_SQL}
+ORACLE: dict[str, str] = {"op4_ngram_jaccard": ngram_join.OP4_SQL, "op7_warc_chunks": warc.OP7_SQL}

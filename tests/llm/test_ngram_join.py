@@ -96,8 +96,7 @@ def test_filters_never_lose_a_linked_pair():
         assert len(shared)
         i, j = int(np.flatnonzero(ps == shared[0])[0]), int(np.flatnonzero(pt == shared[0])[0])
         assert N._possible(np.array([len(s)]), np.array([i]), np.array([len(t)]), np.array([j]), 75).all()
-        parts = [np.minimum(N.histogram(x), 255).astype(np.uint8) for x in (s, t)]
-        assert N._alike(parts[0][None], parts[1], np.array([len(s)]), len(t), 75).all()
+        assert N.Profiles([N.profile(s), N.profile(t)]).alike(0, np.array([1]), np.array([len(s), len(t)]), 75).all()
 
 
 def test_bloom_has_all_its_keys():
