@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import read_table, stored
+from .common import handed_out, read_table, stored, taken_in
 
 #: Trees, levels of each, and vectors (about; those with the smallest hashes) that the splits are fitted on.
 TREES, LEVELS, SAMPLE = 6, 6, 40_000
@@ -171,10 +171,11 @@ def nearest(vectors: DataFrame, *, k: int = 20, every: int = 20, vec_id: str = "
     flat = rows <= SMALL
     sample = [] if flat else [r.embedding for r in reps.where(share("rep", SAMPLE, rows)).collect()]
     forest = Forest(np.array(sample or [[0.0] * lengths[0].d], np.float64), float(longest), 0 if flat else levels, trees)
-    held = spark.sparkContext.broadcast(forest)
+    held = handed_out(spark, forest)
 
     def count(batches):
-        forest, total = held.value, np.zeros(held.value.trees * held.value.leaves, np.int64)
+        forest = taken_in(held)
+        total = np.zeros(forest.trees * forest.leaves, np.int64)
         for batch in batches:
             if batch.num_rows:
                 total += np.bincount(forest.cells(_matrix(batch.column("embedding"))).ravel(), minlength=len(total))
@@ -186,11 +187,11 @@ def nearest(vectors: DataFrame, *, k: int = 20, every: int = 20, vec_id: str = "
     queries = base.where(F.pmod("vec_id", F.lit(every)) == 0).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
     asked = queries.count()
     budget = forest.counts.sum() if flat else _budget(reps, queries.where(share("query_id", TUNE, asked)), forest, held, k, target)
-    held = spark.sparkContext.broadcast(forest)
+    held = handed_out(spark, forest)
     query_blocks = max(1, math.ceil(asked / BLOCK))
 
     def index(batches):
-        forest = held.value
+        forest = taken_in(held)
         for batch in batches:
             cells = forest.cells(_matrix(batch.column("embedding"))) if batch.num_rows else np.empty((0, 1), np.int32)
             ids = batch.column("rep").to_numpy()
@@ -201,7 +202,7 @@ def nearest(vectors: DataFrame, *, k: int = 20, every: int = 20, vec_id: str = "
                     yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(block.astype(np.int32)), pa.array(np.full(len(ids), b, np.int32)), batch.column("rep"), batch.column("embedding")], names=["cell", "v", "b", "rep", "embedding"])
 
     def probe(batches):
-        forest = held.value
+        forest = taken_in(held)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
@@ -255,13 +256,14 @@ def _budget(reps: DataFrame, queries: DataFrame, forest: Forest, held, k: int, t
     q = np.array([r.q for r in asked], np.float64)
 
     def brute(batches):
+        forest = taken_in(held)
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = _matrix(batch.column("embedding"))
             found = best(q, x, k + 1)
             at = np.concatenate([f[0] for f in found])
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(len(q), dtype=np.int32), [len(f[0]) for f in found])), batch.column("rep").take(pa.array(at)), pa.array(np.concatenate([f[1] for f in found])), pa.array(held.value.cells(x[at]).tolist(), pa.list_(pa.int32()))], names=["i", "rep", "score", "cells"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(len(q), dtype=np.int32), [len(f[0]) for f in found])), batch.column("rep").take(pa.array(at)), pa.array(np.concatenate([f[1] for f in found])), pa.array(forest.cells(x[at]).tolist(), pa.list_(pa.int32()))], names=["i", "rep", "score", "cells"])
 
     best_first = Window.partitionBy("i").orderBy(F.desc("score"), "rep")
     true = reps.mapInArrow(brute, "i int, rep long, score double, cells array<int>").withColumn("nth", F.row_number().over(best_first)).where(F.col("nth") <= k + 1)

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
 
 import numpy as np
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Distinct words whose hash or features a Python worker keeps; beyond it the cache starts anew.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 400_000
+
+#: Rows of whole texts that travel to a Python worker at once, where the session has Spark's default of 10,000.
+BATCH_ROWS = "1000"
 
 #: ASCII punctuation and control characters become spaces when words are compared.
 _BLANKED = bytes(
@@ -19,6 +24,9 @@ _BLANKED = bytes(
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A fixture table; whole texts go to the workers in batches that fit a small executor."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -46,6 +54,15 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def handed_out(spark: SparkSession, value) -> Broadcast:
+    """A broadcast of one of our own objects, classes included, so that workers need no copy of this package; see taken_in()."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def taken_in(held: Broadcast):
+    return pickle.loads(held.value)
+
+
 def plain_words(text: str | None) -> list[bytes]:
     """Lower-cased words without ASCII punctuation."""
     return text.lower().encode("utf-8", "surrogatepass").translate(_BLANKED).split() if text else []

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, plain_words, read_table, windowed
+from .common import WordHashes, handed_out, plain_words, read_table, taken_in, windowed
 
 #: Each mask hashes the positions marked 1 and ignores the others, so that a substituted word between them does no harm.
 MASKS = ("11101011", "110110011", "1010011011", "11111")
@@ -113,10 +113,10 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_i
     docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     out = None
     for index in benchmark_blocks(benchmark, item_id, item_text, min_item_tokens):
-        held = docs.sparkSession.sparkContext.broadcast(index)
+        held = handed_out(docs.sparkSession, index)
 
         def scan(batches, held=held):
-            index, hashes = held.value, WordHashes()
+            index, hashes = taken_in(held), WordHashes()
             for batch in batches:
                 rows = []
                 for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -133,10 +133,10 @@ def uncontaminated(documents: DataFrame, benchmark: DataFrame, *, text: str = "t
     """The rows of documents, all columns, that overlap with no benchmark item; see overlaps()."""
     schema, at = documents.schema, documents.columns.index(text)
     for index in benchmark_blocks(benchmark, item_id, item_text, min_item_tokens):
-        held = documents.sparkSession.sparkContext.broadcast(index)
+        held = handed_out(documents.sparkSession, index)
 
         def keep(batches, held=held):
-            index, hashes = held.value, WordHashes()
+            index, hashes = taken_in(held), WordHashes()
             for batch in batches:
                 clean = [not index.overlaps(hashes.of(plain_words(t)), min_match, min_cover) for t in batch.column(at).to_pylist()]
                 yield batch.filter(pa.array(clean, pa.bool_()))

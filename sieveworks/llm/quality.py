@@ -9,7 +9,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, labelled_sample, read_table
+from .common import crc_mod, handed_out, labelled_sample, read_table, taken_in
 
 #: Bytes of each dictionary, the compression level, and the bytes of text compressed at once, so that a dictionary counts throughout a long text.
 DICTIONARY_BYTES, LEVEL, BLOCK = 112_640, 3, 2048
@@ -108,10 +108,10 @@ def scored(documents: DataFrame, model: CompressionClassifier, *, doc_id: str =
     text on which neither dictionary saves anything; without any usable label
     every score is 0.5.  Repeated rows are scored each; a null id stays null.
     """
-    held = documents.sparkSession.sparkContext.broadcast(model)
+    held = handed_out(documents.sparkSession, model)
 
     def scan(batches):
-        model = held.value
+        model = taken_in(held)
         pair = model.compressors()
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([model.score(pair, t) for t in batch.column(1).to_pylist()], pa.float64())], names=["doc_id", "score"])
