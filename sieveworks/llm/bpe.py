@@ -5,7 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import json
+from array import array
 from collections.abc import Iterator
 from itertools import pairwise
 
@@ -76,41 +76,51 @@ class RankMap:
     """
 
     def __init__(self, ranks: dict[bytes, int]):
-        rows: dict[int, list[tuple[int, int]]] = {}
-        for token, rank in ranks.items():
-            for k in range(1, len(token)):
-                a, b = ranks.get(token[:k]), ranks.get(token[k:])
-                if a is not None and b is not None:
-                    rows.setdefault(a, []).append((b, rank))
         size = max(ranks.values(), default=0) + 1
         if size > NONE - 2:
             raise ValueError(f"the fold holds ids below {NONE - 2}")
         self.edge = size  # an id without any pair, at both ends of a word
-        taken = np.zeros(4 * (size + sum(map(len, rows.values()))), bool)
-        shift, entries, free, last = np.full(size + 1, len(taken), np.int64), {}, 0, 0
-        for a, row in sorted(rows.items(), key=lambda x: (-len(x[1]), x[0])):
-            columns = np.array(sorted(b for b, _ in row))
-            while taken[free]:
+        flat = array("q")
+        for token, rank in ranks.items():
+            for k in range(1, len(token)):
+                a, b = ranks.get(token[:k]), ranks.get(token[k:])
+                if a is not None and b is not None:
+                    flat.extend((a, b, rank))
+        pairs = np.frombuffer(flat, np.int64).reshape(-1, 3) if len(flat) else np.empty((0, 3), np.int64)
+        pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+        owners, starts, lengths = np.unique(pairs[:, 0], return_index=True, return_counts=True)
+        values = np.full(4 * (size + len(pairs)), -1, np.int64)
+        shift, free, last, end = np.full(size + 1, len(values), np.int64), 0, 0, 0
+        for k in np.lexsort((owners, -lengths)).tolist():
+            row = pairs[starts[k] : starts[k] + lengths[k]]
+            columns = row[:, 1]
+            while values[free] >= 0:
                 free += 1
             at, wide = (max(free, last) if len(row) > 2 else free) - int(columns[0]), 256  # small rows fill the gaps that large ones leave
             while True:
                 clear = np.arange(at, at + wide)
-                for c in columns:
-                    clear = clear[~taken[clear + c]]
+                for c in columns.tolist():
+                    clear = clear[values[clear + c] < 0]
                 if len(clear):
                     break
                 at += wide
-            shift[a] = clear[0]
+            shift[owners[k]] = clear[0]
             last = int(clear[0] + columns[0])
-            taken[shift[a] + columns] = True
-            entries.update({int(shift[a]) + b: a << ID_BITS | rank for b, rank in row})
-        self.values = [entries.get(i) for i in range(max(entries, default=0) + 1)]
-        self.shift = np.where(shift < len(taken), shift, len(self.values) + 1).tolist()
-        self.bytes = [ranks.get(bytes([i]), 0) for i in range(256)]
+            values[clear[0] + columns] = row[:, 0] << ID_BITS | row[:, 2]
+            end = max(end, int(clear[0] + columns[-1]) + 1)
+        single = np.array([ranks.get(bytes([i]), 0) for i in range(256)])
+        shift = np.where(shift < len(values), shift, end + 1)
+        self.json = f'{{"e":{_listed(values[:end])},"s":{_listed(shift, None)},"b":{_listed(single)}}}'
 
     def literal(self) -> Column:
         """The map as one literal: entries e, shifts s and the ids b of single bytes."""
-        return F.from_json(F.lit(json.dumps({"e": self.values, "s": self.shift, "b": self.bytes}, separators=(",", ":"))), "e array<bigint>, s array<int>, b array<bigint>")
+        return F.from_json(F.lit(self.json), "e array<bigint>, s array<int>, b array<bigint>")
+
+
+def _listed(values: np.ndarray, blank: int | None = -1) -> str:
+    """A JSON list, made in parts; blank values are nulls."""
+    parts = (",".join("null" if v == blank else str(v) for v in values[i : i + 10_000].tolist()) for i in range(0, len(values), 10_000))
+    return "[" + ",".join(parts) + "]"
 
 
 def pair_rank(table: Column, a: Column, b: Column) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import pickle
 import tempfile
 import uuid
@@ -63,6 +66,13 @@ def taken_in(held: Broadcast):
     return pickle.loads(held.value)
 
 
+def give_back() -> None:
+    """Returns the driver's freed memory to the system after a training."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def plain_words(text: str | None) -> list[bytes]:
     """Lower-cased words without ASCII punctuation."""
     return text.lower().encode("utf-8", "surrogatepass").translate(_BLANKED).split() if text else []
