@@ -17,7 +17,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated runs of lines, and n_chars to match; a document of which nothing is left goes."""
-    cut = line_dedup.deduplicated(docs)
+    cut = line_dedup.deduplicated(docs, every_run=True)
     left = cut.where((F.col("lines_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     chars = F.when(F.col("lines_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", chars).select(docs.columns)

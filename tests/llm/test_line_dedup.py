@@ -101,6 +101,46 @@ def test_equals_brute_force(spark, docs, gram_hash, seed):
         assert got[d].lines_removed == (0 if t is None else t.count("\n") - (w.count("\n") if w else -1 if got[d].lines_removed == got[d].lines_before else 0))
 
 
+def earlier_runs(rows, run_words=50):
+    """For each document the numbers of the lines in runs of run_words words that stand in any earlier document, or earlier in their own."""
+    seen, out = set(), []
+    for _, t in rows:
+        lines = (t or "").split("\n")
+        idx = [k for k, x in enumerate(lines) if x.strip(WHITE)]
+        own, gone = [lines[k].strip(WHITE) for k in idx], set()
+        for i in range(len(own)):
+            for e in range(i, len(own)):
+                if sum(len(x.split()) for x in own[i : e + 1]) >= run_words:
+                    run = tuple(own[i : e + 1])
+                    gone |= set(range(idx[i], idx[e] + 1)) if run in seen else set()
+                    seen.add(run)
+        out.append(gone)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
+def test_every_run_equals_brute_force_over_all_earlier_documents(spark, docs, seed):
+    rows = corpus(seed)
+    numbers = lambda runs: {k for r in runs for k in range(r.a, r.b + 1)}
+    found = [{r.d: numbers(r.runs) for r in L.repeated_runs(docs(rows), every_run=every).collect()} for every in (False, True)]
+    want = earlier_runs(rows)
+    assert all(found[1].get(d, set()) == found[0].get(d, set()) | w for (d, _), w in zip(rows, want, strict=True))
+    assert seed != 1 or any(w - found[0].get(d, set()) for (d, _), w in zip(rows, want, strict=True))
+    got = {r.doc_id: r.lines_removed for r in L.deduplicated(docs(rows), every_run=True).collect()}
+    assert all(got[d] == len(found[1].get(d, ())) for d, _ in rows)
+
+
+def test_query_deletes_runs_whose_fingerprint_stands_elsewhere_first(spark, tmp_path):
+    line = lambda name: " ".join(f"{name}x{j}" for j in range(30))
+    rows = []
+    for k in range(12):
+        one, two = line(f"one{k}"), line(f"two{k}")
+        rows += [(100 + k, line(f"other{k}") + "\n" + one), (200 + k, one + "\n" + two), (300 + k, one + "\n" + two)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.text for r in L.op10_line_winnow(spark, str(tmp_path)).collect()}
+    assert [got[300 + k] for k in range(12)] == [""] * 12
+
+
 def test_long_passages_are_always_found(spark, docs):
     passage = "\n".join(" ".join(f"p{k}x{j}" for j in range(13)) for k in range(4))
     df = docs([(1, "intro one\n" + passage + "\nend"), (2, "other start\n" + passage), (3, passage + "\n" + passage), (None, passage)])
