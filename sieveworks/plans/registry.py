@@ -372,11 +372,17 @@ def unscored_count(spark, sf_dir):
 # --- dimensions, status, report -------------------------------------------
 
 
+def _company_results(lineitem, supplier):
+    """Suppliers as companies, a row for each job, so that no row holds a company's whole list."""
+    job = F.struct(F.lit("job").alias("text"), F.concat(F.lit("l/"), F.col("l_orderkey").cast("string"), F.lit("/"), F.col("l_linenumber").cast("string")).alias("hostedUrl"))
+    company = F.struct(F.col("s_name").alias("name"), F.lit("lever").alias("ats"), F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("token"), F.col("s_nationkey").alias("headcount"))
+    status = F.when(F.col("s_suppkey") % 4 == 0, "failed").otherwise("success").alias("status")
+    return supplier.join(lineitem, F.col("s_suppkey") == F.col("l_suppkey")).select(company.alias("company"), F.col("s_suppkey").alias("pos"), status, F.array(job).alias("jobs"))
+
+
 @query("SELECT 'lever:s' || s_suppkey AS source, s_name AS company, CAST(s_nationkey AS INTEGER) AS headcount, 'l/' || l_orderkey || '/' || l_linenumber AS url FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE s_suppkey % 4 <> 0 AND l_orderkey % 10 = 0")
 def company_jobs_flatten(spark, sf_dir):
-    jobs = table(spark, sf_dir, "lineitem").where("l_orderkey % 10 = 0").groupBy("l_suppkey").agg(F.collect_list(F.struct(F.lit("job").alias("text"), F.concat(F.lit("l/"), F.col("l_orderkey").cast("string"), F.lit("/"), F.col("l_linenumber").cast("string")).alias("hostedUrl"))).alias("jobs"))
-    company = F.struct(F.col("s_name").alias("name"), F.lit("lever").alias("ats"), F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("token"), F.col("s_nationkey").alias("headcount"))
-    results = table(spark, sf_dir, "supplier").join(jobs, F.col("s_suppkey") == F.col("l_suppkey")).select(company.alias("company"), F.col("s_suppkey").alias("pos"), F.when(F.col("s_suppkey") % 4 == 0, "failed").otherwise("success").alias("status"), "jobs")
+    results = _company_results(table(spark, sf_dir, "lineitem").where("l_orderkey % 10 = 0"), table(spark, sf_dir, "supplier"))
     return normalize.job_listings(normalize.company_jobs(results)).select("source", "company", "headcount", "url")
 
 
