@@ -21,7 +21,7 @@ SMALL, BLOCK = 2048, 2048
 #: Queries (about) on which the search budget is set against brute force, and the recall it is set for.
 TUNE, TARGET = 200, 0.96
 
-#: Ranks by which scores from a matrix product may differ from exact sums; more are reranked.
+#: Times the rounding unit, the lengths of both vectors and the dimensions: what a score from a matrix product may differ from an exact sum by, with room to spare.
 SLACK = 8
 
 
@@ -125,16 +125,18 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.astype(np.float64).reshape(len(column), -1)
 
 
-def best(q: np.ndarray, x: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each query the places and exact inner products of the k best rows of x."""
-    out = []
+def best(q: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each query the places and exact inner products of the k best rows of x; equal ones go by their ids."""
+    out, n = [], min(k, x.shape[0])
+    unit = SLACK * np.finfo(np.float64).eps * x.shape[1] * np.sqrt((x * x).sum(1).max(initial=0.0))
     for lo in range(0, len(q), 256):
-        scores = q[lo : lo + 256] @ x.T
-        n = min(k + SLACK, x.shape[0])
-        top = np.argpartition(-scores, n - 1, axis=1)[:, :n] if n < x.shape[0] else np.broadcast_to(np.arange(n), scores.shape)
-        for i, at in enumerate(top):
-            exact = (x[at] * q[lo + i]).sum(1)
-            order = np.argsort(-exact, kind="stable")[:k]
+        part = q[lo : lo + 256]
+        scores = part @ x.T
+        least = np.partition(scores, x.shape[0] - n, axis=1)[:, x.shape[0] - n] - unit * np.sqrt((part * part).sum(1))
+        for i in range(len(part)):
+            at = np.flatnonzero(scores[i] >= least[i])
+            exact = (x[at] * part[i]).sum(1)
+            order = np.lexsort((ids[at], -exact))[:k]
             out.append((at[order], exact[order]))
     return out
 
@@ -230,7 +232,7 @@ def nearest(vectors: DataFrame, *, k: int = 20, every: int = 20, vec_id: str = "
     def meet(key: tuple, x: pa.Table, q: pa.Table) -> pa.Table:
         ids, asked, scores, names = x.column("rep").to_numpy(), [], [], []
         if x.num_rows and q.num_rows:
-            found = best(_matrix(q.column("q").combine_chunks()), _matrix(x.column("embedding").combine_chunks()), k + 1)
+            found = best(_matrix(q.column("q").combine_chunks()), _matrix(x.column("embedding").combine_chunks()), ids, k + 1)
             for query, (at, score) in zip(q.column("query_id").to_pylist(), found, strict=True):
                 asked.append(np.full(len(at), query))
                 names.append(ids[at])
@@ -261,7 +263,7 @@ def _budget(reps: DataFrame, queries: DataFrame, forest: Forest, held, k: int, t
             if not batch.num_rows:
                 continue
             x = _matrix(batch.column("embedding"))
-            found = best(q, x, k + 1)
+            found = best(q, x, batch.column("rep").to_numpy(), k + 1)
             at = np.concatenate([f[0] for f in found])
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(len(q), dtype=np.int32), [len(f[0]) for f in found])), batch.column("rep").take(pa.array(at)), pa.array(np.concatenate([f[1] for f in found])), pa.array(forest.cells(x[at]).tolist(), pa.list_(pa.int32()))], names=["i", "rep", "score", "cells"])
 

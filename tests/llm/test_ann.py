@@ -51,3 +51,11 @@ def test_forest_recall_and_exact_scores(spark):
     assert sum(len(set(got[q]) & set(want[q])) for q in want) / sum(map(len, want.values())) >= 0.9
     e = {i: np.array(v, np.float32).astype(float) for i, v in rows}
     assert all(abs(s.score - (e[s.query_id] * e[s.vec_id]).sum()) < 1e-12 for s in out.limit(50).collect())
+
+
+def test_many_ties_at_the_cut_go_by_id():
+    r = np.random.default_rng(3)
+    x = np.c_[np.ones(300), r.permutation(300)].astype(float)
+    ids = r.permutation(300)
+    at, score = ann.best(np.array([[1.0, 0.0]]), x, ids, 21)[0]
+    assert ids[at].tolist() == list(range(21)) and (score == 1).all()
