@@ -3,29 +3,31 @@
 from __future__ import annotations
 
 import base64
+import contextlib
+import functools
 import hashlib
 import heapq
+import math
+import os
+import re
 from array import array
-from collections.abc import Iterator
-from itertools import pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table, shared_path
+from .common import read_table, shared_path, stored, units
 
 #: Longer words are merged with a heap: the fold's work grows with the square of a word's bytes.
 FOLD_BYTES = 48
 
-#: Distinct pieces of text that a Python worker remembers at once.
-CACHE_PIECES = 400_000
-
-#: White space but for the space itself, as str.isspace() has it.
-_OTHER_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace() and c != 32]
-_ASCII_SPACE = [c for c in _OTHER_SPACE if c.isascii()]
+#: Bytes of files whose rows make a block, and its words that a Python worker remembers so as not to name them again.
+BLOCK_BYTES, MEMORY_WORDS = 64 << 20, 2_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -40,16 +42,74 @@ def splitter(pattern: str):
     return regex.compile(pattern).findall
 
 
-def is_even(text: str) -> bool:
-    """Whether every space stands between two characters that aren't white space."""
-    if "  " in text or text[0] == " " or text[-1] == " ":
-        return False
-    return not any(c in text and (c + " " in text or " " + c in text) for c in (_ASCII_SPACE if text.isascii() else _OTHER_SPACE))
+#: A place that no match of the public pattern reaches over: before a space between two characters that aren't white space.
+_CUT = re.compile(r"(?<=\S)(?= \S)")
+
+#: The same characters as \S above has not, for the vectorised matcher.
+_BLANK = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 
 def pieces(text: str) -> list[str]:
-    """The text cut before its spaces where it is even, since no match of the pattern reaches over such a place; else whole."""
-    return text.replace(" ", "\0 ").split("\0") if is_even(text) and "\0" not in text else [text]
+    """The text cut at every place that no match of the public pattern reaches over."""
+    return _CUT.split(text)
+
+
+def _unused(texts: pa.Array) -> str:
+    """A character that no text holds."""
+    return next(c for c in map(chr, (*range(0xE000), *range(0xE000, 0x110000))) if c not in " \n" and not pc.any(pc.match_substring(texts, c)).as_py())
+
+
+def cut(texts: pa.Array) -> pa.ListArray:
+    """pieces() of every text, at once: where each space stands between two characters that aren't white space, before each space."""
+    uneven = pc.match_substring_regex(texts, f"^ | $|[{_BLANK}] | [{_BLANK}]|\n").to_numpy(zero_copy_only=False)
+    mark = _unused(texts)
+    parted = pc.replace_substring(texts, " ", f"{mark} ")
+    if uneven.any():
+        parted = pa.array([mark.join(pieces(t.as_py())) if odd else p.as_py() for t, p, odd in zip(texts, parted, uneven.tolist(), strict=True)], pa.string())
+    return pc.split_pattern(parted, mark)
+
+
+class Words:
+    """The words of some texts: piece by piece, with each distinct piece split once."""
+
+    def __init__(self, find, texts: pa.Array, cuts: bool):
+        texts = pc.fill_null(texts, "")
+        lists = cut(texts) if cuts else None
+        coded = (lists.flatten() if cuts else texts).dictionary_encode()
+        #: For every piece of the texts its place among the distinct ones, and where each text's pieces begin and end.
+        self.piece = coded.indices.to_numpy()
+        self.text_ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]) if cuts else np.arange(len(texts) + 1)
+        distinct = coded.dictionary
+        joins = pc.match_substring_regex(distinct, f"(?s)^ [^{_BLANK}](.*[^{_BLANK}])?$").to_numpy(zero_copy_only=False) if cuts else np.zeros(len(distinct), bool)
+        words = find("".join(distinct.filter(pa.array(joins)).to_pylist()))  # these pieces still part when they are put together
+        lengths = np.zeros(len(distinct), np.int64)
+        if len(words):
+            ends = np.cumsum(pc.utf8_length(distinct.filter(pa.array(joins))).to_numpy())
+            starts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))[:-1]])
+            lengths[joins] = np.diff(np.concatenate([[0], np.searchsorted(starts, ends)]))
+        alone = [find(p) for p in distinct.filter(pa.array(~joins)).to_pylist()]
+        lengths[~joins] = [len(a) for a in alone]
+        coded = pa.array(chain(words, *alone), pa.string()).dictionary_encode()
+        #: The distinct words, the word at each place of the distinct pieces, and where each piece's words begin and end.
+        self.distinct = coded.dictionary
+        order = np.concatenate([np.flatnonzero(joins), np.flatnonzero(~joins)])  # the pieces in the order of their words
+        self.word, self.order = coded.indices.to_numpy(), np.argsort(order)
+        self.piece_ends = np.concatenate([[0], np.cumsum(lengths[order])])
+
+    def texts(self, ids: pa.LargeBinaryArray) -> tuple[pa.Buffer, np.ndarray]:
+        """From bytes of each distinct word those of all texts, one after the other, and where each text begins and ends."""
+        pieces = _grouped(ids.take(pa.array(self.word)), self.piece_ends)
+        parts = pieces.take(pa.array(self.order[self.piece]))
+        return parts.buffers()[2], _offsets(parts)[self.text_ends]
+
+
+def _offsets(values: pa.LargeBinaryArray) -> np.ndarray:
+    return np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1] if len(values) else np.zeros(1, np.int64)
+
+
+def _grouped(values: pa.LargeBinaryArray, ends: np.ndarray) -> pa.LargeBinaryArray:
+    """Neighbouring values put together."""
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(np.ascontiguousarray(_offsets(values)[ends])), values.buffers()[2]])
 
 
 def bytes_of(word: str) -> bytes:
@@ -117,6 +177,12 @@ class RankMap:
         return F.from_json(F.lit(self.json), "e array<bigint>, s array<int>, b array<bigint>")
 
 
+@functools.lru_cache(maxsize=4)
+def _rank_map(path: str, changed: int) -> RankMap:
+    """The rank map of a vocabulary file as it stands; it takes some seconds to build."""
+    return RankMap(read_ranks(path))
+
+
 def _listed(values: np.ndarray, blank: int | None = -1) -> str:
     """A JSON list, made in parts; blank values are nulls."""
     parts = (",".join("null" if v == blank else str(v) for v in values[i : i + 10_000].tolist()) for i in range(0, len(values), 10_000))
@@ -178,26 +244,31 @@ def merged(word: Column, ranks: RankMap) -> Column:
 
 
 def heap_merged(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The same merges for a long word, in n log n steps: a heap of (rank, place) and links between the parts."""
+    """The same merges for a long word, in n log n steps: a heap of ranks and places, and links between the parts."""
     if raw in ranks:
         return [ranks[raw]]
     n = len(raw)
-    size, left, right = [1] * n, list(range(-1, n - 1)), list(range(1, n + 1))
-    heap: list[tuple[int, int, int]] = []
+    size, left, right = array("q", [1]) * n, array("q", range(-1, n - 1)), array("q", range(1, n + 1))
+    heap: list[int] = []
 
-    def offer(i: int) -> None:
+    def rank(i: int) -> int | None:
         j = right[i]
-        if i >= 0 and j < n and (rank := ranks.get(raw[i : i + size[i] + size[j]])) is not None:
-            heapq.heappush(heap, (rank, i, size[i] + size[j]))
+        return ranks.get(raw[i : i + size[i] + size[j]]) if j < n else None
+
+    def offer(i: int) -> None:
+        if (r := rank(i)) is not None:
+            heapq.heappush(heap, r << 40 | i)
 
     for i in range(n - 1):
         offer(i)
     while heap:
-        _, i, length = heapq.heappop(heap)
-        j = right[i] if size[i] else n
-        if j >= n or size[i] + size[j] != length:
+        low = heapq.heappop(heap)
+        i = low & (1 << 40) - 1
+        if not size[i] or rank(i) != low >> 40:
             continue
-        size[i], size[j], right[i] = length, 0, right[j]
+        j = right[i]
+        size[i] += size[j]
+        size[j], right[i] = 0, right[j]
         if right[i] < n:
             left[right[i]] = i
         offer(i)
@@ -211,128 +282,131 @@ def heap_merged(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 def distinct_words(docs: DataFrame, pattern: str) -> DataFrame:
-    """(block, word): the distinct words of up to FOLD_BYTES bytes of each block of the input, as latin characters."""
+    """(block, word): the distinct words of up to FOLD_BYTES bytes of each block, as latin characters; from some megabytes of text at a time, so a word can come twice."""
 
     def scan(batches):
-        find, own, seen, held = splitter(pattern), None, set(), set()
-
-        def flush():
-            words = sorted(x for w in held if len(x := bytes_of(w)) <= FOLD_BYTES)
-            held.clear()
+        find, cuts, own, before = splitter(pattern), pattern == public_tokenizers.PATTERN, None, None
+        for unit in units(batches, "text", "block"):
+            unit = unit.combine_chunks()
+            block = unit.column("block")[0].as_py()
+            if block != own:
+                own, before = block, pa.array([], pa.string())
+            words = Words(find, unit.column("text").chunk(0), cuts).distinct
+            words = words.filter(pc.less_equal(pc.binary_length(words), FOLD_BYTES))
+            words = words.filter(pc.invert(pc.is_in(words, value_set=before)))
+            if len(before) < MEMORY_WORDS:
+                before = pa.concat_arrays([before, words])
             for i in range(0, len(words), 50_000):
-                part = list(map(latin, words[i : i + 50_000]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), own)), pa.array(part, pa.string())], names=["block", "word"])
-
-        for batch in batches:
-            for block, text in zip(batch.column("block").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                if block != own:
-                    if own is not None:
-                        yield from flush()
-                    own = block
-                    seen.clear()
-                if not text:
-                    continue
-                head, *rest = pieces(text)
-                held.update(find(head))
-                fresh = set(rest) - seen
-                held.update(find("".join(fresh)))
-                seen |= fresh
-                if len(seen) > 2 * CACHE_PIECES:
-                    yield from flush()
-                    seen.clear()
-        if own is not None:
-            yield from flush()
+                part = [latin(bytes_of(w)) for w in words.slice(i, 50_000).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), block)), pa.array(part, pa.string())], names=["block", "word"])
 
     return docs.mapInArrow(scan, "block long, word string")
 
 
-class Pieces:
-    """The bytes of each token id."""
-
-    def __init__(self, ranks: dict[bytes, int]):
-        self.of = [b""] * (max(ranks.values(), default=-1) + 1)
-        for token, rank in ranks.items():
-            self.of[rank] = token
-
-    def decode(self, ids: np.ndarray) -> bytes:
-        """The concatenated binary pieces."""
-        return b"".join(map(self.of.__getitem__, ids.tolist()))
-
-
 class Encoder:
     """Texts to ids by the words of their block; words too long for the fold are merged here."""
 
     def __init__(self, pattern: str, ranks: dict[bytes, int]):
-        self.find, self.ranks = splitter(pattern), ranks
-        self.words: dict[str, bytes] = {}
-        self.tokens: dict[str, bytes] = {}
-
-    def block(self, words: Iterator[tuple[str, bytes]]) -> None:
-        self.words, self.tokens = {}, {}
-        self.words = dict(words)
-
-    def word(self, word: str) -> bytes:
-        raw = bytes_of(word)
-        if len(raw) <= FOLD_BYTES:
-            return self.words[latin(raw)]
-        return np.array(heap_merged(raw, self.ranks), "<u4").tobytes()
-
-    def piece(self, piece: str) -> bytes:
-        got = b"".join(map(self.word, self.find(piece)))
-        if len(piece) < 64:
-            if len(self.tokens) >= CACHE_PIECES:
-                self.tokens.clear()
-            self.tokens[piece] = got
-        return got
-
-    def text(self, text: str | None) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        get, piece = self.tokens.get, self.piece
-        return b"".join([piece(p) if (got := get(p)) is None else got for p in pieces(text)])
-
-
-def _words_of_block(root: str, block: int) -> Iterator[tuple[str, bytes]]:
+        self.find, self.cuts, self.ranks = splitter(pattern), pattern == public_tokenizers.PATTERN, ranks
+        pieces = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            pieces[rank] = token
+        #: The bytes of each token id.
+        self.pieces = pa.array(pieces, pa.large_binary())
+        self.block([])
+
+    def block(self, tables: list[pa.Table]) -> None:
+        """From now on texts are made of these tables' words (word, ids)."""
+        self.words = pa.chunked_array([t.column("word").combine_chunks() for t in tables], pa.string()) if tables else pa.chunked_array([], pa.string())
+        self.ids = pa.concat_arrays([_as_bytes(t.column("ids").combine_chunks()) for t in tables]) if tables else pa.array([], pa.large_binary())
+
+    def ids_of(self, words: pa.Array) -> pa.LargeBinaryArray:
+        """The ids of distinct words as little-endian unsigned 32-bit integers."""
+        raw = [bytes_of(w) for w in words.to_pylist()]
+        own = pc.index_in(self.words, value_set=pa.array(map(latin, raw), pa.string()))
+        at, places = np.full(len(raw), -1), pc.fill_null(own, -1).to_numpy()
+        known = np.flatnonzero(places >= 0)
+        at[places[known]] = known
+        other = np.flatnonzero(at < 0)
+        at[other] = len(self.ids) + np.arange(len(other))
+        merged = [np.array(heap_merged(raw[i], self.ranks), "<u4").tobytes() for i in other.tolist()]
+        return pa.concat_arrays([self.ids, pa.array(merged, pa.large_binary())]).take(pa.array(at))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Buffer, np.ndarray]:
+        """The ids of all texts and where each text's begin and end, and the bytes that they decode to, the ids' binary pieces put together, likewise."""
+        words = Words(self.find, texts, self.cuts)
+        data, ends = words.texts(self.ids_of(words.distinct))
+        ids = np.frombuffer(data, "<u4", count=int(ends[-1]) // 4) if ends[-1] else np.empty(0, "<u4")
+        decoded = self.pieces.take(pa.array(ids))
+        return ids, ends // 4, decoded.buffers()[2], _offsets(decoded)[ends // 4]
+
+
+def _as_bytes(ids: pa.ListArray) -> pa.LargeBinaryArray:
+    values, ends = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4"), np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())]).astype(np.int64) * 4
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(ends), pa.py_buffer(values)])
+
+
+def _tables_of_block(root: str, block: int) -> list[pa.Table]:
     """The encoded words of a block, from the shared folder."""
     import pyarrow.dataset as ds
     from pyarrow import fs
 
     filesystem, path = fs.FileSystem.from_uri(f"{root}/block={block}")
     if filesystem.get_file_info(path).type == fs.FileType.NotFound:
-        return
-    for batch in ds.dataset(path, filesystem=filesystem, format="parquet").to_batches(columns=["word", "ids"], batch_size=1 << 16):
-        ids = batch.column("ids")
-        raw, ends = ids.flatten().to_numpy().astype("<u4").tobytes(), np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())]) * 4
-        yield from zip(batch.column("word").to_pylist(), (raw[i:j] for i, j in pairwise(ends.tolist())), strict=True)
+        return []
+    return [ds.dataset(path, filesystem=filesystem, format="parquet").to_table(columns=["word", "ids"]).combine_chunks()]
+
+
+def _digests(data: pa.Buffer | None, ends: np.ndarray) -> pa.Array:
+    view = memoryview(data) if data is not None else b""
+    ends = ends.tolist()
+    return pa.array([hashlib.sha256(view[i:j]).hexdigest() for i, j in pairwise(ends)], pa.string())
+
+
+def in_blocks(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, text, block): blocks are runs of rows of a file, about BLOCK_BYTES of it each.
+
+    A row's block depends on its file and its place in it alone, not on how a
+    scan is split.  Rows that don't come straight from Parquet files are written
+    to the shared folder first.
+    """
+    own = [F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")]
+    docs = None
+    if documents.inputFiles() and not _shuffles(documents):
+        with contextlib.suppress(AnalysisException):  # of a format without row numbers
+            docs = _placed(documents, own)
+    return docs if docs is not None else _placed(stored(documents.select(own), "texts"), [F.col("doc_id"), F.col("text")])
+
+
+def _placed(documents: DataFrame, own: list[Column]) -> DataFrame:
+    rows, plan = documents.count(), documents._jdf.queryExecution().optimizedPlan()
+    while plan.children().size():
+        plan = plan.children().head()
+    size = int(str(plan.stats().sizeInBytes()))  # of all files
+    per_block = max(1, math.ceil(BLOCK_BYTES * rows / max(1, size)))
+    place = documents.metadataColumn("_metadata")
+    return documents.select(*own, F.xxhash64(place["file_path"], F.floor(place["row_index"] / per_block)).alias("block"))
 
 
 def encoded(documents: DataFrame, path: str, *, pattern: str = public_tokenizers.PATTERN, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and, if with_ids, the ids of every whole text.
 
-    The distinct words of each block of the input (a split of a file) are
+    The distinct words of each block of the input (some rows of a file) are
     brought together, so that every distinct word of the corpus is encoded once,
     by a fold over its bytes with the ranks of the file at path; the result goes
     to the shared folder by block, and each block's texts are put together from
     its own words.  Texts are never shuffled, and no table of all words meets in
     one place.  Words over FOLD_BYTES bytes are merged with a heap as the texts
-    are put together.  The ids are decoded again by concatenating the tokens'
-    bytes.
+    are put together, and so would be a word that the block's table lacks.  The
+    ids are decoded again by concatenating the tokens' bytes.
 
-    Null texts are empty; repeated rows are encoded each; a null id stays null;
-    other columns are ignored.  Rows that don't come from files are written to
-    the shared folder first.
+    Texts are taken up some megabytes at a time; a longer text makes a unit of
+    its own and is encoded whole.  Null and empty texts have no ids; repeated
+    rows are encoded each; a null id stays null; an empty table gives no rows;
+    other columns are ignored, whatever their names.
     """
     spark, ranks = documents.sparkSession, read_ranks(path)
-    docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    if not documents.inputFiles() or _shuffles(documents):
-        at = shared_path(spark, "texts")
-        docs.write.parquet(at)
-        docs = spark.read.schema(docs.schema).parquet(at)
-    docs = docs.select("*", F.xxhash64(F.input_file_name(), F.input_file_block_start()).alias("block"))
-
-    root = shared_path(spark, "words")
-    table = RankMap(ranks)
+    docs, root, table = in_blocks(documents, doc_id, text), shared_path(spark, "words"), _rank_map(path, os.stat(path).st_mtime_ns)
     by_word = distinct_words(docs.select("text", "block"), pattern).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word")
     # The block is kept on both sides of the join so that they read one exchange.
     own = by_word.groupBy("word").agg(F.min("block").alias("least")).where("least is not null").select("word", merged(F.col("word"), table).alias("ids"))
@@ -341,19 +415,18 @@ def encoded(documents: DataFrame, path: str, *, pattern: str = public_tokenizers
     held = spark.sparkContext.broadcast(ranks)  # of the size of the vocabulary
 
     def scan(batches):
-        encoder, pieces, own = Encoder(pattern, held.value), Pieces(held.value), None
-        for batch in batches:
-            ids, decoded = [], []
-            for block, t in zip(batch.column("block").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                if block != own:
-                    encoder.block(_words_of_block(root, block))
-                    own = block
-                ids.append(encoder.text(t))
-                decoded.append(hashlib.sha256(pieces.decode(np.frombuffer(ids[-1], "<u4"))).hexdigest())
-            cols = [batch.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()), pa.array(decoded, pa.string())]
+        encoder, own = Encoder(pattern, held.value), None
+        for unit in units(batches, "text", "block"):
+            unit = unit.combine_chunks()
+            block = unit.column("block")[0].as_py()
+            if block != own:
+                encoder.block(_tables_of_block(root, block))
+                own = block
+            ids, ends, decoded, decoded_ends = encoder.encode(unit.column("text").chunk(0))
+            cols = [unit.column("doc_id").chunk(0), pa.array(np.diff(ends)), _digests(pa.py_buffer(ids), ends * 4), _digests(decoded, decoded_ends)]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
-                cols.append(pa.array([np.frombuffer(i, "<u4").astype(np.int32) for i in ids], pa.list_(pa.int32())))
+                cols.append(pa.array([ids[i:j].astype(np.int32) for i, j in pairwise(ends.tolist())], pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(cols, names=names)
 

@@ -8,8 +8,12 @@ import gc
 import pickle
 import tempfile
 import uuid
+from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +21,8 @@ from pyspark.sql import functions as F
 #: Distinct words whose hash or features a Python worker keeps; beyond it the cache starts anew.
 CACHE_WORDS = 400_000
 
-#: Rows of whole texts that travel to a Python worker at once, where the session has Spark's default of 10,000.
-BATCH_ROWS = "1000"
+#: Bytes of text that a Python worker takes up at once where it works row by row, and where it looks for distinct words.
+PART_BYTES, UNIT_BYTES = 4 << 20, 16 << 20
 
 #: ASCII punctuation and control characters become spaces when words are compared.
 _BLANKED = bytes(
@@ -27,9 +31,6 @@ _BLANKED = bytes(
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A fixture table; whole texts go to the workers in batches that fit a small executor."""
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -73,6 +74,43 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def small(batches: Iterator[pa.RecordBatch], text: int | str, limit: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about limit bytes of the column text, a row at least."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        lo, n = 0, batch.num_rows
+        while lo < n:
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + limit, "right")))
+            yield batch.slice(lo, hi - lo)
+            lo = hi
+
+
+def units(batches: Iterator[pa.RecordBatch], text: int | str, key: int | str | None = None, limit: int = UNIT_BYTES) -> Iterator[pa.Table]:
+    """The rows in tables of about limit bytes of the column text; with a key column, of one key each."""
+    held, size, last = [], 0, None
+    for batch in small(batches, text, limit // 4):
+        cuts = [0]
+        if key is not None:
+            keys = batch.column(key).to_numpy(zero_copy_only=False)
+            cuts += (np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist()
+            if held and keys[0] != last:
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+            last = keys[-1]
+        for k, (lo, hi) in enumerate(pairwise([*cuts, batch.num_rows])):
+            if k:
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+            part = batch.slice(lo, hi - lo)
+            held.append(part)
+            size += pc.sum(pc.binary_length(part.column(text))).as_py() or 0
+        if size >= limit:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def plain_words(text: str | None) -> list[bytes]:
     """Lower-cased words without ASCII punctuation."""
     return text.lower().encode("utf-8", "surrogatepass").translate(_BLANKED).split() if text else []

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import read_table, units
 
-#: Trie nodes that a Python worker keeps; beyond it the trie and its counts start anew.
-TRIE_NODES = 3_000_000
+#: Characters of a pre-token whose trie nodes wait for the next one; what lies deeper is made and left at once.
+DEPTH = 4096
 
 #: The mark that stands for a space before a pre-token.
 MARK = "▁"
@@ -32,89 +34,115 @@ class PrefixTrie:
 
     The forward score of a prefix depends on that prefix only, so it is computed
     once, when its node is made, and shared by every pre-token that begins so.
-    A node is (children, best score, tokens of the best segmentation, whether
-    that ends in an unknown character).  Of equal scores the longest last piece
+    Pre-tokens are inserted in order, which makes every node once and lets a
+    branch go when the next pre-token leaves it: what is held is the path to the
+    pre-token at hand, at most DEPTH nodes of it, whatever the number and length
+    of the pre-tokens.  The end of each pre-token, its terminal, gives its count.
+
+    A node is the best score, the tokens of the best segmentation and whether
+    that ends in an unknown character.  Of equal scores the longest last piece
     wins.  A run of unknown characters is one token.
     """
 
     def __init__(self, pieces: list[tuple[str, float]]):
-        self.scores = {}
+        self.scores: dict[str, float] = {}
         for piece, score in pieces:
             self.scores.setdefault(piece, score)
         self.longest = max(map(len, self.scores), default=1)
         self.unknown = min(self.scores.values(), default=0.0) - UNKNOWN_PENALTY
-        self.counts: dict[str, int] = {}
+        #: The score of every piece, and None for what only ends one.
+        self.endings: dict[str, float | None] = {p[k:]: None for p in self.scores for k in range(1, len(p))}
+        self.endings.update(self.scores)
         self.clear()
 
     def clear(self) -> None:
-        self.root, self.nodes = ({}, 0.0, 0, False), 1
-        self.counts.clear()
+        self.word, self.best, self.tokens, self.open = "", [0.0], [0], [False]
 
     def insert(self, word: str) -> int:
-        """The tokens of word, which is kept as a terminal of the trie."""
-        if self.nodes >= TRIE_NODES:
+        """The tokens of word, for which the nodes below its common beginning with the word before are made."""
+        last, shared = self.word, 0
+        for a, b in zip(word, last):  # noqa: B905
+            if a != b:
+                break
+            shared += 1
+        best, tokens, unknown = self.best, self.tokens, self.open
+        del best[shared + 1 :], tokens[shared + 1 :], unknown[shared + 1 :]
+        endings, gone, wide = self.endings, 0, self.longest + DEPTH
+        for end in range(shared + 1, len(word) + 1):
+            top = None
+            for start in range(end - 1, -1, -1):
+                piece = word[start:end]
+                if piece not in endings:
+                    break
+                score = endings[piece]
+                if score is not None:
+                    total = best[start - gone] + score
+                    if top is None or total >= top:
+                        top, count = total, tokens[start - gone] + 1
+            lost = False
+            if word[end - 1] not in self.scores:
+                total = best[-1] + self.unknown
+                if top is None or total > top:
+                    top, count, lost = total, tokens[-1] + (not unknown[-1]), True
+            best.append(top)
+            tokens.append(count)
+            unknown.append(lost)
+            if len(best) > 2 * wide:
+                del best[:-wide], tokens[:-wide], unknown[:-wide]
+                gone = end + 1 - wide
+        found = tokens[-1]
+        if gone:
             self.clear()
-        path, node = [self.root], self.root
-        for i, c in enumerate(word):
-            child = node[0].get(c)
-            if child is None:
-                child = node[0][c] = self.forward(word, i + 1, path)
-                self.nodes += 1
-            path.append(child)
-            node = child
-        self.counts[word] = node[2]
-        return node[2]
-
-    def forward(self, word: str, end: int, path: list[tuple]) -> tuple:
-        best, tokens, unknown = None, 0, False
-        get = self.scores.get
-        for start in range(max(0, end - self.longest), end):
-            score = get(word[start:end])
-            if score is not None:
-                total = path[start][1] + score
-                if best is None or total > best:
-                    best, tokens = total, path[start][2] + 1
-        if word[end - 1] not in self.scores:
-            before = path[end - 1]
-            total = before[1] + self.unknown
-            if best is None or total > best:
-                best, tokens, unknown = total, before[2] + (not before[3]), True
-        return {}, best, tokens, unknown
-
-    def count(self, text: str | None) -> int:
-        """Tokens of a whole text: each run without white space, with the mark before it, counts by itself."""
-        if not text:
-            return 0
-        total, counts = 0, self.counts
-        for w in text.split():
-            n = counts.get(w)
-            total += self.insert_marked(w) if n is None else n
-        return total
-
-    def insert_marked(self, w: str) -> int:
-        n = self.insert(MARK + w)
-        del self.counts[MARK + w]
-        self.counts[w] = n
-        return n
+        else:
+            self.word = word[:DEPTH]
+            del best[DEPTH + 1 :], tokens[DEPTH + 1 :], unknown[DEPTH + 1 :]
+        return found
+
+    def counts(self, words: list[str]) -> np.ndarray:
+        """The tokens of each of the distinct pre-tokens, every one with the mark before it; an empty one has none."""
+        out = np.zeros(len(words), np.int64)
+        for k in sorted(range(len(words)), key=words.__getitem__):
+            if words[k]:
+                out[k] = self.insert(MARK + words[k])
+        return out
+
+
+def counted(trie: PrefixTrie, texts: pa.Array) -> np.ndarray:
+    """The tokens of each whole text: its pre-tokens, as white space parts them, have the counts of their terminals."""
+    lists = pc.utf8_split_whitespace(pc.fill_null(texts, ""))
+    words = lists.flatten().dictionary_encode()
+    sums = np.concatenate([[0], np.cumsum(trie.counts(words.dictionary.to_pylist())[words.indices.to_numpy()])])
+    ends = np.cumsum(lists.value_lengths().to_numpy())
+    return np.diff(sums[np.concatenate([[0], ends])])
 
 
 def token_counts(documents: DataFrame, path: str, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and n_tokens: the pieces of the best unigram segmentation of every whole text.
 
     The vocabulary file's pieces and scores make the unigram model (nothing is
-    trained).  Text is split at white space; each task inserts the distinct
-    pre-tokens that it meets in a trie of bounded size, so nothing is shuffled.
+    trained): a segmentation's score is the sum of its pieces' scores as the
+    file has them.  In a vocabulary of merges these are places in the order of
+    the merges, not log probabilities.
+
+    Text is split at white space.  The distinct pre-tokens of some megabytes of
+    text at a time go through the trie, and texts add up their terminals'
+    counts, so nothing is shuffled.  A pre-token of any length is segmented
+    whole, in memory that doesn't grow with it.
+
     Null, empty and blank texts have no tokens; repeated rows are counted each;
-    a null id stays null; other columns are ignored.
+    a null id stays null; an empty table gives no rows; other columns are
+    ignored, whatever their names.
     """
-    held = documents.sparkSession.sparkContext.broadcast(read_pieces(path))
+    held = documents.sparkSession.sparkContext.broadcast(read_pieces(path))  # of the size of the vocabulary
 
     def scan(batches):
         trie = PrefixTrie(held.value)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([trie.count(t) for t in batch.column(1).to_pylist()], pa.int64())], names=["doc_id", "n_tokens"])
+        for unit in units(batches, "text"):
+            unit = unit.combine_chunks()
+            trie.clear()
+            yield from pa.table([unit.column("doc_id"), pa.array(counted(trie, unit.column("text").chunk(0)), pa.int64())], names=["doc_id", "n_tokens"]).to_batches()
 
-    return documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(scan, "doc_id long, n_tokens long")
+    return documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(scan, "doc_id long, n_tokens long")
 
 
 def op6_trie_token_counts(spark, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ import random
 import struct
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -49,11 +50,48 @@ def test_ids_equal_the_library(spark, docs, library):
 
 def test_from_files_and_empty(spark, docs, library, tmp_path):
     docs([(1, "from a file"), (2, "another one")]).write.parquet(str(tmp_path / "d"))
-    got = {x.doc_id: x.n_tokens for x in bpe.encoded(spark.read.parquet(str(tmp_path / "d")), PATH).collect()}
+    got = bpe.encoded(spark.read.parquet(str(tmp_path / "d")), PATH)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")  # another split of the files when the texts are read again
+    try:
+        got = {x.doc_id: x.n_tokens for x in got.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert got == {1: len(library.encode_ordinary("from a file")), 2: len(library.encode_ordinary("another one"))}
     assert bpe.encoded(docs([(1, "x")]).limit(0), PATH).count() == 0
 
 
+@pytest.mark.parametrize("rows_of_bytes", [1, 400, 1 << 26])
+def test_blocks_of_any_size_and_other_words_give_the_same(spark, docs, library, tmp_path, monkeypatch, rows_of_bytes):
+    monkeypatch.setattr(bpe, "BLOCK_BYTES", rows_of_bytes)
+    r = random.Random(6)
+    rows = [(i, " ".join(r.choice(["one", "two,", "three\n", "été", "x" * 60]) for _ in range(i % 9))) for i in range(60)]
+    docs(rows).coalesce(1).write.parquet(str(tmp_path / "d"))
+    got = bpe.encoded(spark.read.parquet(str(tmp_path / "d")), PATH, with_ids=True).collect()
+    assert {x.doc_id: x.ids for x in got} == {i: library.encode_ordinary(t) for i, t in rows}
+
+
+def test_a_word_that_its_table_lacks_is_encoded(ranks, library):
+    encoder = bpe.Encoder(public_tokenizers.PATTERN, ranks)
+    ids, ends, decoded, _ = encoder.encode(pa.array(["new words", None, "", "here"]))
+    assert ids.tolist() == library.encode_ordinary("new words") + library.encode_ordinary("here") and ends.tolist()[1:4] == [2, 2, 2]
+    assert decoded.to_pybytes()[:13] == b"new wordshere"
+
+
+def test_another_pattern_is_matched_on_whole_texts(spark, docs, ranks):
+    pattern = r"\w+ \w+|\s|."
+    library = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    rows = [(1, "two words more of them"), (2, "a b c"), (3, "")]
+    got = bpe.encoded(docs(rows), PATH, pattern=pattern, with_ids=True).collect()
+    assert {x.doc_id: x.ids for x in got} == {i: library.encode_ordinary(t) for i, t in rows}
+
+
+def test_very_long_texts(spark, docs, library):
+    rows = [(1, "word two, " * 300_000), (2, "qx" * 400_000), (3, "!" * 300_000 + " é" * 100_000)]
+    got = {x.doc_id: x for x in bpe.encoded(docs(rows), PATH).collect()}
+    assert {i: x.decoded_sha256 for i, x in got.items()} == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in rows}
+    assert got[1].ids_sha256 == digests(library.encode_ordinary(rows[0][1]))
+
+
 def test_fold_equals_the_heap(spark, ranks):
     r = random.Random(5)
     words = ["".join(r.choice("abcdeinorst é") for _ in range(r.randrange(1, 40))) for _ in range(400)]
@@ -74,7 +112,20 @@ def test_small_vocabularies(spark):
 @given(st.text(alphabet="ab \n\té!1'\0\x1c　日", max_size=30))
 def test_pieces_split_only_where_the_pattern_does(text):
     find = bpe.splitter(public_tokenizers.PATTERN)
-    assert [w for p in bpe.pieces(text) for w in find(p)] == find(text) if text else True
+    assert [w for p in bpe.pieces(text) for w in find(p)] == find(text)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="ab \n\té!1'\0\x01\x1c　日", max_size=20)), max_size=8))
+def test_texts_are_put_together_from_distinct_words(texts):
+    find = bpe.splitter(public_tokenizers.PATTERN)
+    arr = pa.array(texts, pa.string())
+    assert bpe.cut(pa.array([t or "" for t in texts], pa.string())).to_pylist() == [bpe.pieces(t or "") for t in texts]
+    words = bpe.Words(find, arr, True)
+    data, ends = words.texts(words.distinct.cast(pa.large_binary()))
+    whole = data.to_pybytes() if data is not None else b""
+    assert [whole[i:j].decode() for i, j in zip(ends, ends[1:], strict=False)] == [t or "" for t in texts]
+    assert set(words.distinct.to_pylist()) == {w for t in texts for w in find(t or "")}
 
 
 @settings(max_examples=200, deadline=None)

@@ -30,8 +30,10 @@ def trie():
 def test_trie_equals_a_plain_programme(trie):
     r = random.Random(9)
     words = ["".join(r.choice("abcdeinorst☃é한") for _ in range(r.randrange(1, 25))) for _ in range(400)] + ["internationalization", "☃☃☃", "a" * 300]
-    for w in words:
-        assert trie.count(w) == viterbi(T.MARK + w, trie.scores, trie.unknown), w
+    want = [viterbi(T.MARK + w, trie.scores, trie.unknown) for w in words]
+    assert trie.counts(words).tolist() == want
+    r.shuffle(words)
+    assert [trie.insert(T.MARK + w) for w in words] == [viterbi(T.MARK + w, trie.scores, trie.unknown) for w in words]
 
 
 def test_agrees_with_a_unigram_model_of_another_library(trie):
@@ -41,28 +43,40 @@ def test_agrees_with_a_unigram_model_of_another_library(trie):
     r = random.Random(10)
     for _ in range(200):
         w = "".join(r.choice("abcdeghilmnoprstuy") for _ in range(r.randrange(1, 18)))
-        got, score = model.tokenize(T.MARK + w), 0.0
-        assert sum(trie.scores[t.value] for t in got) == pytest.approx(sum_best(trie, T.MARK + w))
+        trie.insert(T.MARK + w)
+        assert sum(trie.scores[t.value] for t in model.tokenize(T.MARK + w)) == pytest.approx(trie.best[-1])
 
 
-def sum_best(trie, word):
-    trie.insert(word)
-    node = trie.root
-    for c in word:
-        node = node[0][c]
-    return node[1]
+def test_shared_prefixes_are_scored_once():
+    trie, made = T.PrefixTrie([("a", -1.0), ("ab", -1.5), (T.MARK, -1.0)]), []
+    trie.clear()
 
+    class Kept(list):
+        def append(self, x):
+            made.append(x)
+            super().append(x)
 
-def test_prefixes_are_shared_and_memory_is_bounded(monkeypatch):
-    trie = T.PrefixTrie([("a", -1.0), ("ab", -1.5), (T.MARK, -1.0)])
-    trie.count("abab abba aba")
-    assert trie.nodes == 1 + len({(T.MARK + w)[:k] for w in ("abab", "abba", "aba") for k in range(1, 6)})
-    monkeypatch.setattr(T, "TRIE_NODES", 3)
-    assert [trie.count(w) for w in ("abab", "abba")] == [viterbi(T.MARK + w, trie.scores, trie.unknown) for w in ("abab", "abba")]
+    trie.best = Kept(trie.best)
+    words = ["abab", "abba", "aba"]
+    trie.counts(words)
+    assert len(made) == len({(T.MARK + w)[:k] for w in words for k in range(1, 6)})
+
+
+@pytest.mark.parametrize("depth", [1, 3, 7, 4096])
+def test_deep_words_are_whole_and_memory_is_bounded(monkeypatch, depth):
+    monkeypatch.setattr(T, "DEPTH", depth)
+    r = random.Random(11)
+    trie = T.PrefixTrie([(p, s) for p, s in T.read_pieces(PATH) if len(p) <= 5])
+    words = ["".join(r.choice("abcdeinorst☃") for _ in range(n)) for n in (5, 6, 20, 21, 200, 201, 900)]
+    words += [words[-1][:300] + "x", words[-1] + "é"]
+    assert trie.counts(words).tolist() == [viterbi(T.MARK + w, trie.scores, trie.unknown) for w in words]
+    assert len(trie.best) <= 2 * (trie.longest + depth) + 1
 
 
 def test_frame(spark, docs):
-    rows = [(1, "hello world"), (1, "hello world"), (None, "x"), (2, None), (3, "  \n"), (4, "word " * 50_000)]
+    rows = [(1, "hello world"), (1, "hello world"), (None, "x"), (2, None), (3, "  \n"), (4, "word " * 50_000), (5, "q" * 1_000_000), (6, "")]
     got = {r.doc_id: r.n_tokens for r in T.token_counts(docs(rows), PATH).collect()}
-    assert got[2] == got[3] == 0 and got[4] == 50_000 * T.PrefixTrie(T.read_pieces(PATH)).count("word") and got[None] >= 1
-    assert T.token_counts(docs(rows), PATH).count() == 6 and T.token_counts(docs(rows).limit(0), PATH).count() == 0
+    trie = T.PrefixTrie(T.read_pieces(PATH))
+    assert got[2] == got[3] == got[6] == 0 and got[4] == 50_000 * trie.counts(["word"])[0] and got[None] >= 1
+    assert got[5] == trie.counts(["q" * 1_000_000])[0]
+    assert T.token_counts(docs(rows), PATH).count() == 8 and T.token_counts(docs(rows).limit(0), PATH).count() == 0
