@@ -26,8 +26,8 @@ from .common import read_table, shared_path, stored, units
 #: Longer words are merged with a heap: the fold's work grows with the square of a word's bytes.
 FOLD_BYTES = 48
 
-#: Bytes of files whose rows make a block, and its words that a Python worker remembers so as not to name them again.
-BLOCK_BYTES, MEMORY_WORDS = 64 << 20, 2_000_000
+#: Bytes of files whose rows make a block, bytes of text that are taken up at once, and distinct pieces of a block that a Python worker remembers.
+BLOCK_BYTES, UNIT, MEMORY = 64 << 20, 6 << 20, 2_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -56,12 +56,14 @@ def pieces(text: str) -> list[str]:
 
 def _unused(texts: pa.Array) -> str:
     """A character that no text holds."""
-    return next(c for c in map(chr, (*range(0xE000), *range(0xE000, 0x110000))) if c not in " \n" and not pc.any(pc.match_substring(texts, c)).as_py())
+    raw = texts.buffers()[2]
+    raw = raw.to_pybytes() if raw is not None else b""
+    return next(c for c in map(chr, (*range(0xD800), *range(0xE000, 0x110000))) if c not in " \n" and bytes_of(c) not in raw)
 
 
 def cut(texts: pa.Array) -> pa.ListArray:
     """pieces() of every text, at once: where each space stands between two characters that aren't white space, before each space."""
-    uneven = pc.match_substring_regex(texts, f"^ | $|[{_BLANK}] | [{_BLANK}]|\n").to_numpy(zero_copy_only=False)
+    uneven = pc.match_substring_regex(texts, f"^ | $|[{_BLANK}] | [{_BLANK}]").to_numpy(zero_copy_only=False)
     mark = _unused(texts)
     parted = pc.replace_substring(texts, " ", f"{mark} ")
     if uneven.any():
@@ -69,38 +71,40 @@ def cut(texts: pa.Array) -> pa.ListArray:
     return pc.split_pattern(parted, mark)
 
 
-class Words:
-    """The words of some texts: piece by piece, with each distinct piece split once."""
+class Pieces:
+    """The pieces of some texts, each text one piece where cuts is false."""
 
-    def __init__(self, find, texts: pa.Array, cuts: bool):
+    def __init__(self, texts: pa.Array, cuts: bool):
         texts = pc.fill_null(texts, "")
         lists = cut(texts) if cuts else None
         coded = (lists.flatten() if cuts else texts).dictionary_encode()
-        #: For every piece of the texts its place among the distinct ones, and where each text's pieces begin and end.
-        self.piece = coded.indices.to_numpy()
+        #: The distinct pieces, the piece at each place of the texts, and where each text's pieces begin and end.
+        self.distinct, self.at = coded.dictionary, coded.indices.to_numpy()
         self.text_ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]) if cuts else np.arange(len(texts) + 1)
-        distinct = coded.dictionary
-        joins = pc.match_substring_regex(distinct, f"(?s)^ [^{_BLANK}](.*[^{_BLANK}])?$").to_numpy(zero_copy_only=False) if cuts else np.zeros(len(distinct), bool)
-        words = find("".join(distinct.filter(pa.array(joins)).to_pylist()))  # these pieces still part when they are put together
-        lengths = np.zeros(len(distinct), np.int64)
-        if len(words):
-            ends = np.cumsum(pc.utf8_length(distinct.filter(pa.array(joins))).to_numpy())
-            starts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))[:-1]])
-            lengths[joins] = np.diff(np.concatenate([[0], np.searchsorted(starts, ends)]))
-        alone = [find(p) for p in distinct.filter(pa.array(~joins)).to_pylist()]
+
+
+class Words:
+    """The words of distinct pieces."""
+
+    def __init__(self, find, pieces: pa.Array, cuts: bool):
+        joins = pc.match_substring_regex(pieces, f"(?s)^ [^{_BLANK}](.*[^{_BLANK}])?$").to_numpy(zero_copy_only=False) if cuts else np.zeros(len(pieces), bool)
+        some = pieces.filter(pa.array(joins))
+        words = find("".join(some.to_pylist()))  # these pieces still part when they are put together
+        lengths = np.zeros(len(pieces), np.int64)
+        if words:
+            ends, starts = np.cumsum(pc.utf8_length(some).to_numpy()), np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+            lengths[joins] = np.diff(np.searchsorted(starts, ends, "right"), prepend=0)
+        alone = [find(p) for p in pieces.filter(pa.array(~joins)).to_pylist()]
         lengths[~joins] = [len(a) for a in alone]
-        coded = pa.array(chain(words, *alone), pa.string()).dictionary_encode()
-        #: The distinct words, the word at each place of the distinct pieces, and where each piece's words begin and end.
-        self.distinct = coded.dictionary
+        coded = pa.array(words + list(chain.from_iterable(alone)), pa.string()).dictionary_encode()
         order = np.concatenate([np.flatnonzero(joins), np.flatnonzero(~joins)])  # the pieces in the order of their words
-        self.word, self.order = coded.indices.to_numpy(), np.argsort(order)
-        self.piece_ends = np.concatenate([[0], np.cumsum(lengths[order])])
+        #: The distinct words, and those at each place of the pieces.
+        self.distinct, self.at = coded.dictionary, coded.indices.to_numpy()
+        self.places, self.piece_ends = np.argsort(order), np.concatenate([[0], np.cumsum(lengths[order])])
 
-    def texts(self, ids: pa.LargeBinaryArray) -> tuple[pa.Buffer, np.ndarray]:
-        """From bytes of each distinct word those of all texts, one after the other, and where each text begins and ends."""
-        pieces = _grouped(ids.take(pa.array(self.word)), self.piece_ends)
-        parts = pieces.take(pa.array(self.order[self.piece]))
-        return parts.buffers()[2], _offsets(parts)[self.text_ends]
+    def pieces(self, values: pa.LargeBinaryArray) -> pa.LargeBinaryArray:
+        """From bytes of each distinct word those of each piece."""
+        return _grouped(values.take(pa.array(self.at)), self.piece_ends).take(pa.array(self.places))
 
 
 def _offsets(values: pa.LargeBinaryArray) -> np.ndarray:
@@ -285,19 +289,21 @@ def distinct_words(docs: DataFrame, pattern: str) -> DataFrame:
     """(block, word): the distinct words of up to FOLD_BYTES bytes of each block, as latin characters; from some megabytes of text at a time, so a word can come twice."""
 
     def scan(batches):
-        find, cuts, own, before = splitter(pattern), pattern == public_tokenizers.PATTERN, None, None
-        for unit in units(batches, "text", "block"):
+        find, cuts, own = splitter(pattern), pattern == public_tokenizers.PATTERN, None
+        pieces = words = pa.array([], pa.string())
+        for unit in units(batches, "text", "block", UNIT):
             unit = unit.combine_chunks()
             block = unit.column("block")[0].as_py()
-            if block != own:
-                own, before = block, pa.array([], pa.string())
-            words = Words(find, unit.column("text").chunk(0), cuts).distinct
-            words = words.filter(pc.less_equal(pc.binary_length(words), FOLD_BYTES))
-            words = words.filter(pc.invert(pc.is_in(words, value_set=before)))
-            if len(before) < MEMORY_WORDS:
-                before = pa.concat_arrays([before, words])
-            for i in range(0, len(words), 50_000):
-                part = [latin(bytes_of(w)) for w in words.slice(i, 50_000).to_pylist()]
+            if block != own or len(pieces) > MEMORY:
+                own, pieces, words = block, pieces[:0], words[:0]
+            fresh = Pieces(unit.column("text").chunk(0), cuts).distinct
+            fresh = fresh.filter(pc.invert(pc.is_in(fresh, value_set=pieces)))
+            found = Words(find, fresh, cuts).distinct
+            found = found.filter(pc.less_equal(pc.binary_length(found), FOLD_BYTES))
+            found = found.filter(pc.invert(pc.is_in(found, value_set=words)))
+            pieces, words = pa.concat_arrays([pieces, fresh]), pa.concat_arrays([words, found])
+            for i in range(0, len(found), 50_000):
+                part = [latin(bytes_of(w)) for w in found.slice(i, 50_000).to_pylist()]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), block)), pa.array(part, pa.string())], names=["block", "word"])
 
     return docs.mapInArrow(scan, "block long, word string")
@@ -312,13 +318,15 @@ class Encoder:
         for token, rank in ranks.items():
             pieces[rank] = token
         #: The bytes of each token id.
-        self.pieces = pa.array(pieces, pa.large_binary())
+        self.tokens = pa.array(pieces, pa.large_binary())
         self.block([])
 
     def block(self, tables: list[pa.Table]) -> None:
         """From now on texts are made of these tables' words (word, ids)."""
         self.words = pa.chunked_array([t.column("word").combine_chunks() for t in tables], pa.string()) if tables else pa.chunked_array([], pa.string())
         self.ids = pa.concat_arrays([_as_bytes(t.column("ids").combine_chunks()) for t in tables]) if tables else pa.array([], pa.large_binary())
+        #: The pieces that were met, and their ids.
+        self.pieces, self.piece_ids = pa.array([], pa.string()), pa.array([], pa.large_binary())
 
     def ids_of(self, words: pa.Array) -> pa.LargeBinaryArray:
         """The ids of distinct words as little-endian unsigned 32-bit integers."""
@@ -333,12 +341,22 @@ class Encoder:
         return pa.concat_arrays([self.ids, pa.array(merged, pa.large_binary())]).take(pa.array(at))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Buffer, np.ndarray]:
-        """The ids of all texts and where each text's begin and end, and the bytes that they decode to, the ids' binary pieces put together, likewise."""
-        words = Words(self.find, texts, self.cuts)
-        data, ends = words.texts(self.ids_of(words.distinct))
-        ids = np.frombuffer(data, "<u4", count=int(ends[-1]) // 4) if ends[-1] else np.empty(0, "<u4")
-        decoded = self.pieces.take(pa.array(ids))
-        return ids, ends // 4, decoded.buffers()[2], _offsets(decoded)[ends // 4]
+        """The ids of all texts and where each text's begin and end, and the bytes that they decode to, the tokens' binary pieces put together, likewise."""
+        if len(self.pieces) > MEMORY:
+            self.pieces, self.piece_ids = self.pieces[:0], self.piece_ids[:0]
+        own = Pieces(texts, self.cuts)
+        at = pc.fill_null(pc.index_in(own.distinct, value_set=self.pieces), -1).to_numpy().astype(np.int64)
+        fresh = own.distinct.filter(pa.array(at < 0))
+        if len(fresh):
+            words = Words(self.find, fresh, self.cuts)
+            at[at < 0] = len(self.pieces) + np.arange(len(fresh))
+            self.pieces = pa.concat_arrays([self.pieces, fresh])
+            self.piece_ids = pa.concat_arrays([self.piece_ids, words.pieces(self.ids_of(words.distinct))])
+        parts = self.piece_ids.take(pa.array(at[own.at]))
+        ends = _offsets(parts)[own.text_ends] // 4
+        ids = np.frombuffer(parts.buffers()[2], "<u4", count=int(ends[-1])) if ends[-1] else np.empty(0, "<u4")
+        decoded = self.tokens.take(pa.array(ids))
+        return ids, ends, decoded.buffers()[2], _offsets(decoded)[ends]
 
 
 def _as_bytes(ids: pa.ListArray) -> pa.LargeBinaryArray:
@@ -416,7 +434,7 @@ def encoded(documents: DataFrame, path: str, *, pattern: str = public_tokenizers
 
     def scan(batches):
         encoder, own = Encoder(pattern, held.value), None
-        for unit in units(batches, "text", "block"):
+        for unit in units(batches, "text", "block", UNIT):
             unit = unit.combine_chunks()
             block = unit.column("block")[0].as_py()
             if block != own:

@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import gc
 import pickle
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -21,6 +22,9 @@ from pyspark.sql import functions as F
 #: Distinct words whose hash or features a Python worker keeps; beyond it the cache starts anew.
 CACHE_WORDS = 400_000
 
+#: Bytes of labelled text that a training reads at most, about; a document is read whole or not at all.
+SAMPLE_BYTES = 64 << 20
+
 #: Bytes of text that a Python worker takes up at once where it works row by row, and where it looks for distinct words.
 PART_BYTES, UNIT_BYTES = 4 << 20, 16 << 20
 
@@ -35,13 +39,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is set."""
+    """The folder that driver and executors share.
+
+    Where none is set, one of our own on a single machine; on a cluster that
+    would be a folder of each executor's own, so it is an error there.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
     held = spark.sparkContext._jsc.sc().getCheckpointDir()
     if held.isDefined():
         return held.get()
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sieveworks-"))
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 
@@ -194,12 +204,21 @@ def connected_components(edges: DataFrame, tag: str = "components") -> DataFrame
     return labels
 
 
-def labelled_sample(documents: DataFrame, labels: DataFrame, *, label: str, fold: int, held_out: int, per_class: int, doc_id: str = "doc_id", text: str = "text") -> list[tuple[int, str, int]]:
-    """(id, whole text, label) of at most per_class documents of each class outside the held-out fold.
+def free(columns: list[str], *names: str) -> list[str]:
+    """The names, with as many underscores before them as keep them apart from the columns."""
+    taken, mark = {c.lower() for c in columns}, "_"
+    while any((mark + n).lower() in taken for n in names):
+        mark += "_"
+    return [mark + n for n in names]
+
+
+def labelled_sample(documents: DataFrame, labels: DataFrame, *, label: str, fold: int, held_out: int, per_class: int, doc_id: str = "doc_id", text: str = "text", max_bytes: int = SAMPLE_BYTES) -> list[tuple[int, str, int]]:
+    """(id, whole text, label) of at most per_class documents and about half of max_bytes of text of each class, outside the held-out fold.
 
-    Those with the smallest hash of their id are taken, so the sample does not
-    depend on partitions.  Of several labels of a document the largest counts,
-    of several texts the smallest; null ids, labels and texts are left out.
+    Those with the smallest hash of their id are taken, at least one of a class,
+    so the sample does not depend on partitions.  Of several labels of a document
+    the largest counts, of several texts the smallest: repeated rows are made one
+    before anything reaches the driver.  Null ids, labels and texts are left out.
     """
     known = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where("doc_id is not null and y in (0, 1)").where(crc_mod("doc_id", fold) != held_out)
     known = known.groupBy("doc_id").agg(F.max("y").alias("y"))
@@ -208,8 +227,13 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, *, label: str, fold
         part = known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         taken = part if taken is None else taken.unionByName(part)
     docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("text is not null")
-    rows = docs.join(F.broadcast(taken), "doc_id").collect()  # at most 2 * per_class ids are broadcast
-    best: dict[int, tuple[str, int]] = {}
-    for r in rows:
-        best[r.doc_id] = min(best.get(r.doc_id, (r.text, r.y)), (r.text, r.y))
-    return [(i, *best[i]) for i in sorted(best)]
+    found = docs.join(F.broadcast(taken), "doc_id")  # at most 2 * per_class ids are broadcast
+    found = stored(found.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y")), "labelled")
+    sizes, keep, used = found.select("doc_id", "y", F.octet_length("text").alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect(), [], {0: 0, 1: 0}
+    for r in sizes:
+        if not used[r.y] or used[r.y] + r.n <= max_bytes // 2:
+            keep.append(r.doc_id)
+        used[r.y] += r.n
+    if len(keep) < len(sizes):
+        found = found.where(F.col("doc_id").isin(keep))
+    return sorted((r.doc_id, r.text, r.y) for r in found.collect())

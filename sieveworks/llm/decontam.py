@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, handed_out, plain_words, read_table, taken_in, windowed
+from .common import WordHashes, handed_out, plain_words, read_table, small, taken_in, windowed
 
 #: Each mask hashes the positions marked 1 and ignores the others, so that a substituted word between them does no harm.
 MASKS = ("11101011", "110110011", "1010011011", "11111")
@@ -29,60 +29,107 @@ class SeedIndex:
 
     def __init__(self, items: list[tuple[int, str]], min_item_tokens: int):
         hashes = WordHashes()
-        self.ids, self.words, self.whole = [], [], {}
+        self.ids, self.words, short = [], [], {}
         for item_id, text in items:
             h = hashes.of(plain_words(text))
             if len(h) >= min_item_tokens:
                 self.ids.append(item_id)
                 self.words.append(h)
             elif len(h):
-                self.whole.setdefault(h.tobytes(), []).append(item_id)
-        self.seeds = []
-        for mask in MASKS:
-            parts = [windowed(h, _offsets(mask)) for h in self.words]
-            at = np.concatenate([*parts, np.empty(0, np.uint64)])
-            owner = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p) for p in parts]) if parts else np.empty(0, np.int32)
-            pos = np.concatenate([*(np.arange(len(p), dtype=np.int32) for p in parts), np.empty(0, np.int32)])
-            order = np.argsort(at, kind="stable")
-            self.seeds.append((at[order], owner[order], pos[order]))
-
-    def hits(self, h: np.ndarray) -> set[tuple[int, int]]:
-        """(item, diagonal) of every seed that the document shares with an item."""
-        found: set[tuple[int, int]] = set()
-        for mask, (at, owner, pos) in zip(MASKS, self.seeds, strict=True):
-            own = windowed(h, _offsets(mask))
-            if not len(own) or not len(at):
-                continue
-            low = np.searchsorted(at, own)
-            for i in np.flatnonzero(at[np.minimum(low, len(at) - 1)] == own).tolist():
-                k = int(low[i])
-                while k < len(at) and at[k] == own[i]:
-                    found.add((int(owner[k]), i - int(pos[k])))
-                    k += 1
-        return found
+                short.setdefault(len(h), []).append((item_id, h))
+        owners = range(len(self.words))
+        self.seeds = [(_offsets(m), *_sorted_seeds([windowed(h, _offsets(m)) for h in self.words], owners)) for m in MASKS]
+        #: For each length of shorter items their ids and words, and the hashes of the items as wholes.
+        self.short = [(own, n, *_sorted_seeds([windowed(h, range(n)) for _, h in own], range(len(own)))[:2]) for n, own in sorted(short.items())]
+
+    def hits(self, h: np.ndarray) -> np.ndarray:
+        """item << 32 | diagonal (from 2^31) of every seed that the document shares with an item, each once."""
+        found = [np.empty(0, np.int64)]
+        for offsets, at, owner, pos in self.seeds:
+            place, seed = _shared(windowed(h, offsets), at)
+            counts = np.searchsorted(at, at[seed], "right") - seed
+            for lo, hi in _chunks(counts):
+                n = counts[lo:hi]
+                k = np.repeat(seed[lo:hi] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+                found = [np.unique(np.concatenate([*found, owner[k] << 32 | np.repeat(place[lo:hi], n) - pos[k] + (1 << 31)]))]
+        return found[0]
 
     def overlaps(self, h: np.ndarray, min_match: int, min_cover: float) -> list[tuple]:
         """The best verified overlap with each item: (item_id, matched, overlap, item tokens, start, end)."""
-        best: dict[int, tuple] = {}
-        for item, diagonal in self.hits(h):
-            got = aligned(h, self.words[item], diagonal)
-            need = min(min_match, math.ceil(min_cover * len(self.words[item])))
-            if got[0] >= need and (item not in best or (-got[0], got[2]) < (-best[item][0], best[item][2])):
-                best[item] = got
-        out = [(self.ids[item], m, e - s, len(self.words[item]), s, e) for item, (m, _, s, e) in sorted(best.items())]
-        n = len(h)
-        return out + [(i, n, n, n, 0, n) for i in self.whole.get(h.tobytes(), ())] if n else out
-
-
-def aligned(h: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, int, int, int]:
-    """The stretch of a diagonal that scores highest with 1 for an equal word and -2 for a substituted one: (matched, score, start, end) in the document."""
-    start, end = max(0, diagonal), min(len(h), diagonal + len(item))
-    same = h[start:end] == item[start - diagonal : end - diagonal]
-    total = np.concatenate([[0], np.cumsum(np.where(same, 1, -2))])
-    gain = total - np.minimum.accumulate(total)
-    last = int(np.argmax(gain))
-    first = int(np.flatnonzero(total[: last + 1] == total[: last + 1].min())[-1])
-    return int(same[first:last].sum()), int(gain[last]), start + first, start + last
+        out, hits = [], self.hits(h)
+        items, starts = np.unique(hits >> 32, return_index=True)
+        for item, own in zip(items.tolist(), np.split(hits, starts[1:]) if len(items) else (), strict=True):
+            words = self.words[item]
+            cover = math.ceil(min_cover * len(words))
+            matched, start, end = aligned(h, words, (own & (1 << 32) - 1) - (1 << 31), min(min_match, cover), cover)
+            if len(matched):
+                k = np.lexsort((start, -matched))[0]
+                out.append((self.ids[item], int(matched[k]), int(end[k] - start[k]), len(words), int(start[k]), int(end[k])))
+        for own, n, at, owner in self.short:
+            place, seed = _shared(windowed(h, range(n)), at)
+            first: dict[int, int] = {}
+            for k, i in dict(zip(seed[::-1].tolist(), place[::-1].tolist(), strict=True)).items():
+                for j in range(k, int(np.searchsorted(at, at[k], "right"))):
+                    if np.array_equal(own[owner[j]][1], h[i : i + n]):
+                        first[int(owner[j])] = i
+            out += [(own[o][0], n, n, n, i, i + n) for o, i in sorted(first.items())]
+        return out
+
+
+def _sorted_seeds(parts: list[np.ndarray], owners) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes in order, whose they are and where they stand."""
+    at = np.concatenate([*parts, np.empty(0, np.uint64)])
+    owner = np.repeat(np.array([*owners], np.int64), [len(p) for p in parts]) if parts else np.empty(0, np.int64)
+    pos = np.concatenate([*(np.arange(len(p)) for p in parts), np.empty(0, np.int64)])
+    order = np.argsort(at, kind="stable")
+    return at[order], owner[order], pos[order]
+
+
+def _shared(own: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of own whose value stands in the sorted at, and its first place there."""
+    if not len(own) or not len(at):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    low = np.searchsorted(at, own)
+    place = np.flatnonzero(at[np.minimum(low, len(at) - 1)] == own)
+    return place, low[place]
+
+
+def _chunks(counts: np.ndarray, limit: int = 1 << 20):
+    """Ranges whose counts add up to limit at most, or hold one entry."""
+    ends, lo = np.cumsum(counts), 0
+    while lo < len(counts):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + limit, "right")))
+        yield lo, hi
+        lo = hi
+
+
+def aligned(h: np.ndarray, item: np.ndarray, diagonals: np.ndarray, need: int, cover: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(matched, start, end) in the document of the overlaps on the diagonals.
+
+    A diagonal's overlap is the stretch that scores highest with 1 for an equal
+    word and -2 for a substituted one, if it holds need equal words; else all
+    from its first to its last equal word, if cover of them are equal.
+    """
+    out, n = [], len(item)
+    for lo in range(0, len(diagonals), max(1, (1 << 18) // n)):
+        d = diagonals[lo : lo + max(1, (1 << 18) // n)]
+        at = d[:, None] + np.arange(n)
+        inside = (at >= 0) & (at < len(h))
+        same = inside & (h[np.clip(at, 0, len(h) - 1)] == item)
+        row, equal = np.arange(len(d)), np.concatenate([np.zeros((len(d), 1), np.int64), np.cumsum(same, axis=1)], axis=1)
+        total = np.concatenate([np.zeros((len(d), 1), np.int64), np.cumsum(np.where(inside, np.where(same, 1, -2), 0), axis=1)], axis=1)
+        least = np.minimum.accumulate(total, axis=1)
+        last = np.argmax(total - least, axis=1)
+        upto = np.arange(n + 1) <= last[:, None]
+        first = n - np.argmax((upto & (total == least[row, last][:, None]))[:, ::-1], axis=1)
+        matched = equal[row, last] - equal[row, first]
+        whole = (matched < need) & (equal[:, n] >= cover)
+        matched = np.where(whole, equal[:, n], matched)
+        first = np.where(whole, np.argmax(same, axis=1), first)
+        last = np.where(whole, n - np.argmax(same[:, ::-1], axis=1), last)
+        good = matched >= need
+        out.append((matched[good], (d + first)[good], (d + last)[good]))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
 def benchmark_blocks(benchmark: DataFrame, item_id: str, text: str, min_item_tokens: int, block_bytes: int = BLOCK_BYTES):
@@ -102,13 +149,18 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_i
     are looked up for every position of every whole document; around each hit
     the whole diagonal is compared, and the stretch that scores best (1 for an
     equal word, -2 for a substituted one) must hold min_match equal words, or
-    min_cover of a shorter item.  Items under min_item_tokens words match only a
-    document that consists of exactly those words.
+    min_cover of a shorter item; or the whole diagonal must hold min_cover of the
+    item.  Items under min_item_tokens words are too short for seeds; they are
+    found wherever all their words stand in a row.
 
     The benchmark is the query set: it is indexed in blocks of bounded size, and
     every document is compared with every block in the map tasks, without a
-    shuffle.  Null or wordless texts on either side overlap with nothing; rows
-    with equal ids are separate documents or items; other columns are ignored.
+    shuffle.  The work for a document grows with its words, times an item's where
+    both repeat one seed throughout.
+
+    Null or wordless texts on either side overlap with nothing, and so do empty
+    tables; rows with equal ids are separate documents or items; null ids stay
+    null; other columns are ignored, whatever their names.
     """
     docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     out = None
@@ -117,7 +169,7 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_i
 
         def scan(batches, held=held):
             index, hashes = taken_in(held), WordHashes()
-            for batch in batches:
+            for batch in small(batches, 1):
                 rows = []
                 for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                     rows += [(d, *x) for x in index.overlaps(hashes.of(plain_words(t)), min_match, min_cover)]
@@ -137,7 +189,7 @@ def uncontaminated(documents: DataFrame, benchmark: DataFrame, *, text: str = "t
 
         def keep(batches, held=held):
             index, hashes = taken_in(held), WordHashes()
-            for batch in batches:
+            for batch in small(batches, at):
                 clean = [not index.overlaps(hashes.of(plain_words(t)), min_match, min_cover) for t in batch.column(at).to_pylist()]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 

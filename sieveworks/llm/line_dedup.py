@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import read_table, stored
+from .common import free, read_table, stored
 
 #: White space that is stripped from a line and that parts its words.
 SPACE = " \t\r\f\x0b"
@@ -13,9 +13,9 @@ SPACE = " \t\r\f\x0b"
 KEY = ("nd", "d", "m")
 
 
-def _keyed(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Adds the document's place in the order of documents: null ids last, equal ids by a hash of the text."""
-    return documents.withColumns({"__nd": F.col(doc_id).isNull(), "__d": F.coalesce(F.col(doc_id).cast("long"), F.lit(0)), "__m": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
+def _place(doc_id: str, text: str) -> list[Column]:
+    """The document's place in the order of documents: null ids last, equal ids by a hash of the text."""
+    return [F.col(doc_id).isNull(), F.coalesce(F.col(doc_id).cast("long"), F.lit(0)), F.xxhash64(F.coalesce(F.col(text), F.lit("")))]
 
 
 def _stripped(line: Column) -> Column:
@@ -24,8 +24,7 @@ def _stripped(line: Column) -> Column:
 
 def line_arrays(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     """For each distinct document the numbers, hashes and word counts of its lines that hold a word."""
-    keyed = _keyed(documents.select(doc_id, text), doc_id, text)
-    lines = keyed.select(*(F.col(f"__{k}").alias(k) for k in KEY), F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1).alias("lines"))
+    lines = documents.select(*(c.alias(k) for k, c in zip(KEY, _place(doc_id, text), strict=True)), F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1).alias("lines"))
     lines = lines.withColumn("idx", F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda j: _stripped(F.get("lines", j)) != ""))
     found = lines.select(
         *KEY,
@@ -133,20 +132,28 @@ def deduplicated(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "t
 
     Null texts stay null and have no lines.  Null ids come last in the order;
     rows with equal ids and texts count as one document and all get its result;
-    equal ids with different texts are ordered by a hash of the text.
+    equal ids with different texts are ordered by a hash of the text.  An empty
+    table gives no rows.  A long text is a long array of lines, in one row.
+    Columns of the input named lines_before or lines_removed give way to those
+    of the result; others may have any names.
     """
     runs = repeated_runs(documents, doc_id=doc_id, text=text, gram_words=gram_words, run_words=run_words, every_run=every_run)
-    keyed = _keyed(documents, doc_id, text)
-    joined = keyed.join(runs.select(*(F.col(k).alias(f"__{k}") for k in KEY), F.col("runs").alias("__runs")), [f"__{k}" for k in KEY], "left")
+    *key, found, kept, before = free(documents.columns, *KEY, "runs", "kept", "before")
+    placed = documents.withColumns(dict(zip(key, _place(doc_id, text), strict=True)))
+    joined = placed.join(runs.select(*(F.col(k).alias(n) for k, n in zip(KEY, key, strict=True)), F.col("runs").alias(found)), key, "left")
     lines = F.split(F.col(text), "\n", -1)
-    kept = F.transform(
-        F.filter(F.transform(lines, lambda x, j: F.struct(x.alias("x"), j.alias("j"))), lambda s: ~F.exists("__runs", lambda r: s.j.between(r.a, r.b))),
+    left = F.transform(
+        F.filter(F.transform(lines, lambda x, j: F.struct(x.alias("x"), j.alias("j"))), lambda s: ~F.exists(found, lambda r: s.j.between(r.a, r.b))),
         lambda s: s.x,
     )
-    cut = F.col("__runs").isNotNull()
-    out = joined.withColumn("lines_before", F.coalesce(F.size(lines), F.lit(0))).withColumn("__kept", F.when(cut, kept))
-    out = out.withColumn("lines_removed", F.when(cut, F.col("lines_before") - F.size("__kept")).otherwise(0))
-    return out.select(*(F.when(cut, F.array_join("__kept", "\n")).otherwise(F.col(text)).alias(text) if c == text else F.col(c) for c in documents.columns), "lines_before", "lines_removed")
+    cut = F.col(found).isNotNull()
+    out = joined.withColumn(before, F.coalesce(F.size(lines), F.lit(0))).withColumn(kept, F.when(cut, left))
+    own = [c for c in documents.columns if c.lower() not in ("lines_before", "lines_removed")]
+    return out.select(
+        *(F.when(cut, F.array_join(kept, "\n")).otherwise(F.col(text)).alias(text) if c == text else F.col(c) for c in own),
+        F.col(before).alias("lines_before"),
+        F.when(cut, F.col(before) - F.size(kept)).otherwise(0).alias("lines_removed"),
+    )
 
 
 def op10_line_winnow(spark, sf_dir: str) -> DataFrame:

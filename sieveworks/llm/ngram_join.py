@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, connected_components, handed_out, mixed, read_table, stored, taken_in, windowed
+from .common import WordHashes, connected_components, free, handed_out, mixed, read_table, small, stored, taken_in, windowed
 
 #: Slots of the table of shingle frequencies; 4 bytes each are broadcast, at any size of the input.
 SLOTS = 1 << 22
@@ -110,7 +110,7 @@ def surveyed(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
 
     def scan(batches):
         hashes, table = WordHashes(), np.zeros(SLOTS, np.int64)
-        for batch in batches:
+        for batch in small(batches, "text"):
             got, slots = [], []
             for s, g in _sets(batch, hashes, n):
                 got.append((len(s), g, profile(s) if len(s) else b""))
@@ -165,7 +165,7 @@ def prefixes(docs: DataFrame, table: np.ndarray, n: int, percent: int) -> DataFr
 
     def scan(batches):
         hashes, counts, seen = WordHashes(), held.value, set()
-        for batch in batches:
+        for batch in small(batches, "text"):
             out = []
             for s, g in _sets(batch, hashes, n):
                 if not len(s) or g in seen:
@@ -415,7 +415,7 @@ def sets_of(docs: DataFrame, members: DataFrame, sigs: DataFrame, n: int) -> Dat
 
     def scan(batches):
         hashes, bloom, seen = WordHashes(), taken_in(held), set()
-        for batch in batches:
+        for batch in small(batches, "text"):
             ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
             own = batch.filter(pa.array(bloom.has(ids)))
             got = []
@@ -516,26 +516,26 @@ def one_of_each(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "te
 
     The row with the smallest id stays (null counts as the largest), of equal
     ids that with the smallest hash of its text, of equal texts one.  Null and
-    wordless texts all stay.
+    wordless texts all stay.  Other columns may have any names.
     """
     members, labels = linked_sets(_plain(documents, doc_id, text), n, percent)
     place = F.struct(F.col("doc_id").isNull().alias("null"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("text_hash").alias("hash"))
     own = members.where("size > 0").groupBy("sig").agg(F.min(place).alias("first")).join(labels, "sig", "left")
     stays = own.groupBy(F.coalesce("component", "sig").alias("component")).agg(F.min("first").alias("first")).select("first.*")
-    names = ["__null", "__id", "__hash"]
+    *names, key = free(documents.columns, "null", "id", "hash", "key")
     stays = stored(stays.toDF(*names), "stays")
     rows = members.where("size > 0").select(place.alias("p")).select("p.*").toDF(*names).groupBy(*names).agg(F.count("*").alias("n"))
     doubtful = rows.join(stays.withColumn("one", F.lit(True)), names, "left").where("one is null or n > 1").select(F.xxhash64(*names).alias("key"))
     held = handed_out(documents.sparkSession, bloom_of(doubtful))
-    placed = documents.withColumns({"__null": F.col(doc_id).isNull(), "__id": F.coalesce(F.col(doc_id).cast("long"), F.lit(0)), "__hash": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
+    placed = documents.withColumns(dict(zip(names, (F.col(doc_id).isNull(), F.coalesce(F.col(doc_id).cast("long"), F.lit(0)), F.xxhash64(F.coalesce(F.col(text), F.lit("")))), strict=True)))
     worded = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    placed = placed.withColumn("__key", F.when(worded, F.xxhash64(*names)))
+    placed = placed.withColumn(key, F.when(worded, F.xxhash64(*names)))
 
     def sift(batches, doubted):
         bloom = taken_in(held)
         for batch in batches:
-            key = batch.column("__key")
-            hit = bloom.has(key.fill_null(0).to_numpy(zero_copy_only=False)) & ~key.is_null().to_numpy(zero_copy_only=False)
+            keys = batch.column(key)
+            hit = bloom.has(keys.fill_null(0).to_numpy(zero_copy_only=False)) & ~keys.is_null().to_numpy(zero_copy_only=False)
             yield batch.filter(pa.array(hit == doubted))
 
     sure = placed.mapInArrow(lambda batches: sift(batches, False), placed.schema)

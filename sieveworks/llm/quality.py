@@ -9,7 +9,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, handed_out, labelled_sample, read_table, taken_in
+from .common import crc_mod, handed_out, labelled_sample, read_table, small, taken_in
 
 #: Bytes of each dictionary, the compression level, and the bytes of text compressed at once, so that a dictionary counts throughout a long text.
 DICTIONARY_BYTES, LEVEL, BLOCK = 112_640, 3, 2048
@@ -17,8 +17,8 @@ DICTIONARY_BYTES, LEVEL, BLOCK = 112_640, 3, 2048
 #: Labelled documents of each class that training reads at most.
 SAMPLE_PER_CLASS = 2500
 
-#: Training pieces for the dictionaries: their length, and the most that one document gives (evenly spaced over its whole text).
-PIECE, PIECES = 1024, 8
+#: The length of the pieces that the dictionaries are trained on; every sampled text is cut up whole.
+PIECE = 1024
 
 
 class CompressionClassifier:
@@ -65,17 +65,16 @@ class CompressionClassifier:
 
 
 def dictionary(texts: list[str]) -> bytes:
-    """A trained zstandard dictionary, or the text itself where there is too little to train on."""
-    pieces = []
+    """A trained zstandard dictionary of whole texts, or the distinct pieces themselves where they are too few or too alike to train on."""
+    pieces: dict[bytes, None] = {}
     for t in texts:
         raw = t.encode("utf-8", "surrogatepass")
-        starts = sorted({int(s) for s in np.linspace(0, max(0, len(raw) - PIECE), PIECES)})
-        pieces += [raw[s : s + PIECE] for s in starts]
-    pieces = [p for p in pieces if len(p) >= 8]
+        pieces.update((raw[i : i + PIECE], None) for i in range(0, len(raw), PIECE))
+    found = [p for p in pieces if len(p) >= 8]
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, pieces).as_bytes()
+        return zstandard.train_dictionary(DICTIONARY_BYTES, found).as_bytes()
     except (zstandard.ZstdError, ValueError):
-        return b"".join(pieces)[:DICTIONARY_BYTES]
+        return b"".join(found)
 
 
 def train(documents: DataFrame, labels: DataFrame, *, label: str = "quality", fold: int = 4, held_out: int = 2, per_class: int = SAMPLE_PER_CLASS, doc_id: str = "doc_id", text: str = "text") -> CompressionClassifier:
@@ -106,14 +105,15 @@ def scored(documents: DataFrame, model: CompressionClassifier, *, doc_id: str =
 
     The whole text is compressed, in blocks.  Null and empty texts score as a
     text on which neither dictionary saves anything; without any usable label
-    every score is 0.5.  Repeated rows are scored each; a null id stays null.
+    every score is 0.5.  Repeated rows are scored each; a null id stays null; an
+    empty table gives no rows; other columns are ignored, whatever their names.
     """
     held = handed_out(documents.sparkSession, model)
 
     def scan(batches):
         model = taken_in(held)
         pair = model.compressors()
-        for batch in batches:
+        for batch in small(batches, "text"):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([model.score(pair, t) for t in batch.column(1).to_pylist()], pa.float64())], names=["doc_id", "score"])
 
     return documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(scan, "doc_id long, score double")

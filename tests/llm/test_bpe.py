@@ -1,3 +1,4 @@
+import functools
 import hashlib
 import random
 import struct
@@ -72,6 +73,7 @@ def test_blocks_of_any_size_and_other_words_give_the_same(spark, docs, library,
 
 def test_a_word_that_its_table_lacks_is_encoded(ranks, library):
     encoder = bpe.Encoder(public_tokenizers.PATTERN, ranks)
+    encoder.encode(pa.array(["words", "no"]))
     ids, ends, decoded, _ = encoder.encode(pa.array(["new words", None, "", "here"]))
     assert ids.tolist() == library.encode_ordinary("new words") + library.encode_ordinary("here") and ends.tolist()[1:4] == [2, 2, 2]
     assert decoded.to_pybytes()[:13] == b"new wordshere"
@@ -121,17 +123,22 @@ def test_texts_are_put_together_from_distinct_words(texts):
     find = bpe.splitter(public_tokenizers.PATTERN)
     arr = pa.array(texts, pa.string())
     assert bpe.cut(pa.array([t or "" for t in texts], pa.string())).to_pylist() == [bpe.pieces(t or "") for t in texts]
-    words = bpe.Words(find, arr, True)
-    data, ends = words.texts(words.distinct.cast(pa.large_binary()))
-    whole = data.to_pybytes() if data is not None else b""
-    assert [whole[i:j].decode() for i, j in zip(ends, ends[1:], strict=False)] == [t or "" for t in texts]
+    own = bpe.Pieces(arr, True)
+    words = bpe.Words(find, own.distinct, True)
+    assert words.pieces(words.distinct.cast(pa.large_binary())).to_pylist() == [p.encode() for p in own.distinct.to_pylist()]
+    parts = [own.distinct[i].as_py() for i in own.at]
+    assert ["".join(parts[i:j]) for i, j in zip(own.text_ends, own.text_ends[1:], strict=False)] == [t or "" for t in texts]
     assert set(words.distinct.to_pylist()) == {w for t in texts for w in find(t or "")}
 
 
+@functools.cache
+def own():
+    ranks = bpe.read_ranks(PATH)
+    return ranks, tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.binary(min_size=1, max_size=60))
 def test_heap_equals_the_library(raw):
-    ranks = bpe.read_ranks(PATH)
-    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}) if not hasattr(test_heap_equals_the_library, "e") else test_heap_equals_the_library.e
-    test_heap_equals_the_library.e = library
+    ranks, library = own()
     assert bpe.heap_merged(raw, ranks) == library._encode_single_piece(raw)

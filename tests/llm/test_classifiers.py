@@ -101,3 +101,82 @@ def test_without_labels(spark, corpus):
     assert {r.score for r in quality.scored(docs.limit(5), quality.train(docs, none)).collect()} == {0.5}
     assert toxicity.scored(docs.limit(0), toxicity.train(docs, none)).count() == 0
     assert toxicity.train(docs.limit(0), labels).logit(np.array([1]), np.array([2])) is not None
+
+
+def test_a_score_equals_a_plain_forward_pass(corpus):
+    """Embeddings, filters, maxima and the logistic unit word by word, without the operator's arrays."""
+    import math
+
+    import xxhash
+
+    docs, labels = corpus
+    net = toxicity.train(docs, labels)
+    half = toxicity.ROWS // 2
+    for text in ("river idiot stone", "The of river", "x", ""):
+        words = text.lower().split()
+        x = [net.embed[xxhash.xxh3_64_intdigest(w) % half] + net.embed[half + xxhash.xxh3_64_intdigest(w[: toxicity.STEM], seed=1) % half] for w in words]
+        pooled = []
+        for width, filters, bias in zip(toxicity.WIDTHS, net.conv, net.bias, strict=True):
+            padded = x + [np.zeros(toxicity.DIM)] * max(0, width - len(x))
+            for f in range(toxicity.FILTERS):
+                pooled.append(max(0.0, max(sum(float(padded[i + j] @ filters[j][:, f]) for j in range(width)) + float(bias[f]) for i in range(len(padded) - width + 1))))
+        logit = float(np.array(pooled) @ net.out + net.shift[0])
+        lang = max(range(4), key=lambda k: (sum(w in list(toxicity.FUNCTION_WORDS.values())[k].split() for w in words), -k))
+        lang = lang if any(w in v.split() for w in words for v in toxicity.FUNCTION_WORDS.values()) else 4
+        want = 1 / (1 + math.exp(-(logit - net.threshold[lang])))
+        assert toxicity._scores(net, toxicity.Vocabulary(), [text])[0] == pytest.approx(want, abs=1e-5)
+
+
+def test_thresholds_of_few_labels_come_from_texts_that_were_not_learned(monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity.Network, "train", lambda self, texts, y: seen.append({t[2] for t in texts}))
+    monkeypatch.setattr(toxicity.Network, "logit", lambda self, w, s: 0.0)
+    texts = [(np.array([1]), np.array([20_000]), k) for k in range(20)]
+    monkeypatch.setattr(toxicity.Network, "calibrate", lambda self, *a: None)
+    toxicity.fitted(texts, np.arange(20) % 2, np.arange(20, dtype=np.uint64))
+    assert len(seen) == toxicity.FOLDS + 1 and seen[-1] == set(range(20)) and all(s == {i for i in range(20) if i % toxicity.FOLDS != k} for k, s in enumerate(seen[:-1]))
+
+
+def test_a_quality_score_is_the_difference_of_raw_compressed_sizes(corpus):
+    import math
+
+    import zstandard
+
+    docs, labels = corpus
+    model = quality.train(docs, labels)
+    for text in ("river stone green " * 400, "RIVER!! STONE!!", "short", "é" * 5000):
+        raw, sizes = text.encode(), []
+        for d in (model.good, model.bad):
+            c = zstandard.ZstdCompressor(level=quality.LEVEL, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_dict_id=False)
+            sizes.append(sum(len(c.compress(raw[i : i + quality.BLOCK])) for i in range(0, len(raw), quality.BLOCK)))
+        x = [(sizes[1] - sizes[0]) / sum(sizes), math.log(min(sizes) / len(raw))]
+        logit = sum(w * (v - m) / s for w, v, m, s in zip(model.weights, x, model.mean, model.std, strict=False)) + model.weights[2]
+        assert model.score(model.compressors(), text) == pytest.approx(1 / (1 + math.exp(-logit)), abs=1e-9)
+
+
+def test_dictionaries_read_whole_texts():
+    tail = ["x" * 20_000 + f" tail{k % 7} of the text {k}" * 30 for k in range(40)]
+    assert b"of the text" in quality.dictionary(tail)
+    assert quality.dictionary(["only one text", "only one text"]) == b"only one text" and quality.dictionary([]) == b""
+
+
+def test_repeated_rows_and_long_texts_are_bounded_before_the_driver(spark, corpus):
+    from sieveworks.llm.common import labelled_sample
+
+    docs = spark.createDataFrame([(1, "b"), (2, "c" * 900), (3, "d" * 900), (4, "e" * 5)] + [(1, "a")] * 300, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in (1, 2, 3, 4)] * 2 + [(1, 0)], "doc_id long, toxic int")
+    ask = dict(label="toxic", fold=1, held_out=5, per_class=10)
+    assert labelled_sample(docs, labels, **ask) == [(1, "a", 1), (2, "c" * 900, 1), (3, "d" * 900, 1), (4, "e" * 5, 1)]
+    some = labelled_sample(docs, labels, **ask, max_bytes=2000)
+    assert 1 <= len(some) < 4 and all(len(t) in (1, 5, 900) for _, t, _ in some)
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_fixtures_on_their_held_out_folds(spark, sf):
+    """Real tables: few labels and many."""
+    read = lambda t: spark.read.parquet(f"/root/testdata/{sf}/{t}.parquet")
+    labels = read("labels")
+    for op, column in ((toxicity.op8_toxicity_cnn, "toxic"), (quality.op3_compression_quality, "quality")):
+        got = op(spark, f"/root/testdata/{sf}").where("held_out").join(labels.select("doc_id", F.col(column).alias("y")), "doc_id").collect()
+        hit, false, missed = (sum(1 for r in got if (r.predicted, r.y) == p) for p in ((1, 1), (1, 0), (0, 1)))
+        assert hit / (hit + false) > 0.7 and hit / (hit + missed) > 0.6, (sf, column, hit, false, missed)

@@ -16,21 +16,22 @@ def brute(docs, items, min_match=13, min_cover=0.75, least=8):
             if not v:
                 continue
             if len(v) < least:
-                if w == v:
+                if any(w[k : k + len(v)] == v for k in range(len(w))):
                     out.add((d, i))
                 continue
             for g in range(-len(v) + 1, len(w)):
                 best = run = 0
-                matched = 0
+                matched = whole = 0
                 for k in range(max(0, g), min(len(w), g + len(v))):
                     same = w[k] == v[k - g]
+                    whole += same
                     if run == 0:
                         matched = 0
                     run = max(0, run + (1 if same else -2))
                     matched = matched + same if run else 0
                     if run > best:
                         best, got = run, matched
-                if best and got >= min(min_match, math.ceil(min_cover * len(v))):
+                if best and got >= min(min_match, math.ceil(min_cover * len(v))) or whole >= math.ceil(min_cover * len(v)):
                     out.add((d, i))
     return out
 
@@ -57,6 +58,26 @@ def test_equals_brute_force_with_substitutions(spark, docs):
     assert got <= want and {p for p in want - got} == set()
 
 
+def test_two_substitutions_near_an_end_and_short_items_inside_texts(spark, docs):
+    item = " ".join(f"q{k}" for k in range(15))
+    changed = item.split()
+    changed[2] = changed[7] = "other"
+    bench = spark.createDataFrame([(1, item), (2, "which of these"), (3, "which of those"), (2, "one")], "item_id long, text string")
+    rows = [(10, "before " + " ".join(changed) + " after"), (11, "so: Which of these, which OF these?"), (12, "which of them"), (13, "one")]
+    got = sorted(map(tuple, decontam.overlaps(docs(rows), bench).select("doc_id", "item_id", "matched", "overlap", "doc_start", "doc_end").collect()))
+    assert got == [(10, 1, 13, 15, 1, 16), (11, 2, 3, 3, 1, 4), (13, 2, 1, 1, 0, 1)]
+
+
+def test_texts_that_repeat_one_word_are_compared_in_bounded_steps(spark, docs, monkeypatch):
+    bench = spark.createDataFrame([(1, "ha " * 600), (2, "other words " * 10)], "item_id long, text string")
+    rows = [(1, "ha " * 4_000), (2, "ha " * 599), (3, "other words " * 9), (4, "none")]
+    want = [(1, 1, 600), (2, 1, 599), (3, 2, 18)]
+    got = lambda: sorted((x.doc_id, x.item_id, x.matched) for x in decontam.overlaps(docs(rows), bench).collect())
+    assert got() == want
+    monkeypatch.setattr(decontam._chunks, "__defaults__", (50_000,))
+    assert got() == want
+
+
 def test_blocks_give_the_same(spark, docs, monkeypatch):
     items = [(k, " ".join(f"i{k}w{j}" for j in range(20))) for k in range(30)]
     rows = [(k, "x y z " + items[k][1] + " tail") for k in range(30)]

@@ -160,6 +160,10 @@ def test_repeated_rows_clashing_columns_and_empty(spark, docs):
     assert out.columns == [*df.columns, "lines_before", "lines_removed"]
     assert sorted((r.doc_id, r.text) for r in out.collect()) == [(1, text), (1, text), (1, text + " more"), (2, "")]
     assert L.deduplicated(df.limit(0)).count() == 0
+    clash = df.withColumnsRenamed({"n_chars": "lines_before", "lang": "_nd", "source": "__runs", "runs": "LINES_REMOVED"})
+    again = L.deduplicated(clash)
+    assert again.columns == ["doc_id", "text", "_nd", "__runs", "lines_before", "lines_removed"]
+    assert sorted((r.doc_id, r.text, r.lines_before, r.lines_removed, r._nd) for r in again.collect()) == [(1, text, 1, 0, "en"), (1, text, 1, 0, "en"), (1, text + " more", 1, 0, "en"), (2, "", 1, 1, "en")]
 
 
 def test_main_path_is_native(spark, docs):

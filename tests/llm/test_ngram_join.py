@@ -75,6 +75,8 @@ def test_empty(spark, docs):
 def test_one_of_each(spark, docs):
     long = " ".join(f"v{k}" for k in range(40))
     df = docs([(3, long), (1, long + " end"), (1, long + " end"), (2, "quite other text"), (4, None), (5, ""), (None, long)])
+    clash = N.one_of_each(df.withColumnsRenamed({"n_chars": "__id", "lang": "_null", "sig": "_key", "source": "_hash"}))
+    assert sorted((r.doc_id, r["__id"], r._key, r._null) for r in clash.collect()) == [(1, len(long) + 4, 7, "en"), (2, 16, 7, "en"), (4, 0, 7, "en"), (5, 0, 7, "en")]
     kept = N.one_of_each(df)
     assert kept.columns == df.columns
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 4, 5]
