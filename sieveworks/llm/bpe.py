@@ -21,7 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table, shared_path, stored, units
+from .common import give_back, read_table, shared_path, stored, units
 
 #: Longer words are merged with a heap: the fold's work grows with the square of a word's bytes.
 FOLD_BYTES = 48
@@ -184,7 +184,9 @@ class RankMap:
 @functools.lru_cache(maxsize=4)
 def _rank_map(path: str, changed: int) -> RankMap:
     """The rank map of a vocabulary file as it stands; it takes some seconds to build."""
-    return RankMap(read_ranks(path))
+    table = RankMap(read_ranks(path))
+    give_back()
+    return table
 
 
 def _listed(values: np.ndarray, blank: int | None = -1) -> str:
@@ -431,6 +433,7 @@ def encoded(documents: DataFrame, path: str, *, pattern: str = public_tokenizers
     by_word.join(own, "word").select("block", "word", "ids").repartition("block").write.partitionBy("block").parquet(root)
 
     held = spark.sparkContext.broadcast(ranks)  # of the size of the vocabulary
+    give_back()
 
     def scan(batches):
         encoder, own = Encoder(pattern, held.value), None
