@@ -30,13 +30,13 @@ def _listing(df: DataFrame, lane: str, **cols: Column) -> DataFrame:
 
 def board_listings(items: DataFrame, rules: SnippetRules = SnippetRules()) -> DataFrame:
     """Items with position, company, url, date, description, tags and pos."""
-    return _listing(items, FRACTIONAL, source=F.lit("remoteok"), title=X.one_line("position"), company=X.one_line("company"), url=_or_empty("url"), posted_date=_or_empty("date"), snippet=X.snippet(X.strip_html("description"), rules), tags=F.coalesce("tags", F.array().cast("array<string>")), pos=F.col("pos"))
+    return _listing(items, FRACTIONAL, source=F.lit("remoteok"), title=_or_empty("position"), company=_or_empty("company"), url=_or_empty("url"), posted_date=_or_empty("date"), snippet=X.snippet(X.strip_html("description"), rules), tags=F.coalesce("tags", F.array().cast("array<string>")), pos=F.col("pos"))
 
 
 def feed_listings(items: DataFrame, rules: SnippetRules = SnippetRules()) -> DataFrame:
     """Feed items with title, link, pubDate, description and pos."""
     parted = items.withColumn("__t", X.title_parts("title"))
-    return _listing(parted, FRACTIONAL, source=F.lit("weworkremotely"), title=X.one_line(F.col("__t.role")), company=X.one_line(F.col("__t.company")), url=_or_empty("link"), posted_date=_or_empty("pubDate"), snippet=X.snippet(X.strip_html("description"), rules), pos=F.col("pos"))
+    return _listing(parted, FRACTIONAL, source=F.lit("weworkremotely"), title=_or_empty("__t.role"), company=_or_empty("__t.company"), url=_or_empty("link"), posted_date=_or_empty("pubDate"), snippet=X.snippet(X.strip_html("description"), rules), pos=F.col("pos"))
 
 
 def thread_listings(items: DataFrame, roles: RoleRules = RoleRules(), rules: SnippetRules = SnippetRules(head=THREAD_HEAD_CHARS)) -> DataFrame:

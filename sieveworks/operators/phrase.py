@@ -18,7 +18,7 @@ def evaluated(listings: DataFrame, rules: PhraseRules = PhraseRules(), text: Col
     base = listings.withColumn("__text", X.match_text(text))
     tier1 = reduce(lambda a, b: a | b, (F.col("__text").contains(p) for p in rules.phrases), F.lit(False))
     role, foundation = X.matches("__text", rules.role), X.matches("__text", rules.foundation)
-    base = base.withColumns({"tier1": tier1, "tier2": X.near("__text", rules.role, rules.foundation, rules.window), "near_miss": role != foundation})
+    base = base.withColumns({"tier1": tier1, "tier2": role & foundation & X.near("__text", rules.role, rules.foundation, rules.window), "near_miss": role != foundation})
     return base.withColumn("passes", F.col("tier1") | F.col("tier2")).drop("__text")
 
 

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 
 def by_source(rows: DataFrame) -> DataFrame:
-    """A2: status, attempts and count of each source."""
-    return rows.groupBy("name").agg(F.max("status").alias("status"), F.max("attempts").alias("attempts"), F.sum("count").alias("count"))
+    """A2: status, attempts and count of each source; of several rows a failure counts before a success, and that before a skip."""
+    worst = F.when(F.bool_or(F.col("status") == "failed"), "failed").when(F.bool_or(F.col("status") == "success"), "success").otherwise(F.max("status"))
+    return rows.groupBy("name").agg(worst.alias("status"), F.max("attempts").alias("attempts"), F.sum("count").alias("count"))
 
 
 def totals(rows: DataFrame) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime
 import json
+import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -13,12 +16,14 @@ from pyspark.sql import functions as F
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is set."""
+    """The folder that driver and executors share; where none is set, one of our own on a single machine, and an error on a cluster."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
+        if not re.fullmatch(r"local(\[[^]]*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="sieveworks-"))
     return context._jsc.sc().getCheckpointDir().get()
 
@@ -41,9 +46,26 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """K1: a small file by a temporary one and a rename, on any file system of Spark's; a failed write keeps the old content."""
+    """K1: a small file by a temporary one and a rename over the old one, on any file system of Spark's; whatever fails, the old content or the new is there whole."""
     target, filesystem = _path(spark, path)
     part, _ = _path(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    if filesystem.getScheme() == "file":
+        own, at = part.toUri().getPath(), target.toUri().getPath()
+        folder, _, name = at.rpartition("/")
+        os.makedirs(folder, exist_ok=True)
+        try:
+            with open(own, "wb") as f:
+                f.write(text.encode())
+                f.flush()
+                os.fsync(f.fileno())
+            with contextlib.suppress(FileNotFoundError):
+                os.remove(f"{folder}/.{name}.crc")  # Spark's checksum of another content
+            os.replace(own, at)
+        except BaseException:
+            with contextlib.suppress(FileNotFoundError):
+                os.remove(own)
+            raise
+        return
     out = filesystem.create(part, True)
     try:
         out.write(bytearray(text.encode()))
@@ -52,10 +74,10 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         filesystem.delete(part, False)
         raise
     out.close()
-    if filesystem.exists(target):
-        filesystem.delete(target, False)
-    if not filesystem.rename(part, target):
-        raise OSError(f"can't move {part} to {target}")
+    kind = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+    over = spark.sparkContext._gateway.new_array(kind, 1)
+    over[0] = kind.OVERWRITE
+    spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration()).rename(filesystem.makeQualified(part), filesystem.makeQualified(target), over)
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:

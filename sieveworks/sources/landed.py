@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
+from xml.etree import ElementTree
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +15,6 @@ from ..functions import text as X
 from ..runstate import exists
 
 BOARD_ITEM = "struct<id:string,date:string,company:string,position:string,tags:array<string>,description:string,url:string>"
-FEED_ITEM = "struct<title:string,link:string,pubDate:string,description:string>"
 JOB = "struct<id:string,title:string,text:string,absolute_url:string,jobUrl:string,hostedUrl:string,first_published:string,publishedAt:string,createdAt:string,content:string,descriptionPlain:string,description:string>"
 
 #: Rows of a feed at most, which part its positions from those of the next.
@@ -30,12 +32,18 @@ def board_items(spark: SparkSession, path: str) -> DataFrame:
 
 
 def feed_items(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The items of RSS files, in the files' order; missing children are ''."""
+    """The items of RSS files at any depth, in the files' order; missing children are ''.  A file that isn't XML is an error."""
+    fields = ("title", "link", "pubDate", "description")
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for feed in batch.column(0).to_pylist():
+                items = [[(item.findtext(f) or "").strip() for f in fields] for item in ElementTree.fromstring(feed).iterfind(".//item")]
+                yield pa.RecordBatch.from_arrays([pa.array(range(len(items)), pa.int64()), *(pa.array([i[k] for i in items], pa.string()) for k in range(len(fields)))], names=["pos", *fields])
 
     def one(k: int, path: str) -> DataFrame:
-        parsed = F.from_xml(F.col("value"), f"channel struct<item:array<{FEED_ITEM}>>", {"rowTag": "rss"})
-        rows = _whole(spark, path).select(F.posexplode(parsed["channel"]["item"]).alias("pos", "item"))
-        return rows.select((F.col("pos") + F.lit(k * FEED_SPAN)).alias("pos"), *(X.strip(F.coalesce(F.col(f"item.{c}"), F.lit(""))).alias(c) for c in ("title", "link", "pubDate", "description")))
+        rows = _whole(spark, path).mapInArrow(parse, "pos long, title string, link string, pubDate string, description string")
+        return rows.withColumn("pos", F.col("pos") + F.lit(k * FEED_SPAN))
 
     return reduce(DataFrame.unionByName, (one(k, p) for k, p in enumerate(paths)))
 
@@ -59,10 +67,17 @@ def companies(spark: SparkSession, path: str) -> DataFrame:
 
 
 def company_results(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """Pages (company, pos, http_status, body) to company, pos, status, attempts, count, jobs, error: 404 is skipped, lists are read by the company's system."""
+    """Pages (company, pos, http_status, body and, if there, attempts) to company, pos, status, attempts, count, jobs, error.
+
+    404 is skipped, an answer that isn't JSON failed, as any other HTTP status;
+    lists are read by the company's system.
+    """
     inside = F.from_json("body", f"jobs array<{JOB}>")["jobs"]
     bare = F.when(F.ltrim("body").startswith("["), F.from_json("body", f"array<{JOB}>"))
     jobs = F.coalesce(F.when(F.col("company.ats") == "lever", bare).otherwise(inside), F.from_json(F.lit("[]"), f"array<{JOB}>"))
-    status = F.when(F.col("http_status") == 404, "skipped").when(F.col("http_status") == 200, "success").otherwise("failed")
+    readable = F.try_parse_json("body").isNotNull()
+    status = F.when(F.col("http_status") == 404, "skipped").when((F.col("http_status") == 200) & readable, "success").otherwise("failed")
     out = pages.withColumn("status", status).withColumn("jobs", F.when(F.col("status") == "success", jobs))
-    return out.select("company", "pos", "status", F.lit(1).alias("attempts"), F.coalesce(F.size("jobs"), F.lit(0)).cast("long").alias("count"), "jobs", F.when(F.col("status") == "failed", F.concat(F.lit("HTTP "), F.col("http_status").cast("string"))).alias("error"))
+    error = F.when(F.col("http_status") == 200, "no JSON in the answer").otherwise(F.concat(F.lit("HTTP "), F.col("http_status").cast("string")))
+    attempts = F.col("attempts") if "attempts" in pages.columns else F.lit(1).alias("attempts")
+    return out.select("company", "pos", "status", attempts, F.coalesce(F.size("jobs"), F.lit(0)).cast("long").alias("count"), "jobs", F.when(F.col("status") == "failed", error).alias("error"))

@@ -29,7 +29,7 @@ def test_feed_and_board_listings(spark):
     assert [(r.company, r.title, r.tags) for r in normalize.feed_listings(feed).orderBy("pos").collect()] == [("Acme", "Dev", []), ("", "Dev", [])]
     board = spark.createDataFrame([(0, "Dev\nOps", None, "u", "d", "<p>hi", None)], "pos long, position string, company string, url string, date string, description string, tags array<string>")
     row = normalize.board_listings(board).first()
-    assert (row.title, row.company, row.snippet, row.tags, row.lane) == ("Dev Ops", "", "hi", [], FRACTIONAL)
+    assert (row.title, row.company, row.snippet, row.tags, row.lane) == ("Dev\nOps", "", "hi", [], FRACTIONAL)
 
 
 def test_jobs_by_system(spark):

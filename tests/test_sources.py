@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sieveworks import runstate
+from sieveworks.operators import status
 from sieveworks.sources import landed, live
 from sieveworks.streaming import pool
 
@@ -120,3 +121,41 @@ def test_pool(spark):
     assert {r.key: r.consumed_by for r in pool.consumed(used, used, "r2").collect()} == {"a": "r1", "b": "r2"}
     assert pool.window_of(used, "2023-12-31", "2024-01-07").count() == 1 and pool.window_of(used, "2023-12-31", "2024-01-07", report="r1").count() == 2
     assert pool.coverage(day1, "2024-01-03").first().covered_days == 1
+
+
+def test_feed_items_at_any_depth_and_broken_feeds(spark, tmp_path):
+    deep = tmp_path / "deep.xml"
+    deep.write_text("<rdf><item><title> A: b </title></item><x><item><link>u</link></item></x></rdf>")
+    rows = landed.feed_items(spark, [str(deep)]).orderBy("pos").collect()
+    assert [(r.title, r.link) for r in rows] == [("A: b", ""), ("", "u")]
+    broken = tmp_path / "broken.xml"
+    broken.write_text("<rss><channel>")
+    with pytest.raises(Exception, match="no element found"):
+        landed.feed_items(spark, [str(broken)]).collect()
+
+
+def test_answers_that_are_no_json_failed_and_attempts_are_kept(spark):
+    pages = spark.createDataFrame([(("a", "lever"), 0, 200, "<html>", 3), (("b", "greenhouse"), 1, 200, '{"jobs": []}', 1), (("c", "greenhouse"), 2, 404, None, 2), (("d", "lever"), 3, 200, None, 1)], "company struct<name:string,ats:string>, pos long, http_status int, body string, attempts int")
+    got = [(r.status, r.attempts, r["count"]) for r in landed.company_results(spark, pages).orderBy("pos").collect()]
+    assert got == [("failed", 3, 0), ("success", 1, 0), ("skipped", 2, 0), ("failed", 1, 0)]
+
+
+def test_a_failed_write_keeps_the_old_content(spark, tmp_path, monkeypatch):
+    at = f"file://{tmp_path}/deep/seen.json"
+    runstate.write_text(spark, at, "old")
+
+    def fails(*a):
+        raise OSError("no")
+
+    with monkeypatch.context() as m:
+        m.setattr(runstate.os, "replace", fails)
+        with pytest.raises(OSError):
+            runstate.write_text(spark, at, "new")
+    assert runstate.read_text(spark, at) == "old" and [f.name for f in (tmp_path / "deep").iterdir()] == ["seen.json"]
+    runstate.write_text(spark, at, "newer")
+    assert runstate.read_text(spark, at) == "newer"
+
+
+def test_a_failure_is_not_hidden_by_a_success(spark):
+    rows = spark.createDataFrame([("a", "success", 1, 2), ("a", "failed", 2, 0), ("b", "skipped", 1, 0), ("b", "success", 1, 1)], "name string, status string, attempts int, count long")
+    assert [tuple(r) for r in status.by_source(rows).orderBy("name").collect()] == [("a", "failed", 2, 2), ("b", "success", 1, 1)]
