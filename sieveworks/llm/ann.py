@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 from .common import handed_out, read_table, stored, taken_in
 
-#: Trees, levels of each, and vectors (about; those with the smallest hashes) that the splits are fitted on.
-TREES, LEVELS, SAMPLE = 6, 6, 40_000
+#: Trees, rows of a leaf (about), levels at most, and vectors (about; those with the smallest hashes) that the splits are fitted on.
+TREES, LEAF, LEVELS, SAMPLE = 6, 1024, 11, 40_000
 
-#: Up to so many vectors are one leaf; rows and queries of a leaf meet in blocks of this size.
-SMALL, BLOCK = 2048, 2048
+#: Rows and queries of a leaf meet in blocks of this size.
+BLOCK = 2048
 
 #: Queries (about) on which the search budget is set against brute force, and the recall it is set for.
 TUNE, TARGET = 200, 0.96
@@ -42,7 +42,7 @@ class Forest:
     """
 
     def __init__(self, sample: np.ndarray, longest: float, levels: int, trees: int, seed: int = 5):
-        self.longest, self.levels, self.trees = longest, levels, trees if levels else 1
+        self.longest, self.levels, self.trees = longest, levels, trees
         self.leaves = 1 << levels
         x, random = self.lifted(sample), np.random.default_rng(seed)
         self.normals = np.zeros((self.trees, self.leaves - 1, x.shape[1]), np.float32)
@@ -59,7 +59,8 @@ class Forest:
                     self.normals[t, at], self.cuts[t, at] = w, cut
                     split += [own[p <= cut], own[p > cut]]
                 parts = split
-        self.counts = np.zeros(self.trees * self.leaves, np.int64)
+        #: Rows of each leaf, queries that reach it, and rows that a query is to reach.
+        self.counts, self.visits, self.budget = np.zeros(self.trees * self.leaves, np.int64), np.zeros(self.trees * self.leaves, np.int64), 0
 
     @staticmethod
     def _normal(x: np.ndarray, own: np.ndarray, random) -> np.ndarray:
@@ -116,8 +117,26 @@ class Forest:
 
             yield leaves()
 
-    def blocks(self, cell: int, rows: int) -> int:
-        return max(1, math.ceil(rows / BLOCK))
+    def reached(self, x: np.ndarray):
+        """For each query the leaves that hold its budget of rows."""
+        for leaves in self.search(x):
+            own, seen = [], 0
+            for cell in leaves:
+                if self.counts[cell]:
+                    own.append(cell)
+                    seen += self.counts[cell]
+                    if seen >= self.budget:
+                        break
+            yield np.array(own, np.int32)
+
+    def blocks(self) -> tuple[np.ndarray, np.ndarray]:
+        """Blocks of each leaf's rows, and of its queries."""
+        return np.maximum(1, -(-self.counts // BLOCK)), -(-self.visits // BLOCK)
+
+
+def levels_of(rows: int, most: int = LEVELS) -> int:
+    """Levels that give leaves of about LEAF rows; one split at least."""
+    return min(most, max(1, round(math.log2(max(1, rows) / LEAF))))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -141,20 +160,26 @@ def best(q: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[np
     return out
 
 
-def nearest(vectors: DataFrame, *, k: int = 20, every: int = 20, vec_id: str = "vec_id", embedding: str = "embedding", trees: int = TREES, levels: int = LEVELS, target: float = TARGET) -> DataFrame:
+def nearest(vectors: DataFrame, *, k: int = 20, every: int = 20, vec_id: str = "vec_id", embedding: str = "embedding", trees: int = TREES, levels: int | None = None, target: float = TARGET) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest other vectors of every vector whose id is divisible by every.
 
-    The trees are fitted on a bounded sample; all vectors are indexed.  Per query
+    The trees, of as many levels as the rows ask for or as given, are fitted on a
+    bounded sample; all vectors are indexed.  Per query
     the leaves of all trees are taken from one priority queue until they hold so
     many rows as, measured against brute force over all rows on a sample of
-    queries, give the target recall.  All their rows are scored exactly, in
+    queries, give the target recall, and k others, if there are so many, in any case.  All their rows are scored exactly, in
     double precision; ties go to the smaller id.
 
     Equal vectors are indexed once, with the k + 1 smallest ids, which is all
     that a result can hold of them.  A leaf's rows and queries meet in blocks of
-    bounded size.  Vectors null, empty, zero, of another length than most, or
-    with null or non-finite components take no part, nor do null ids; of several
-    vectors with one id the smallest counts.  Other columns are ignored.
+    bounded size; a leaf's rows are copied once for each block of the queries
+    that reach it, and not at all where none does.
+
+    Vectors null, empty, zero, of another length than most (which have no inner
+    product with the others), or with null or non-finite components take no
+    part, nor do null ids; of several vectors with one id the smallest counts.
+    An empty table gives no rows.  Other columns are ignored, whatever their
+    names.
     """
     spark, schema = vectors.sparkSession, "query_id long, rank int, vec_id long, score double"
     base = stored(usable(vectors, vec_id, embedding), "vectors")
@@ -170,9 +195,8 @@ def nearest(vectors: DataFrame, *, k: int = 20, every: int = 20, vec_id: str = "
     rows, longest = reps.agg(F.count("*"), F.max(norm)).first()
 
     share = lambda c, n, of: F.pmod(F.xxhash64(c), F.lit(1 << 30)) < int((1 << 30) * min(1.0, n / max(1, of)))
-    flat = rows <= SMALL
-    sample = [] if flat else [r.embedding for r in reps.where(share("rep", SAMPLE, rows)).collect()]
-    forest = Forest(np.array(sample or [[0.0] * lengths[0].d], np.float64), float(longest), 0 if flat else levels, trees)
+    sample = [r.embedding for r in reps.where(share("rep", SAMPLE, rows)).collect()]
+    forest = Forest(np.array(sample, np.float64).reshape(-1, lengths[0].d), float(longest), levels_of(rows) if levels is None else levels, trees)
     held = handed_out(spark, forest)
 
     def count(batches):
@@ -188,42 +212,50 @@ def nearest(vectors: DataFrame, *, k: int = 20, every: int = 20, vec_id: str = "
         forest.counts[r.cell] = r.n
     queries = base.where(F.pmod("vec_id", F.lit(every)) == 0).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
     asked = queries.count()
-    budget = forest.counts.sum() if flat else _budget(reps, queries.where(share("query_id", TUNE, asked)), forest, held, k, target)
+    least = trees * min(rows, k + 2)  # so many rows of all trees are k others at least, or all there are
+    forest.budget = max(least, _budget(reps, queries.where(share("query_id", TUNE, asked)), forest, held, k, target))
+    counted = handed_out(spark, forest)
+
+    def visit(batches):
+        forest = taken_in(counted)
+        total = np.zeros(len(forest.counts), np.int64)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                for cells in forest.reached(_matrix(batch.column("q").slice(lo, 256))):
+                    total[cells] += 1
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["cell", "n"])
+
+    for r in queries.select("q").mapInArrow(visit, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        forest.visits[r.cell] = r.n
     held = handed_out(spark, forest)
-    query_blocks = max(1, math.ceil(asked / BLOCK))
 
     def index(batches):
         forest = taken_in(held)
+        of_rows, of_queries = forest.blocks()
         for batch in batches:
-            cells = forest.cells(_matrix(batch.column("embedding"))) if batch.num_rows else np.empty((0, 1), np.int32)
-            ids = batch.column("rep").to_numpy()
-            for t in range(cells.shape[1]):
+            if not batch.num_rows:
+                continue
+            cells, ids = forest.cells(_matrix(batch.column("embedding"))), batch.column("rep").to_numpy()
+            for t in range(forest.trees):
                 cell = cells[:, t]
-                block = ids % np.maximum(1, -(-forest.counts[cell] // BLOCK))
-                for b in range(query_blocks):
-                    yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(block.astype(np.int32)), pa.array(np.full(len(ids), b, np.int32)), batch.column("rep"), batch.column("embedding")], names=["cell", "v", "b", "rep", "embedding"])
+                block = (ids % of_rows[cell]).astype(np.int32)
+                for b in range(int(of_queries[cell].max())):
+                    at = np.flatnonzero(of_queries[cell] > b)
+                    yield pa.RecordBatch.from_arrays([pa.array(cell[at]), pa.array(block[at]), pa.array(np.full(len(at), b, np.int32)), *batch.select(["rep", "embedding"]).take(pa.array(at)).columns], names=["cell", "v", "b", "rep", "embedding"])
 
     def probe(batches):
         forest = taken_in(held)
+        of_rows, of_queries = forest.blocks()
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                at, cells, blocks = [], [], []
-                for i, leaves in enumerate(forest.search(_matrix(part.column("q")))):
-                    seen = 0
-                    for cell in leaves:
-                        if not forest.counts[cell]:
-                            continue
-                        n = forest.blocks(cell, forest.counts[cell])
-                        at += [i] * n
-                        cells += [cell] * n
-                        blocks += range(n)
-                        seen += forest.counts[cell]
-                        if seen >= budget:
-                            break
-                rows = part.take(pa.array(at, pa.int64()))
-                b = rows.column("query_id").to_numpy() // every % query_blocks
-                yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(blocks, pa.int32()), pa.array(b.astype(np.int32)), rows.column("query_id"), rows.column("q")], names=["cell", "v", "b", "query_id", "q"])
+                part, ids = batch.slice(lo, 256), batch.column("query_id").to_numpy()[lo : lo + 256]
+                reached = [(i, cells, of_rows[cells]) for i, cells in enumerate(forest.reached(_matrix(part.column("q"))))]
+                at = np.repeat([i for i, *_ in reached], [n.sum() for *_, n in reached])
+                cells = np.concatenate([np.repeat(cells, n) for _, cells, n in reached])
+                blocks = np.concatenate([np.arange(m) for *_, n in reached for m in n.tolist()])
+                b = ids[at] // every % of_queries[cells]
+                yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(blocks.astype(np.int32)), pa.array(b.astype(np.int32)), *part.select(["query_id", "q"]).take(pa.array(at)).columns], names=["cell", "v", "b", "query_id", "q"])
 
     kind = reps.schema["embedding"].dataType.simpleString()
     left = reps.mapInArrow(index, f"cell int, v int, b int, rep long, embedding {kind}")

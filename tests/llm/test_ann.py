@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from sieveworks.llm import ann
 
@@ -24,14 +25,14 @@ def answer(df):
     return {q: [v for _, v, _ in sorted(x)] for q, x in got.items()}
 
 
-def test_small_tables_are_exact_with_copies_ties_and_bad_vectors(spark):
+def test_a_full_target_is_exact_with_copies_ties_and_bad_vectors(spark):
     r = np.random.default_rng(1)
     rows = [(i, r.normal(size=6).tolist()) for i in range(150)]
     rows += [(200 + i, rows[7][1]) for i in range(30)] + [(500, [2.0] * 6), (505, [-2.0] * 6)]
     good = dict(rows)
     bad = [(300, None), (305, [0.0] * 6), (310, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (315, [float("nan")] * 6), (320, [float("inf")] + [1.0] * 5), (325, [1.0, 2.0]), (None, [1.0] * 6), (330, [])]
     df = frame(spark, [(i, e, 1) for i, e in rows + bad + rows[:3]])
-    got = answer(ann.nearest(df, k=20, every=5))
+    got = answer(ann.nearest(df, k=20, every=5, target=1.0))
     assert got == brute(list(good.items()), 20, 5)
 
 
@@ -53,6 +54,40 @@ def test_forest_recall_and_exact_scores(spark):
     assert all(abs(s.score - (e[s.query_id] * e[s.vec_id]).sum()) < 1e-12 for s in out.limit(50).collect())
 
 
+@pytest.mark.parametrize("n", [1, 2, 5, 21, 22, 60])
+def test_every_query_gets_all_that_it_asks_for(spark, n):
+    r = np.random.default_rng(n)
+    rows = [(i, r.integers(-2, 3, 4).tolist()) for i in range(n)]
+    rows = [(i, e) for i, e in rows if any(e)]
+    got = answer(ann.nearest(frame(spark, [(i, [float(v) for v in e], 1) for i, e in rows]), k=20, every=2, target=0.5))
+    assert {q: len(v) for q, v in got.items()} == {i: min(20, len(rows) - 1) for i, _ in rows if i % 2 == 0 and len(rows) > 1}
+
+
+def test_ties_of_different_vectors_on_both_sides_of_the_old_small_limit(spark):
+    r = np.random.default_rng(7)
+    for n, every in ((400, 8), (3000, 100)):
+        rows = [(i, [float(v) for v in r.integers(-3, 4, 8)] + [1.0]) for i in range(n)]
+        out = ann.nearest(frame(spark, [(i, e, 1) for i, e in rows]), k=20, every=every, target=1.0)
+        assert answer(out) == brute(rows, 20, every)
+
+
+def test_blocks_of_rows_and_queries_change_nothing(spark, monkeypatch):
+    r = np.random.default_rng(8)
+    rows = [(i, r.normal(size=5).tolist()) for i in range(300)]
+    df = frame(spark, [(i, e, 1) for i, e in rows])
+    monkeypatch.setattr(ann, "LEAF", 20)
+    want = answer(ann.nearest(df, k=7, every=3))
+    monkeypatch.setattr(ann, "BLOCK", 6)
+    assert answer(ann.nearest(df, k=7, every=3)) == want
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_recall_on_the_fixtures(spark, sf):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet").collect()]
+    got, want = answer(ann.op1_rp_forest(spark, f"/root/testdata/{sf}")), brute(rows, 20, 20)
+    assert set(got) == set(want) and sum(len(set(got[q]) & set(want[q])) for q in want) / sum(map(len, want.values())) >= 0.9
+
+
 def test_many_ties_at_the_cut_go_by_id():
     r = np.random.default_rng(3)
     x = np.c_[np.ones(300), r.permutation(300)].astype(float)
