@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from .common import handed_out, read_table, stored, taken_in
 
-#: Trees, rows of a leaf (about), levels at most, and vectors (about; those with the smallest hashes) that the splits are fitted on.
-TREES, LEAF, LEVELS, SAMPLE = 6, 1024, 11, 40_000
+#: Trees, their usual levels and the most, the fewest and most rows of a leaf for which levels are given up or added, and vectors (about; those with the smallest hashes) that the splits are fitted on.
+TREES, LEVELS, MOST, LEAF, SAMPLE = 6, 6, 11, (32, 2048), 40_000
 
 #: Rows and queries of a leaf meet in blocks of this size.
 BLOCK = 2048
@@ -134,9 +134,10 @@ class Forest:
         return np.maximum(1, -(-self.counts // BLOCK)), -(-self.visits // BLOCK)
 
 
-def levels_of(rows: int, most: int = LEVELS) -> int:
-    """Levels that give leaves of about LEAF rows; one split at least."""
-    return min(most, max(1, round(math.log2(max(1, rows) / LEAF))))
+def levels_of(rows: int) -> int:
+    """The usual levels; fewer where leaves would hold too few rows, more, as far as the sample goes, where too many; one split at least."""
+    fit = [math.log2(max(1, rows) / n) for n in LEAF]
+    return max(1, min(LEVELS, math.floor(fit[0])), min(MOST, math.ceil(fit[1])))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:

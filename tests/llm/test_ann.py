@@ -75,7 +75,7 @@ def test_blocks_of_rows_and_queries_change_nothing(spark, monkeypatch):
     r = np.random.default_rng(8)
     rows = [(i, r.normal(size=5).tolist()) for i in range(300)]
     df = frame(spark, [(i, e, 1) for i, e in rows])
-    monkeypatch.setattr(ann, "LEAF", 20)
+    monkeypatch.setattr(ann, "LEAF", (20, 60))
     want = answer(ann.nearest(df, k=7, every=3))
     monkeypatch.setattr(ann, "BLOCK", 6)
     assert answer(ann.nearest(df, k=7, every=3)) == want
@@ -88,6 +88,10 @@ def test_recall_on_the_fixtures(spark, sf):
     assert set(got) == set(want) and sum(len(set(got[q]) & set(want[q])) for q in want) / sum(map(len, want.values())) >= 0.9
 
 
+def test_levels_grow_with_the_rows():
+    assert [ann.levels_of(n) for n in (0, 1, 100, 500, 2000, 10_000, 131_072, 200_000, 10**6, 10**9)] == [1, 1, 1, 3, 5, 6, 6, 7, 9, 11]
+
+
 def test_many_ties_at_the_cut_go_by_id():
     r = np.random.default_rng(3)
     x = np.c_[np.ones(300), r.permutation(300)].astype(float)
