@@ -27,7 +27,7 @@ from .common import give_back, read_table, shared_path, stored, units
 FOLD_BYTES = 48
 
 #: Bytes of files whose rows make a block, bytes of text that are taken up at once, and distinct pieces of a block that a Python worker remembers.
-BLOCK_BYTES, UNIT, MEMORY = 64 << 20, 6 << 20, 2_000_000
+BLOCK_BYTES, UNIT, MEMORY = 64 << 20, 4 << 20, 2_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -307,6 +307,8 @@ def distinct_words(docs: DataFrame, pattern: str) -> DataFrame:
             for i in range(0, len(found), 50_000):
                 part = [latin(bytes_of(w)) for w in found.slice(i, 50_000).to_pylist()]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), block)), pa.array(part, pa.string())], names=["block", "word"])
+        pieces = words = unit = fresh = found = None
+        give_back()
 
     return docs.mapInArrow(scan, "block long, word string")
 
@@ -450,6 +452,8 @@ def encoded(documents: DataFrame, path: str, *, pattern: str = public_tokenizers
                 cols.append(pa.array([ids[i:j].astype(np.int32) for i, j in pairwise(ends.tolist())], pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(cols, names=names)
+        encoder = unit = ids = decoded = cols = None
+        give_back()
 
     return docs.mapInArrow(scan, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
 

@@ -78,8 +78,9 @@ def taken_in(held: Broadcast):
 
 
 def give_back() -> None:
-    """Returns the driver's freed memory to the system after a training."""
+    """Returns a Python process's freed memory to the system, after a training or a task of a worker that others follow in."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)
 
