@@ -18,10 +18,10 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import give_back, read_table, shared_path, stored, units
+from .common import give_back, heap_back, read_table, shared_path, stored, units
 
 #: Longer words are merged with a heap: the fold's work grows with the square of a word's bytes.
 FOLD_BYTES = 48
@@ -129,6 +129,9 @@ def latin(raw: bytes) -> str:
 ID_BITS, PLACE_BITS = 17, 16
 NONE = 1 << ID_BITS
 
+#: A place of the rank map that no pair has; it yields more than NONE for every row.
+NO_ENTRY = 1 << 62
+
 
 class RankMap:
     """The rank of every pair of tokens that concatenates to a token, as literal arrays.
@@ -136,7 +139,7 @@ class RankMap:
     A literal map would be searched from its front, so the pairs' sparse matrix
     is stored with displaced rows: the pair (a, b) can only stand at place
     shift[a] + b, and an entry holds its row's a above the rank.  An entry of
-    another row, or none, therefore yields a number of NONE or more.
+    another row, or NO_ENTRY, therefore yields a number of NONE or more.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -174,11 +177,11 @@ class RankMap:
             end = max(end, int(clear[0] + columns[-1]) + 1)
         single = np.array([ranks.get(bytes([i]), 0) for i in range(256)])
         shift = np.where(shift < len(values), shift, end + 1)
-        self.json = f'{{"e":{_listed(values[:end])},"s":{_listed(shift, None)},"b":{_listed(single)}}}'
+        self.entries, self.shift, self.single = np.where(values[:end] < 0, NO_ENTRY, values[:end]), shift, single
 
-    def literal(self) -> Column:
+    def literal(self, spark: SparkSession) -> Column:
         """The map as one literal: entries e, shifts s and the ids b of single bytes."""
-        return F.from_json(F.lit(self.json), "e array<bigint>, s array<int>, b array<bigint>")
+        return F.struct(*(_longs(spark, v).alias(k) for k, v in (("e", self.entries), ("s", self.shift), ("b", self.single))))
 
 
 @functools.lru_cache(maxsize=4)
@@ -189,10 +192,20 @@ def _rank_map(path: str, changed: int) -> RankMap:
     return table
 
 
-def _listed(values: np.ndarray, blank: int | None = -1) -> str:
-    """A JSON list, made in parts; blank values are nulls."""
-    parts = (",".join("null" if v == blank else str(v) for v in values[i : i + 10_000].tolist()) for i in range(0, len(values), 10_000))
-    return "[" + ",".join(parts) + "]"
+def _longs(spark: SparkSession, values: np.ndarray) -> Column:
+    """Whole numbers as a literal array in Spark's packed form.
+
+    An array of boxed numbers, and a JSON text of them, would stand in full in
+    every description of the plan that Spark keeps, some megabytes each; this
+    form is named there only.
+    """
+    jvm = spark._jvm
+    longs = spark.sparkContext._gateway.new_array(jvm.long, len(values))
+    jvm.java.nio.ByteBuffer.wrap(bytearray(values.astype(">i8").tobytes())).asLongBuffer().get(longs)
+    catalyst = jvm.org.apache.spark.sql.catalyst.expressions
+    packed = catalyst.UnsafeArrayData.fromPrimitiveArray(longs)
+    kind = jvm.org.apache.spark.sql.types.DataType.fromDDL("array<bigint>")
+    return Column(jvm.org.apache.spark.sql.classic.ExpressionUtils.column(catalyst.Literal(packed, kind)))
 
 
 def pair_rank(table: Column, a: Column, b: Column) -> Column:
@@ -246,7 +259,7 @@ def merged(word: Column, ranks: RankMap) -> Column:
 
         return F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), F.concat(edge, parts, edge), step, found)
 
-    return F.when(n == 0, F.array().cast("array<int>")).otherwise(let(ranks.literal(), fold))
+    return F.when(n == 0, F.array().cast("array<int>")).otherwise(let(ranks.literal(SparkSession.active()), fold))
 
 
 def heap_merged(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -428,6 +441,7 @@ def encoded(documents: DataFrame, path: str, *, pattern: str = public_tokenizers
     other columns are ignored, whatever their names.
     """
     spark, ranks = documents.sparkSession, read_ranks(path)
+    heap_back(spark)
     docs, root, table = in_blocks(documents, doc_id, text), shared_path(spark, "words"), _rank_map(path, os.stat(path).st_mtime_ns)
     by_word = distinct_words(docs.select("text", "block"), pattern).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word")
     # The block is kept on both sides of the join so that they read one exchange.
@@ -436,6 +450,7 @@ def encoded(documents: DataFrame, path: str, *, pattern: str = public_tokenizers
 
     held = spark.sparkContext.broadcast(ranks)  # of the size of the vocabulary
     give_back()
+    heap_back(spark)
 
     def scan(batches):
         encoder, own = Encoder(pattern, held.value), None

@@ -85,6 +85,11 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def heap_back(spark: SparkSession) -> None:
+    """A collection of the driver's heap: Spark then drops shuffles and broadcasts that nothing refers to any more, and free memory goes back to the system."""
+    spark._jvm.System.gc()
+
+
 def small(batches: Iterator[pa.RecordBatch], text: int | str, limit: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about limit bytes of the column text, a row at least."""
     for batch in batches:
