@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveworks.llm import bpe, decontam, line_dedup, ngram_join, toxicity
-from sieveworks.llm.common import read_table, stored
+from sieveworks.llm.common import heap_back, read_table, stored
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,4 +55,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        heap_back(spark)  # what the stage's many small jobs left on the driver
     return docs
