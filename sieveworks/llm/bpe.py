@@ -27,7 +27,7 @@ from .common import give_back, heap_back, read_table, shared_path, stored, units
 FOLD_BYTES = 48
 
 #: Bytes of files whose rows make a block, bytes of text that are taken up at once, and distinct pieces of a block that a Python worker remembers.
-BLOCK_BYTES, UNIT, MEMORY = 64 << 20, 4 << 20, 2_000_000
+BLOCK_BYTES, UNIT, MEMORY = 64 << 20, 2 << 20, 2_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -351,11 +351,11 @@ class Encoder:
         own = pc.index_in(self.words, value_set=pa.array(map(latin, raw), pa.string()))
         at, places = np.full(len(raw), -1), pc.fill_null(own, -1).to_numpy()
         known = np.flatnonzero(places >= 0)
-        at[places[known]] = known
+        at[places[known]] = np.arange(len(known))
         other = np.flatnonzero(at < 0)
-        at[other] = len(self.ids) + np.arange(len(other))
+        at[other] = len(known) + np.arange(len(other))
         merged = [np.array(heap_merged(raw[i], self.ranks), "<u4").tobytes() for i in other.tolist()]
-        return pa.concat_arrays([self.ids, pa.array(merged, pa.large_binary())]).take(pa.array(at))
+        return pa.concat_arrays([self.ids.take(pa.array(known)), pa.array(merged, pa.large_binary())]).take(pa.array(at))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Buffer, np.ndarray]:
         """The ids of all texts and where each text's begin and end, and the bytes that they decode to, the tokens' binary pieces put together, likewise."""
@@ -458,7 +458,9 @@ def encoded(documents: DataFrame, path: str, *, pattern: str = public_tokenizers
             unit = unit.combine_chunks()
             block = unit.column("block")[0].as_py()
             if block != own:
+                encoder.block([])  # gone before the next block's words come
                 encoder.block(_tables_of_block(root, block))
+                give_back()
                 own = block
             ids, ends, decoded, decoded_ends = encoder.encode(unit.column("text").chunk(0))
             cols = [unit.column("doc_id").chunk(0), pa.array(np.diff(ends)), _digests(pa.py_buffer(ids), ends * 4), _digests(decoded, decoded_ends)]
