@@ -21,13 +21,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import give_back, heap_back, read_table, shared_path, stored, units
+from .common import arrow_batches, give_back, heap_back, read_table, removed, shared_path, stored, units
 
 #: Longer words are merged with a heap: the fold's work grows with the square of a word's bytes.
 FOLD_BYTES = 48
 
 #: Bytes of files whose rows make a block, bytes of text that are taken up at once, and distinct pieces of a block that a Python worker remembers.
-BLOCK_BYTES, UNIT, MEMORY = 64 << 20, 2 << 20, 2_000_000
+BLOCK_BYTES, UNIT, MEMORY = 64 << 20, 4 << 20, 2_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -435,8 +435,10 @@ def encoded(documents: DataFrame, path: str, *, pattern: str = public_tokenizers
     are put together, and so would be a word that the block's table lacks.  The
     ids are decoded again by concatenating the tokens' bytes.
 
-    Texts are taken up some megabytes at a time; a longer text makes a unit of
-    its own and is encoded whole.  Null and empty texts have no ids; repeated
+    Texts reach the workers and are taken up some megabytes at a time; a longer
+    text makes a unit of its own and is encoded whole.  The result is written to
+    the shared folder, so that this holds in the caller's action too, and the
+    words' table is deleted then.  Null and empty texts have no ids; repeated
     rows are encoded each; a null id stays null; an empty table gives no rows;
     other columns are ignored, whatever their names.
     """
@@ -446,7 +448,8 @@ def encoded(documents: DataFrame, path: str, *, pattern: str = public_tokenizers
     by_word = distinct_words(docs.select("text", "block"), pattern).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word")
     # The block is kept on both sides of the join so that they read one exchange.
     own = by_word.groupBy("word").agg(F.min("block").alias("least")).where("least is not null").select("word", merged(F.col("word"), table).alias("ids"))
-    by_word.join(own, "word").select("block", "word", "ids").repartition("block").write.partitionBy("block").parquet(root)
+    with arrow_batches(spark, UNIT):
+        by_word.join(own, "word").select("block", "word", "ids").repartition("block").write.partitionBy("block").parquet(root)
 
     held = spark.sparkContext.broadcast(ranks)  # of the size of the vocabulary
     give_back()
@@ -472,7 +475,10 @@ def encoded(documents: DataFrame, path: str, *, pattern: str = public_tokenizers
         encoder = unit = ids = decoded = cols = None
         give_back()
 
-    return docs.mapInArrow(scan, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
+    with arrow_batches(spark, UNIT):
+        found = stored(docs.mapInArrow(scan, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids), "encoded")
+    removed(spark, root)
+    return found
 
 
 def _shuffles(df: DataFrame) -> bool:

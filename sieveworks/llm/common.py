@@ -77,6 +77,24 @@ def taken_in(held: Broadcast):
     return pickle.loads(held.value)
 
 
+@contextlib.contextmanager
+def arrow_batches(spark: SparkSession, limit: int) -> Iterator[None]:
+    """Arrow batches of about limit bytes for what runs within; the session's own setting stands again afterwards."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a table of the shared folder that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def give_back() -> None:
     """Returns a Python process's freed memory to the system, after a training or a task of a worker that others follow in."""
     gc.collect()
