@@ -1,6 +1,6 @@
 """The operators' queries over the fixture tables, and SQL where it can express them."""
 
-from . import ann, bpe, decontam, html_render, line_dedup, ngram_join, quality, runs, token_counts, toxicity, warc
+from . import ann, bpe, decontam, html_render, line_dedup, ngram_join, quality, runs, token_counts, token_table, toxicity, warc
 
 QUERIES = {
     f.__name__: f
@@ -15,6 +15,7 @@ QUERIES = {
         toxicity.op8_toxicity_cnn,
         bpe.op9_byte_bpe,
         line_dedup.op10_line_winnow,
+        token_table.op12_orc_tokens,
         runs.op13_lyndon_runs,
     )
 }
