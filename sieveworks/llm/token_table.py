@@ -15,42 +15,85 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress, pairwise
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import CACHE_WORDS, PART_BYTES, arrow_batches, give_back, handed_out, read_table, shared_path, small, stored, taken_in
+from .common import PART_BYTES, arrow_batches, give_back, handed_out, read_table, shared_path, stored, taken_in, units
 
 #: The id that ends a document, ids of a row at most, and rows between two entries of an index.
 END, ROW_IDS, STRIDE = 2, 1 << 18, 1000
 
 #: Characters that are encoded at once, about; a longer text is encoded in segments between cuts.
-SEGMENT = 1 << 20
+SEGMENT = 8 << 20
+
+#: What a space becomes at the start of a token in the model file.
+SPACE = "Ġ"
+
+#: New pieces in a text that goes to the library, and distinct pieces whose ids a worker keeps.
+LINES, CACHE_PIECES = 512, 600_000
 
 ROWS = "shard int, doc_no bigint, doc_id bigint, piece int, last boolean, n_ids int, before bigint, ids array<int>"
 
 _SPACED = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S) ")
+_PLAIN = re.compile(r"\S+").fullmatch
+_END = np.array([END], np.int32)
+
+
+class _Numbers(dict):
+    """A number for each distinct piece, in the order of arrival; new ones are listed."""
+
+    def __init__(self):
+        self.new: list = []
+
+    def __missing__(self, piece):
+        n = self[piece] = len(self)
+        self.new.append(piece)
+        return n
 
 
 class _Encoder:
-    """Ids of whole texts by the tokenizers library, each distinct stretch between cuts encoded once.
+    """Ids of whole texts by the tokenizers library, each distinct piece between cuts encoded once.
 
     The tokenizer's pattern never matches across a space that follows another
     character than white space, so a text cut before such spaces has the same
-    ids in pieces.
+    ids in pieces.  New pieces go to the library many in a text; the ids of each
+    begin with the one token that has its space.  Pieces that hold white space go
+    alone, and so does the first of a text, which has no space before it.
+    Ids are gathered for all pieces of a unit at once.
     """
 
     def __init__(self, model: str):
-        self.model, self.made, self.known = model, None, {}
+        self.model, self.made = model, None
+        self.forget()
 
     def __getstate__(self):
-        return {"model": self.model, "made": None, "known": {}}
+        return {"model": self.model}
+
+    def __setstate__(self, state):
+        self.__init__(state["model"])
+
+    def forget(self) -> None:
+        self.numbers, self.values, self.starts = _Numbers(), np.empty(0, np.int32), np.zeros(1, np.int64)
+        self.used = np.empty(0, np.int32)
+
+    def shrink(self) -> None:
+        """Keeps the half of the pieces that were used most."""
+        kept = np.sort(np.argpartition(-self.used, CACHE_PIECES // 2)[: CACHE_PIECES // 2])
+        chosen = np.zeros(len(self.used), bool)
+        chosen[kept] = True
+        pieces, count = list(compress(self.numbers, chosen.tolist())), np.diff(self.starts)
+        self.values = self.values[np.repeat(chosen, count)]
+        self.starts, self.used = np.concatenate([[0], np.cumsum(count[chosen])]), self.used[chosen] // 2
+        self.numbers = _Numbers()
+        self.numbers.update(zip(pieces, range(len(pieces)), strict=True))
 
     def tokenizer(self):
         if self.made is None:
@@ -58,13 +101,44 @@ class _Encoder:
 
             self.made = Tokenizer.from_str(self.model)
             self.made.encode_special_tokens = True  # their names in a text are ordinary text
+            self.spaced = np.array([(self.made.id_to_token(n) or "").startswith(SPACE) for n in range(self.made.get_vocab_size())])
         return self.made
 
-    def pieces(self, text: str) -> list[str]:
-        return _CUT.split(text) if _SPACED.search(text) else text.split(" ")
-
-    def encoded(self, texts: list[str]) -> list:
-        return self.tokenizer().encode_batch_fast(texts, add_special_tokens=False)
+    def pieces(self, texts: list[str]) -> pa.ListArray:
+        """Each text cut before spaces, which the pieces then lack."""
+        odd = [n for n, t in enumerate(texts) if _SPACED.search(t)]
+        cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ").cast(pa.large_list(pa.large_string()))
+        if odd:  # white space before some space
+            own = pa.array([_CUT.split(texts[n]) for n in odd], cut.type)
+            at = np.arange(len(texts))
+            at[odd] = len(texts) + np.arange(len(odd))
+            cut = pa.concat_arrays([cut, own]).take(pa.array(at))
+        return cut
+
+    def encoded(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer().encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, new: list) -> None:
+        """Appends the ids of new pieces."""
+        if not new:
+            return
+        self.tokenizer()
+        plain = np.fromiter((_PLAIN(x) is not None for x in new), bool, len(new))
+        lines = [x for x, p in zip(new, plain.tolist(), strict=True) if p]
+        found = self.encoded([f" {' '.join(lines[lo : lo + LINES])}" for lo in range(0, len(lines), LINES)])
+        joined = np.fromiter(chain.from_iterable(found), np.int32)
+        begins = np.flatnonzero(self.spaced[joined])
+        other = self.encoded([f" {x}" for x, p in zip(new, plain.tolist(), strict=True) if not p])
+        counts = np.empty(len(new), np.int64)
+        counts[plain] = np.diff(begins, append=len(joined))
+        counts[~plain] = [len(x) for x in other]
+        ends = np.cumsum(counts)
+        values = np.empty(int(ends[-1]), np.int32)
+        own = np.repeat(plain, counts)
+        values[own] = joined
+        values[~own] = np.fromiter(chain.from_iterable(other), np.int32)
+        self.starts = np.concatenate([self.starts, self.starts[-1] + ends])
+        self.values = np.concatenate([self.values, values])
 
     def segments(self, texts: list[str]) -> Iterator[tuple[list[str], list[int]]]:
         """The texts in lists of about SEGMENT characters, and which text each comes from; a longer text in segments."""
@@ -90,15 +164,31 @@ class _Encoder:
         """The ids of each text, END included."""
         out: list[list[np.ndarray]] = [[] for _ in texts]
         for held, owner in self.segments(texts):
-            cut = [self.pieces(t) for t in held]
-            if len(self.known) > CACHE_WORDS:
-                self.known = {}
-            known = self.known
-            if new := [x for x in dict.fromkeys(chain.from_iterable(c[1:] for c in cut)) if x not in known]:
-                known.update(zip(new, (e.ids for e in self.encoded([" " + x for x in new])), strict=True))
-            for n, head, c in zip(owner, self.encoded([c[0] for c in cut]), cut, strict=True):
-                out[n].append(np.fromiter(chain(head.ids, chain.from_iterable(map(known.__getitem__, c[1:]))), np.int32))
-        return [np.concatenate([*parts, [END]]).astype(np.int32) for parts in out]
+            cut = self.pieces(held)
+            if len(self.numbers) > CACHE_PIECES:
+                self.shrink()
+            bounds = cut.offsets.to_numpy()
+            flat = cut.values[bounds[0] : bounds[-1]]
+            first = bounds[:-1] - bounds[0]
+            heads = self.encoded(flat.take(pa.array(first)).to_pylist())  # without a space before
+            rest = np.ones(len(flat), bool)
+            rest[first] = False
+            coded = flat.filter(pa.array(rest)).dictionary_encode()
+            number = np.fromiter(map(self.numbers.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
+            self.learn(self.numbers.new)
+            self.numbers.new = []
+            piece = number[coded.indices.to_numpy()]
+            now = np.bincount(piece, minlength=len(self.numbers)).astype(np.int32)
+            now[: len(self.used)] += self.used
+            self.used = now
+            start = self.starts[piece]
+            count = self.starts[piece + 1] - start
+            ends = np.concatenate([[0], np.cumsum(count)])
+            ids = self.values[np.repeat(start - ends[:-1], count) + np.arange(ends[-1])]
+            places = ends[np.cumsum(np.diff(bounds) - 1)].tolist()
+            for n, head, (lo, hi) in zip(owner, heads, pairwise([0, *places]), strict=True):
+                out[n] += [np.array(head, np.int32), ids[lo:hi]]
+        return [np.concatenate([*parts, _END]) for parts in out]
 
 
 class _Writer:
@@ -110,7 +200,7 @@ class _Writer:
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a core a task
         shard, before, doc_no = TaskContext.get().partitionId(), 0, 0
-        for batch in small(batches, 1):
+        for batch in units(batches, 1, limit=SEGMENT):
             found = self.encoder.ids([t or "" for t in batch.column(1).to_pylist()])
             counts = np.array([len(f) for f in found], np.int64)
             parts = -(-counts // self.row_ids)
@@ -120,7 +210,7 @@ class _Writer:
             starts = before + np.cumsum(n) - n
             values, rows = np.concatenate(found), len(row)
             offsets = np.concatenate([[0], np.cumsum(n)])
-            doc_ids = batch.column(0).take(pa.array(row))
+            doc_ids = batch.column(0).combine_chunks().take(pa.array(row))
             columns = [pa.array(np.full(rows, shard, np.int32)), pa.array(doc_no + row), doc_ids, pa.array(piece.astype(np.int32)), pa.array(piece == parts[row] - 1), pa.array(n.astype(np.int32)), pa.array(starts)]
             lo = 0
             while lo < rows:  # batches of bounded ids
@@ -151,7 +241,9 @@ def write_tokens(documents: DataFrame, path: str, model_path: str, *, doc_id: st
     ordered = ranged.sortWithinPartitions("doc_id", "h").select("doc_id", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return taken_in(writer)(batches)
+        if not hasattr(writer, "made"):  # a worker has one broadcast object for all its tasks, and so one encoder
+            writer.made = taken_in(writer)
+        return writer.made(batches)
 
     with arrow_batches(spark, PART_BYTES):
         out = ordered.mapInArrow(encode, ROWS).write

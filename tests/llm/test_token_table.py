@@ -35,8 +35,9 @@ def texts(r, n):
 
 def test_pieces_have_the_same_ids(library, monkeypatch):
     every = [t or "" for t in texts(random.Random(2), 1500)]
-    for segment in (7, 1 << 20):
-        monkeypatch.setattr(tt, "SEGMENT", segment)
+    for segment, lines, words in ((7, 3, 50), (1 << 20, 512, 400_000)):
+        for name, value in (("SEGMENT", segment), ("LINES", lines), ("CACHE_PIECES", words)):
+            monkeypatch.setattr(tt, name, value)
         with open(MODEL, encoding="utf-8") as f:
             encoder = tt._Encoder(f.read())
         for t, ids in zip(every, encoder.ids(every), strict=True):
