@@ -6,24 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import FRACTIONAL
-from ..runstate import stored
+from .prefix import running
 
 
 def dense_ids(rows: DataFrame, order: list[str], name: str = "id") -> DataFrame:
-    """The 0-based place of each row in the order.
-
-    Rows are ranged into partitions and numbered there; each partition's offset
-    comes from the partitions' counts, one small row each.  The ranged rows are
-    stored first, so that both reads see the same partitions.
-    """
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = stored(rows.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()), "ranged")
-    counts = ranged.groupBy("__part").agg(F.count("*").alias("__n"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    within = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
-    numbered = ranged.withColumn("__row", within).join(F.broadcast(offsets), "__part")  # a row for each shuffle partition
-    return numbered.withColumn(name, (F.col("__offset") + F.col("__row") - 1).cast("long")).select(*rows.columns, name)
+    """The 0-based place of each row in the order."""
+    return running(rows, [], order, number=name).withColumn(name, F.col(name) - 1)
 
 
 def chunked(rows: DataFrame, size: int, lane: str = "lane", order: str = "id", default_lane: str = FRACTIONAL) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..vocab import SCORE_FLOOR
+from .prefix import running
 
 
 def last_score(scores: DataFrame, key: str = "url", pos: str = "resp_pos") -> DataFrame:
@@ -36,5 +37,6 @@ def floor_counts(rows: DataFrame, floor: int = SCORE_FLOOR) -> DataFrame:
 
 
 def ranked(rows: DataFrame, by: list[str], score: str = "fit_score", pos: str = "pos") -> DataFrame:
-    """Adds rank, by score downwards; ties keep their order."""
-    return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(score), pos)))
+    """Adds rank, by score downwards; ties keep their order.  A group of any size is spread over partitions."""
+    out = running(rows, by, [F.desc(score), pos], number="rank")
+    return out.withColumn("rank", F.col("rank").cast("int"))
