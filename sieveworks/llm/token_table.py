@@ -37,7 +37,7 @@ SEGMENT = 8 << 20
 SPACE = "Ġ"
 
 #: New pieces in a text that goes to the library, and distinct pieces whose ids a worker keeps.
-LINES, CACHE_PIECES = 512, 600_000
+LINES, CACHE_PIECES = 512, 800_000
 
 ROWS = "shard int, doc_no bigint, doc_id bigint, piece int, last boolean, n_ids int, before bigint, ids array<int>"
 
@@ -104,16 +104,25 @@ class _Encoder:
             self.spaced = np.array([(self.made.id_to_token(n) or "").startswith(SPACE) for n in range(self.made.get_vocab_size())])
         return self.made
 
-    def pieces(self, texts: list[str]) -> pa.ListArray:
-        """Each text cut before spaces, which the pieces then lack."""
-        odd = [n for n, t in enumerate(texts) if _SPACED.search(t)]
+    def pieces(self, texts: list[str]) -> tuple[list[str], np.ndarray, pa.DictionaryArray]:
+        """Each text cut before spaces, which the pieces then lack: the first pieces, and of all others how many a text has and which."""
         cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ").cast(pa.large_list(pa.large_string()))
-        if odd:  # white space before some space
-            own = pa.array([_CUT.split(texts[n]) for n in odd], cut.type)
+        heads, sizes, coded = self.parted(cut)
+        if any(not x or x[-1].isspace() for x in chain(heads, coded.dictionary.to_pylist())):  # white space before some space, or last
+            odd = [n for n, t in enumerate(texts) if _SPACED.search(t)]
             at = np.arange(len(texts))
             at[odd] = len(texts) + np.arange(len(odd))
-            cut = pa.concat_arrays([cut, own]).take(pa.array(at))
-        return cut
+            own = pa.array([_CUT.split(texts[n]) for n in odd], cut.type)
+            heads, sizes, coded = self.parted(pa.concat_arrays([cut, own]).take(pa.array(at)))
+        return heads, sizes, coded
+
+    @staticmethod
+    def parted(cut: pa.LargeListArray) -> tuple[list[str], np.ndarray, pa.DictionaryArray]:
+        bounds = cut.offsets.to_numpy()
+        flat, first = cut.values[bounds[0] : bounds[-1]], bounds[:-1] - bounds[0]
+        rest = np.ones(len(flat), bool)
+        rest[first] = False
+        return flat.take(pa.array(first)).to_pylist(), np.diff(bounds) - 1, flat.filter(pa.array(rest)).dictionary_encode()
 
     def encoded(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer().encode_batch_fast(texts, add_special_tokens=False)]
@@ -164,16 +173,10 @@ class _Encoder:
         """The ids of each text, END included."""
         out: list[list[np.ndarray]] = [[] for _ in texts]
         for held, owner in self.segments(texts):
-            cut = self.pieces(held)
             if len(self.numbers) > CACHE_PIECES:
                 self.shrink()
-            bounds = cut.offsets.to_numpy()
-            flat = cut.values[bounds[0] : bounds[-1]]
-            first = bounds[:-1] - bounds[0]
-            heads = self.encoded(flat.take(pa.array(first)).to_pylist())  # without a space before
-            rest = np.ones(len(flat), bool)
-            rest[first] = False
-            coded = flat.filter(pa.array(rest)).dictionary_encode()
+            first, sizes, coded = self.pieces(held)
+            heads = self.encoded(first)  # without a space before
             number = np.fromiter(map(self.numbers.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
             self.learn(self.numbers.new)
             self.numbers.new = []
@@ -185,7 +188,7 @@ class _Encoder:
             count = self.starts[piece + 1] - start
             ends = np.concatenate([[0], np.cumsum(count)])
             ids = self.values[np.repeat(start - ends[:-1], count) + np.arange(ends[-1])]
-            places = ends[np.cumsum(np.diff(bounds) - 1)].tolist()
+            places = ends[np.cumsum(sizes)].tolist()
             for n, head, (lo, hi) in zip(owner, heads, pairwise([0, *places]), strict=True):
                 out[n] += [np.array(head, np.int32), ids[lo:hi]]
         return [np.concatenate([*parts, _END]) for parts in out]
@@ -247,7 +250,7 @@ def write_tokens(documents: DataFrame, path: str, model_path: str, *, doc_id: st
 
     with arrow_batches(spark, PART_BYTES):
         out = ordered.mapInArrow(encode, ROWS).write
-        out.option("orc.bloom.filter.columns", "doc_id").option("orc.row.index.stride", stride).option("orc.stripe.size", stripe_bytes).option("orc.create.index", "true").option("orc.rows.between.memory.checks", "64").option("compression", "zstd").orc(path)
+        out.option("orc.bloom.filter.columns", "doc_id").option("orc.row.index.stride", stride).option("orc.stripe.size", stripe_bytes).option("orc.create.index", "true").option("orc.rows.between.memory.checks", "64").option("compression", "lz4").orc(path)
     return path
 
 
