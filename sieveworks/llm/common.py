@@ -239,8 +239,9 @@ def free(columns: list[str], *names: str) -> list[str]:
 def labelled_sample(documents: DataFrame, labels: DataFrame, *, label: str, fold: int, held_out: int, per_class: int, doc_id: str = "doc_id", text: str = "text", max_bytes: int = SAMPLE_BYTES) -> list[tuple[int, str, int]]:
     """(id, whole text, label) of at most per_class documents and about half of max_bytes of text of each class, outside the held-out fold.
 
-    Those with the smallest hash of their id are taken, at least one of a class,
-    so the sample does not depend on partitions.  Of several labels of a document
+    Those with the smallest hash of their id are taken, so the sample does not
+    depend on partitions; a text that would pass the bound is left out and those
+    after it are tried.  Of several labels of a document
     the largest counts, of several texts the smallest: repeated rows are made one
     before anything reaches the driver.  Null ids, labels and texts are left out.
     """
@@ -255,9 +256,9 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, *, label: str, fold
     found = stored(found.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y")), "labelled")
     sizes, keep, used = found.select("doc_id", "y", F.octet_length("text").alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect(), [], {0: 0, 1: 0}
     for r in sizes:
-        if not used[r.y] or used[r.y] + r.n <= max_bytes // 2:
+        if used[r.y] + r.n <= max_bytes // 2:
             keep.append(r.doc_id)
-        used[r.y] += r.n
+            used[r.y] += r.n
     if len(keep) < len(sizes):
         found = found.where(F.col("doc_id").isin(keep))
     return sorted((r.doc_id, r.text, r.y) for r in found.collect())

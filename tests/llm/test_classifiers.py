@@ -167,8 +167,24 @@ def test_repeated_rows_and_long_texts_are_bounded_before_the_driver(spark, corpu
     labels = spark.createDataFrame([(i, 1) for i in (1, 2, 3, 4)] * 2 + [(1, 0)], "doc_id long, toxic int")
     ask = dict(label="toxic", fold=1, held_out=5, per_class=10)
     assert labelled_sample(docs, labels, **ask) == [(1, "a", 1), (2, "c" * 900, 1), (3, "d" * 900, 1), (4, "e" * 5, 1)]
-    some = labelled_sample(docs, labels, **ask, max_bytes=2000)
-    assert 1 <= len(some) < 4 and all(len(t) in (1, 5, 900) for _, t, _ in some)
+    order = [r.doc_id for r in spark.range(1, 5).select(F.col("id").alias("doc_id")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    size, want, used = {1: 1, 2: 900, 3: 900, 4: 5}, [], 0
+    for i in order:
+        if used + size[i] <= 1000:
+            want.append(i)
+            used += size[i]
+    assert [i for i, *_ in labelled_sample(docs, labels, **ask, max_bytes=2000)] == sorted(want) and len(want) == 3
+
+
+@pytest.mark.parametrize("place", range(6))
+def test_a_long_text_costs_only_itself(spark, place):
+    from sieveworks.llm.common import labelled_sample
+
+    order = [r.id for r in spark.range(6).orderBy(F.xxhash64("id"), "id").collect()]
+    docs = spark.createDataFrame([(i, "y" * 11_000 if k == place else f"text {i}") for k, i in enumerate(order)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in order], "doc_id long, toxic int")
+    found = labelled_sample(docs, labels, label="toxic", fold=1, held_out=5, per_class=10, max_bytes=20_000)
+    assert found == [(i, f"text {i}", 1) for i in sorted(order) if i != order[place]]
 
 
 @pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
