@@ -8,6 +8,7 @@ import json
 import os
 import re
 import tempfile
+import time
 import uuid
 from collections.abc import Callable
 
@@ -15,6 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Files of a log beyond which reading it compacts it.
+PARTS = 256
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder that driver and executors share; where none is set, one of our own on a single machine, and an error on a cluster."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -92,6 +97,31 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """The files below a folder, at any depth; none if it is missing."""
+    hadoop, filesystem = _path(spark, path)
+    if not filesystem.exists(hadoop):
+        return []
+    found, out = filesystem.listFiles(hadoop, True), []
+    while found.hasNext():
+        out.append(found.next().getPath().toString())
+    return sorted(out)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder that nothing reads any more."""
+    hadoop, filesystem = _path(spark, path)
+    filesystem.delete(hadoop, True)
+
+
+def moved_in(spark: SparkSession, old: str, new: str) -> None:
+    """Gives a folder that is whole its name, which must be new."""
+    (source, filesystem), (target, _) = _path(spark, old), _path(spark, new)
+    filesystem.mkdirs(target.getParent())
+    if not filesystem.rename(source, target):
+        raise OSError(f"{old} can't be renamed to {new}")
+
+
 class Checkpoints:
     """Tables of a run by date, stage and key; each is a new folder, and a pointer file says which one counts (K2).
 
@@ -106,9 +136,12 @@ class Checkpoints:
     def _pointer(self, stage: str, key: str) -> str:
         return f"{self.at}/{stage}/{key}.json"
 
-    def write(self, stage: str, df: DataFrame, key: str = "all") -> DataFrame:
+    def write(self, stage: str, df: DataFrame, key: str = "all", check: Callable[[DataFrame], None] | None = None) -> DataFrame:
+        """check sees the written table before it counts; if it raises, the stage has no checkpoint."""
         folder = f"{self.at}/{stage}/{key}-{uuid.uuid4().hex}"
         df.write.parquet(folder)
+        if check is not None:
+            check(self.spark.read.schema(df.schema).parquet(folder))
         write_text(self.spark, self._pointer(stage, key), json.dumps({"table": folder}))
         return self.spark.read.schema(df.schema).parquet(folder)
 
@@ -169,8 +202,47 @@ class Manifest:
         self.save()
 
 
+class RunLog:
+    """K7: the events of a run's date, each a small file of its own that is never written again.
+
+    Writers share nothing, so any number of them lose no line.  compact() puts
+    events into one file and deletes theirs; an event has an id, so one that a
+    compaction left in both places counts once.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, run_date: str):
+        self.spark, self.folder = spark, f"{root.rstrip('/')}/logs/{run_date}"
+
+    def event(self, stage: str | None, message: str, level: str = "INFO", **extra) -> None:
+        """One event, free fields at top level."""
+        self._put([{"time": Manifest.now(), "level": level, "stage": stage, "message": message, **extra, "event": uuid.uuid4().hex}])
+
+    def _put(self, events: list[dict]) -> None:
+        body = "".join(json.dumps(e, default=str) + "\n" for e in events)
+        write_text(self.spark, f"{self.folder}/{time.time_ns():020d}-{uuid.uuid4().hex}.jsonl", body)
+
+    def _held(self) -> tuple[list[str], list[dict]]:
+        files, found = [f for f in listed(self.spark, self.folder) if f.endswith(".jsonl")], {}
+        for f in files:
+            for line in (read_text(self.spark, f) or "").splitlines():
+                found.setdefault((e := json.loads(line))["event"], e)
+        return files, list(found.values())
+
+    def events(self) -> list[dict]:
+        """All events in the order of their time; a log of more than PARTS files is compacted on the way."""
+        files, found = self._held()
+        if len(files) > PARTS:
+            self.compact()
+        return sorted(({k: v for k, v in e.items() if k != "event"} for e in found), key=lambda e: e["time"])
+
+    def compact(self) -> None:
+        files, found = self._held()
+        if len(files) > 1:
+            self._put(found)
+            for f in files:
+                removed(self.spark, f)
+
+
 def log(spark: SparkSession, root: str, run_date: str, stage: str, message: str, level: str = "INFO", **extra) -> None:
-    """K7: one JSON line more in the run's log, free fields at top level."""
-    path = f"{root.rstrip('/')}/logs/{run_date}.jsonl"
-    line = json.dumps({"time": Manifest.now(), "level": level, "stage": stage, "message": message, **extra})
-    write_text(spark, path, (read_text(spark, path) or "") + line + "\n")
+    """K7: one event more in the run's log."""
+    RunLog(spark, root, run_date).event(stage, message, level, **extra)

@@ -104,7 +104,7 @@ def test_manifest_and_log(spark, tmp_path):
     assert data["status"] == "success" and data["error"] is None and data["stages"]["fetch"]["count"] == 3 and data["stages"]["fetch"]["duration_s"] >= 0
     runstate.log(spark, root, "2024-01-01", "fetch", "hi", extra=1)
     runstate.log(spark, root, "2024-01-01", "fetch", "ho")
-    assert [json.loads(x)["message"] for x in runstate.read_text(spark, f"{root}/logs/2024-01-01.jsonl").splitlines()] == ["hi", "ho"]
+    assert [(e["message"], e.get("extra")) for e in runstate.RunLog(spark, root, "2024-01-01").events()] == [("hi", 1), ("ho", None)]
 
 
 def events(spark, rows):
