@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import os
+import shlex
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -58,6 +59,12 @@ class RunConfig:
     score_floor: int = SCORE_FLOOR
     delay_s: float = 0.3
     force: bool = False
+    model: str = ""
+    judge_command: tuple[str, ...] = ()
+    topic: str | None = None
+    callers: int = 4
+    judge_attempts: int = 2
+    backoff_s: float = 2.0
     extra: Mapping[str, str] = field(default_factory=dict)
 
     def __post_init__(self):
@@ -66,7 +73,15 @@ class RunConfig:
             raise ValueError("chunk_rows must be 1 at least")
 
 
-def from_environment(run_date: str, root: str, env: Mapping[str, str] | None = None, prefix: str = "SIEVEWORKS_") -> RunConfig:
-    """A RunConfig from variables with the given prefix: LANES, CHUNK_SIZE, ATS_DELAY."""
+def from_environment(run_date: str, root: str, env: Mapping[str, str] | None = None, prefix: str = "SIEVEWORKS_", **more) -> RunConfig:
+    """A RunConfig from variables with the given prefix.
+
+    LANES, CHUNK_SIZE, ATS_DELAY, MODEL, JUDGE (a command line; {model} and
+    {schema} in it are filled in), TOPIC (the address of notices) and CALLERS.
+    """
     env = os.environ if env is None else env
-    return RunConfig(run_date, root, tuple(active_lanes(env.get(prefix + "LANES"))), int(env.get(prefix + "CHUNK_SIZE", CHUNK_ROWS)), delay_s=float(env.get(prefix + "ATS_DELAY", "0.3")))
+    said = lambda name, default: env.get(prefix + name) or default
+    return RunConfig(
+        run_date, root, tuple(active_lanes(env.get(prefix + "LANES"))), int(said("CHUNK_SIZE", CHUNK_ROWS)), delay_s=float(said("ATS_DELAY", "0.3")),
+        model=said("MODEL", ""), judge_command=tuple(shlex.split(said("JUDGE", ""))), topic=said("TOPIC", None), callers=int(said("CALLERS", "4")), **more,
+    )

@@ -11,9 +11,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import judge as J
 from . import schemas
-from .functions import text as X
+from .functions.text import json_of
+from .judge import JUDGE_FIELDS, Judge, _problem, _rows, retried
 from .runstate import exists, listed, moved_in, removed, stored
 from .vocab import ERROR_CHARS
 
@@ -67,7 +67,7 @@ class Ledger:
         return len(files)
 
 
-def keyed(chunks: DataFrame, salt: Mapping[str, str], fields: tuple[str, ...] = J.JUDGE_FIELDS) -> DataFrame:
+def keyed(chunks: DataFrame, salt: Mapping[str, str], fields: tuple[str, ...] = JUDGE_FIELDS) -> DataFrame:
     """(chunk, key, ids): what each chunk asks as one hash, and its ids in order.
 
     The hash covers the lane, what salt says of the lane (criteria, model, date)
@@ -77,7 +77,7 @@ def keyed(chunks: DataFrame, salt: Mapping[str, str], fields: tuple[str, ...] =
     said = F.lit("")
     for lane, text in salt.items():
         said = F.when(F.col("lane") == lane, F.lit(text)).otherwise(said)
-    content = X.json_of(*(f for f in fields if f != "id"))
+    content = json_of(*(f for f in fields if f != "id"))
     rows = chunks.select("chunk", "id", F.coalesce("lane", F.lit("")).alias("lane"), content.alias("content")).withColumn("said", said)
     made = rows.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("id", "content"))).alias("r"), F.min("lane").alias("lane"), F.min("said").alias("said"))
     parts = F.concat(F.array("lane", "said"), F.transform("r", lambda x: F.sha2(x["content"].cast("binary"), 256)))
@@ -97,7 +97,7 @@ def _groups(frames: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
         yield pd.concat(held)
 
 
-def _asking(root: str, judge: J.Judge, attempts: int, base_s: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _asking(root: str, judge: Judge, attempts: int, base_s: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
@@ -109,9 +109,9 @@ def _asking(root: str, judge: J.Judge, attempts: int, base_s: float) -> Callable
             name = f"{folder}/{key}.json"
 
             def call(rows=rows):
-                asked = J._rows(rows, J.JUDGE_FIELDS)
+                asked = _rows(rows, JUDGE_FIELDS)
                 answers = judge(asked, rows["lane"].iloc[0])
-                if problem := J._problem(answers, {r["id"] for r in asked}):
+                if problem := _problem(answers, {r["id"] for r in asked}):
                     raise ValueError(problem)
                 return answers
 
@@ -119,7 +119,7 @@ def _asking(root: str, judge: J.Judge, attempts: int, base_s: float) -> Callable
                 yield pd.DataFrame([(key, "held", 0, None)], columns=["key", "outcome", "calls", "error"])
                 continue
             try:
-                answers, used = J.retried(call, attempts, base_s)
+                answers, used = retried(call, attempts, base_s)
             except Exception as e:  # a chunk's failure is a row, not the run's
                 yield pd.DataFrame([(key, "failed", attempts, str(e)[:ERROR_CHARS] or type(e).__name__)], columns=["key", "outcome", "calls", "error"])
                 continue
@@ -135,7 +135,7 @@ def _asking(root: str, judge: J.Judge, attempts: int, base_s: float) -> Callable
     return ask
 
 
-def answered(chunks: DataFrame, judge: J.Judge, ledger: Ledger, *, salt: Mapping[str, str] | None = None, callers: int = 4, attempts: int = 2, base_s: float = 2.0) -> tuple[DataFrame, DataFrame]:
+def answered(chunks: DataFrame, judge: Judge, ledger: Ledger, *, salt: Mapping[str, str] | None = None, callers: int = 4, attempts: int = 2, base_s: float = 2.0) -> tuple[DataFrame, DataFrame]:
     """The answers for every chunk (schemas.JUDGED), and the attempt (ATTEMPT): one row for each call that was due.
 
     Chunks whose key the ledger holds are left out before anything is asked; the
@@ -151,7 +151,7 @@ def answered(chunks: DataFrame, judge: J.Judge, ledger: Ledger, *, salt: Mapping
     todo = keys.join(ledger.entries().select("key"), "key", "left_anti").groupBy("key").agg(F.min("chunk").alias("chunk"))
     todo = stored(todo, "todo")
     if not todo.isEmpty():
-        rows = chunks.join(todo, "chunk").select("key", "lane", *J.JUDGE_FIELDS)
+        rows = chunks.join(todo, "chunk").select("key", "lane", *JUDGE_FIELDS)
         dealt = rows.repartition(callers, "key").sortWithinPartitions("key", "id")
         ask = _asking(ledger.root, judge, attempts, base_s)
         alone = spark.conf.get("spark.speculation", "false").lower() == "true"

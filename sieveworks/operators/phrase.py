@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -35,3 +36,10 @@ def counts(listings: DataFrame, rules: PhraseRules = PhraseRules(), gated: str =
     """A5: one row of passed (bypassed included), filtered and near_misses (of filtered rows)."""
     out = bypassed(gated=gated) | F.col("passes")
     return evaluated(listings, rules).agg(F.count_if(out).alias("passed"), F.count_if(~out).alias("filtered"), F.count_if(~out & F.col("near_miss")).alias("near_misses"))
+
+
+def observed(listings: DataFrame, rules: PhraseRules = PhraseRules(), gated: str = FIRST_TPM) -> tuple[DataFrame, list[Column], Callable[[DataFrame], DataFrame]]:
+    """What counts() counts, for one pass: the evaluated rows, the counters to observe on them, and which of them pass."""
+    out = bypassed(gated=gated) | F.col("passes")
+    counters = [F.count_if(out).alias("passed"), F.count_if(~out).alias("filtered"), F.count_if(~out & F.col("near_miss")).alias("near_misses")]
+    return evaluated(listings, rules), counters, lambda rows: rows.where(out).select(*listings.columns)

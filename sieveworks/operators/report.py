@@ -25,17 +25,20 @@ def entry_lines(rows: DataFrame, by: list[str]) -> DataFrame:
     return scoring.ranked(rows, by).select(*by, "rank", F.posexplode(lines).alias("line_ord", "line"))
 
 
-def report_lines(spark: SparkSession, rows: DataFrame, run_date: str, candidates: int, lanes: list[str], known: Mapping[str, Lane] = LANES, floor: int = SCORE_FLOOR) -> DataFrame:
+def report_lines(spark: SparkSession, rows: DataFrame, run_date: str, candidates: int, lanes: list[str], known: Mapping[str, Lane] = LANES, floor: int = SCORE_FLOOR, gap: tuple[int, int] = (0, 0)) -> DataFrame:
     """(section, category, rank, line_ord, line): all lines of the report, to be ordered by these.
 
     Rows whose category is in no active lane get a section of their own after
-    the lanes, so that nothing published goes unreported.
+    the lanes, so that nothing published goes unreported.  gap is the number of
+    listings without a verdict and of their chunks; if there are any, the head
+    says so.
     """
     head = [(0, 0, 0, k, line) for k, line in enumerate((
         f"# Matches — {run_date}",
         "",
         f"Sources: {'; '.join(known[name].sources for name in lanes)}. {candidates} candidate listings reviewed against {' and '.join(f'[`{known[name].criteria}`](../{known[name].criteria})' for name in lanes)}.",
         "",
+        *([f"{gap[0]} listings in {gap[1]} chunks could not be classified and are not part of this report.", ""] if gap[0] else []),
     ))]
     places, frame = {}, []
     for s, name in enumerate(lanes, 1):

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..runstate import exists
+from ..runstate import exists, write_text
 
 
 def read_seen(spark: SparkSession, path: str) -> DataFrame:
@@ -24,3 +26,9 @@ def merged(seen: DataFrame, published: DataFrame, run_date: str) -> DataFrame:
     new = published.where(F.coalesce("url", F.lit("")) != "").select("url").distinct().join(seen, "url", "left_anti").withColumn("first_seen", F.lit(run_date))
     old = seen.groupBy("url").agg(F.min("first_seen").alias("first_seen"))
     return old.unionByName(new)
+
+
+def write_seen(spark: SparkSession, path: str, known: DataFrame, published: DataFrame, run_date: str) -> None:
+    """K5, L2: the store's file in url order."""
+    store = merged(known, published, run_date).orderBy("url")
+    write_text(spark, path, json.dumps({"seen": {r.url: r.first_seen for r in store.toLocalIterator()}}, indent=2, ensure_ascii=False))

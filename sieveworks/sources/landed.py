@@ -48,11 +48,26 @@ def feed_items(spark: SparkSession, paths: list[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, (one(k, p) for k, p in enumerate(paths)))
 
 
+#: A search's answer, and a thread's.
+HITS = "hits array<struct<objectID:string,title:string>>"
+THREAD = "id string, children array<struct<id:string,created_at:string,text:string>>"
+
+
+def first_hit(spark: SparkSession, search_path: str) -> DataFrame:
+    """L4: one row, thread and thread_title of the hit that a search names first; nulls if it names none."""
+    hits = _whole(spark, search_path).select(F.posexplode(F.from_json("value", HITS, {"mode": "FAILFAST"})["hits"]).alias("k", "hit"))
+    return hits.agg(F.min_by("hit", "k").alias("hit")).select(F.col("hit.objectID").alias("thread"), F.col("hit.title").alias("thread_title"))
+
+
+def no_items(spark: SparkSession) -> DataFrame:
+    """The items of no thread."""
+    return spark.createDataFrame([], "pos long, thread_title string, id string, created_at string, text string")
+
+
 def thread_items(spark: SparkSession, search_path: str, thread_path: str) -> DataFrame:
     """S3, L4: the comments of the thread that the search names first; blank ones are left out."""
-    hits = _whole(spark, search_path).select(F.posexplode(F.from_json("value", "hits array<struct<objectID:string,title:string>>")["hits"]).alias("k", "hit"))
-    first = hits.agg(F.min_by("hit", "k").alias("hit")).select(F.col("hit.objectID").alias("thread"), F.col("hit.title").alias("thread_title"))
-    thread = _whole(spark, thread_path).select(F.from_json("value", "id string, children array<struct<id:string,created_at:string,text:string>>").alias("t"))
+    first = first_hit(spark, search_path)
+    thread = _whole(spark, thread_path).select(F.from_json("value", THREAD, {"mode": "FAILFAST"}).alias("t"))
     rows = thread.select(F.col("t.id").alias("thread"), F.posexplode("t.children").alias("pos", "c")).join(F.broadcast(first), "thread")  # one row
     return rows.where(X.strip(F.coalesce("c.text", F.lit(""))) != "").select(F.col("pos").cast("long").alias("pos"), "thread_title", "c.*")
 

@@ -1,4 +1,4 @@
-"""Live HTTP readers; nothing here runs unless a caller asks for it."""
+"""Live HTTP readers; nothing here runs unless a caller asks for it."""
 
 from __future__ import annotations
 
@@ -6,15 +6,17 @@ import json
 import socket
 import time
 import urllib.error
+import urllib.parse
 import urllib.request
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..judge import retried
 from ..vocab import ERROR_CHARS
+from .landed import JOB
 
 #: The errors that a fetch tolerates; anything else is a bug and ends the run.
 FETCH_ERRORS = (urllib.error.URLError, socket.timeout, TimeoutError, json.JSONDecodeError)
@@ -91,6 +93,110 @@ class PagesSource(DataSource):
         return _Pages(self.options)
 
 
+#: Columns of a company in the rows of CompaniesSource.
+COMPANY = ("name", "ats", "token", "headcount", "source")
+
+
+def jobs_of(company: Mapping, urls: Mapping[str, str], read: Callable[[str], bytes] = get) -> list | None:
+    """The raw jobs of a company, None if its system doesn't know it (404); an answer that isn't JSON raises."""
+    try:
+        data = json.loads(read(urls[company["ats"]] % urllib.parse.quote(company["token"], safe="")))
+    except urllib.error.HTTPError as e:
+        if e.code == 404:
+            return None
+        raise
+    if company["ats"] == "lever":
+        return data if isinstance(data, list) else []
+    return data.get("jobs") or [] if isinstance(data, dict) else []
+
+
+class _Companies(DataSourceReader):
+    def __init__(self, options):
+        self.companies = json.loads(options["companies"])
+        self.urls = URLS | json.loads(options.get("endpoints", "{}"))
+        self.delay, self.callers = float(options.get("delay", "0.3")), max(1, int(options.get("callers", "1")))
+        self.attempts, self.base = int(options.get("attempts", "2")), float(options.get("backoff", "1"))
+
+    def partitions(self):
+        """The companies of each system, dealt to callers: one system sees so many calls at a time, each caller's with the delay between them."""
+        dealt: dict[tuple[str, int], list[int]] = {}
+        count: dict[str, int] = {}
+        for pos, c in enumerate(self.companies):
+            n = count[c["ats"]] = count.get(c["ats"], -1) + 1
+            dealt.setdefault((c["ats"], n % self.callers), []).append(pos)
+        return [InputPartition(own) for own in dealt.values()] or [InputPartition([])]
+
+    def read(self, partition):
+        asked = False
+        for pos in partition.value:
+            company = self.companies[pos]
+            about = tuple(company.get(f) for f in COMPANY)
+            if company["ats"] not in self.urls:
+                yield "status", pos, *about, "skipped", 0, 0, "unknown system", None, None
+                continue
+            if asked:
+                time.sleep(self.delay)
+            asked, jobs, used = True, [], [0]
+
+            def call(company=company, used=used):
+                used[0] += 1
+                return jobs_of(company, self.urls)
+
+            try:
+                jobs, _ = retried(call, self.attempts, self.base)
+                status, error = ("skipped", None) if jobs is None else ("success", None)
+            except FETCH_ERRORS as e:
+                status, error, jobs = "failed", str(e)[:ERROR_CHARS] or type(e).__name__, []
+            yield "status", pos, *about, status, used[0], len(jobs or []), error, None, None
+            for k, job in enumerate(jobs or []):
+                yield "job", pos, *about, None, None, None, None, k, json.dumps(job, ensure_ascii=False)
+
+
+class CompaniesSource(DataSource):
+    """Spark format "sieveworks_companies" (S6, S7, C3, C7): the jobs of companies and what became of each call.
+
+    The option companies is a JSON list of objects with name, ats, token,
+    headcount and source; delay, callers (a system), attempts and backoff are
+    seconds and counts; endpoints (JSON) replaces a system's address.  Every
+    company has one row of kind status (success, skipped for 404 and unknown
+    systems, or failed), and a row of kind job for each job.  Only transport and
+    parse errors are tolerated; any other ends the read.  Reading calls the
+    network each time, so a run reads it once, into a checkpoint.
+    """
+
+    @classmethod
+    def name(cls):
+        return "sieveworks_companies"
+
+    def schema(self):
+        return "kind string, pos long, name string, ats string, token string, headcount int, source string, status string, attempts int, count long, error string, job_pos long, job string"
+
+    def reader(self, schema):
+        return _Companies(self.options)
+
+
+def fetched_companies(spark: SparkSession, companies: DataFrame, **options) -> DataFrame:
+    """The rows of CompaniesSource for a company list, in the list's order by name, system and token.
+
+    The list is a table that people keep, so it fits the driver; duplicates of
+    (ats, token) are called once.
+    """
+    spark.dataSource.register(CompaniesSource)
+    rows = companies.select(*COMPANY).dropDuplicates(["ats", "token"]).orderBy("name", "ats", "token").collect()
+    given = json.dumps([r.asDict() for r in rows])
+    return spark.read.format("sieveworks_companies").options(companies=given, **{k: str(v) for k, v in options.items()}).load()
+
+
+def company_jobs(fetched: DataFrame) -> DataFrame:
+    """The job rows as normalize.job_listings() takes them."""
+    return fetched.where("kind = 'job'").select(*COMPANY, F.col("pos").alias("company_pos"), "job_pos", F.from_json("job", JOB).alias("job"))
+
+
+def company_status(fetched: DataFrame) -> DataFrame:
+    """One row of schemas.STATUS for each company."""
+    return fetched.where("kind = 'status'").select("name", "status", "attempts", "count", "error")
+
+
 def notified(message: str, topic: str | None, *, title: str, priority: str = "low", send: Callable[..., object] | None = None, timeout_s: float = 10) -> bool:
     """K9: posts a message if there is a topic URL; never raises."""
     if not topic:
