@@ -1,13 +1,13 @@
-"""Text functions as Column expressions; only full entity decoding leaves the JVM."""
+"""Text functions as Column expressions, all in the JVM."""
 
 from __future__ import annotations
 
-import html as _html
+import json
+from functools import lru_cache
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..vocab import RoleRules, SnippetRules
 
@@ -49,16 +49,59 @@ def decode_common(c) -> Column:
     return out
 
 
-@F.pandas_udf(T.StringType())
-def _unescape(s: pd.Series) -> pd.Series:
-    return s.map(_html.unescape, na_action="ignore")
+#: What a reference to a number outside the allowed ones becomes: C1 controls stand for the characters of code page 1252.
+_NUMBERS = {0: "\ufffd", 13: "\r"} | {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
+
+
+def _map(pairs: dict, kind: str) -> Column:
+    """A map as one constant, which the optimizer reads once."""
+    return F.from_json(F.lit(json.dumps(pairs)), kind)
+
+
+@lru_cache(maxsize=1)
+def _names() -> tuple[dict[str, dict[str, str]], str]:
+    """The names that end in a semicolon by their first two characters, and a pattern of those that needn't, longest first."""
+    by: dict[str, dict[str, str]] = {}
+    for name, text in html5.items():
+        if name.endswith(";"):
+            by.setdefault(name[:2], {})[name] = text
+    return by, "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
+
+
+def _code_point(n: Column) -> Column:
+    """The text of a reference to a number, by the rules of HTML; n is null if it is over any code point."""
+    special = F.element_at(_map(_NUMBERS, "map<string,string>"), n.cast("string"))
+    beyond = n.isNull() | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF)
+    none = n.between(1, 8) | (n == 11) | n.between(14, 31) | (n == 127) | n.between(0xFDD0, 0xFDEF) | (F.pmod(n, F.lit(0x10000)) >= 0xFFFE)
+    plain = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    return F.when(beyond, "\ufffd").when(special.isNotNull(), special).when(none, "").otherwise(plain)
+
+
+def _reference(part: Column) -> Column:
+    """What stands after an ampersand, the reference at its start decoded."""
+    digits, hexed = F.regexp_extract(part, r"^#([0-9]+);?", 1), F.regexp_extract(part, r"^#[xX]([0-9a-fA-F]+);?", 1)
+    small = lambda x, base, most: F.when(F.length(F.ltrim(x, F.lit("0"))) <= most, F.conv(F.concat(F.lit("0"), x), base, 10).cast("long"))
+    number = _code_point(F.when(digits != "", small(digits, 10, 9)).otherwise(small(hexed, 16, 7)))
+    rest = F.regexp_replace(part, r"^#(?:[0-9]+|[xX][0-9a-fA-F]+);?", "")
+    by, loose = _names()
+    name = F.regexp_extract(part, r"^[^\t\n\f <&#;]{1,32};", 0)
+    found = F.element_at(F.element_at(_map(by, "map<string,map<string,string>>"), F.substring(name, 1, 2)), name)
+    short = F.regexp_extract(part, rf"^(?:{loose})", 0)
+    bare = F.element_at(_map({n: t for n, t in html5.items() if not n.endswith(";")}, "map<string,string>"), short)
+    return (
+        F.when((digits != "") | (hexed != ""), F.concat(number, rest))
+        .when(found.isNotNull(), F.concat(found, F.substring(part, F.length(name) + 1, F.length(part))))
+        .when(short != "", F.concat(bare, F.substring(part, F.length(short) + 1, F.length(part))))
+        .otherwise(F.concat(F.lit("&"), part))
+    )
 
 
 def decode_entities(c) -> Column:
-    """All HTML entities; only texts that hold an ampersand travel to Python."""
+    """all HTML references, named with or without their semicolon (the longest name that fits) and numbered, in the JVM."""
     c = _col(c)
-    held = F.when(c.contains("&"), c)
-    return F.coalesce(_unescape(held), c)
+    parts = F.split(c, "&")
+    decoded = F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), _reference)
+    return F.when(c.contains("&"), F.concat(F.get(parts, F.lit(0)), F.array_join(decoded, ""))).otherwise(c)
 
 
 def strip_html(c) -> Column:

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..runstate import exists, write_text
+from ..keyed_store import KeyedStore
+from ..runstate import exists, put_together
 
 
 def read_seen(spark: SparkSession, path: str) -> DataFrame:
@@ -28,7 +27,34 @@ def merged(seen: DataFrame, published: DataFrame, run_date: str) -> DataFrame:
     return old.unionByName(new)
 
 
-def write_seen(spark: SparkSession, path: str, known: DataFrame, published: DataFrame, run_date: str) -> None:
-    """K5, L2: the store's file in url order."""
-    store = merged(known, published, run_date).orderBy("url")
-    write_text(spark, path, json.dumps({"seen": {r.url: r.first_seen for r in store.toLocalIterator()}}, indent=2, ensure_ascii=False))
+class SeenStore:
+    """The published urls with the date of each first publication, in a KeyedStore below a folder.
+
+    A seen.json of earlier runs, the legacy list included, is taken in when the
+    store is made.  Urls that come again keep their date.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
+        self.spark, self.file = spark, f"{root.rstrip('/')}/seen.json"
+        self.store = KeyedStore(spark, f"{root.rstrip('/')}/seen", schemas.SEEN, "url", buckets)
+        if self.store.is_new and exists(spark, self.file):
+            self.store.insert(read_seen(spark, self.file), "first_seen", ("file", 0))
+
+    def read(self) -> DataFrame:
+        return self.store.read()
+
+    def publish(self, published: DataFrame, run_date: str) -> int:
+        """Adds the urls that are new, with the run's date; returns their number."""
+        new = self.store.insert(published.select("url", F.lit(run_date).alias("first_seen")), "first_seen")
+        self.store.compact()
+        return new
+
+    def export(self) -> None:
+        """L2: seen.json in url order, from parts that are sorted by range and copied one after another; nothing passes through Python."""
+        rows = self.read()
+        least = rows.agg(F.min("url")).first()[0]
+        pair = F.to_json(F.create_map("url", F.coalesce("first_seen", F.lit(""))))
+        comma = F.when(F.col("url") == F.lit(least), F.lit("")).otherwise(",")
+        entry = F.concat(F.lit("    "), F.expr("substring(j, 2, length(j) - 2)"))
+        lines = rows.withColumn("j", pair).orderBy("url").select(F.concat(comma, entry).alias("value"))
+        put_together(self.spark, self.file, '{"seen": {\n', lines, "}}\n")

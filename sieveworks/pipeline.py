@@ -160,7 +160,8 @@ class Run:
         passed = self.stored("prefilter", key, lambda: rows, lambda df: phrase.observed(df, rules))
 
         self.stage = "dedupe"
-        known = seen.read_seen(spark, f"{config.root}/seen.json")
+        store = seen.SeenStore(spark, config.root)
+        known = store.read()
         key = f"{key}-{fingerprint(known.where(F.col('first_seen') != config.run_date), 'url')}"
         kept = self.stored("dedupe", key, lambda: passed, lambda df: dedupe.observed(df, known, config.run_date))
         candidates = self.manifest.data["stages"]["dedupe"].get("deduped_count")
@@ -199,7 +200,8 @@ class Run:
         lines = report.report_lines(spark, scored, config.run_date, candidates, list(config.lanes), LANES, config.score_floor, gap=(worst.n, worst.chunks))
         text = report.rendered(lines)
         write_text(spark, f"{config.root}/matches/{config.run_date}.md", text)
-        seen.write_seen(spark, f"{config.root}/seen.json", known, scored.where(F.col("fit_score") >= config.score_floor), config.run_date)
+        store.publish(scored.where(F.col("fit_score") >= config.score_floor), config.run_date)
+        store.export()
         counts = scoring.floor_counts(scored, config.score_floor).first().asDict()
         self.log.event("digest", "done", **counts)
         self.manifest.stage("digest", "success", **counts)

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import judge as J
+from .. import ledger
 from ..config import LANES, Lane
 from ..functions import text as X
 from ..operators import chunks, dedupe, normalize, phrase, report, scoring, seen, status, verdicts
+from ..runstate import stored
 from ..sources import landed
 from ..streaming import pool
 from ..vocab import RoleRules, SnippetRules, PhraseRules
@@ -63,7 +65,7 @@ def strip_tags(spark, sf_dir):
 
 @query("""SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(replace(html, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&#39;', ''''), '&nbsp;', chr(160)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS text FROM pages""")
 def decode_entities(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", X.decode_common("html").alias("text"))
+    return table(spark, sf_dir, "pages").select("page_id", X.decode_entities("html").alias("text"))
 
 
 @query("""SELECT page_id, replace(replace(replace(replace(regexp_replace(coalesce(html, ''), '<[^<]+?>', ' ', 'g'), '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS text FROM pages""")
@@ -551,14 +553,56 @@ def stream_pool(spark, sf_dir):
     kind = table(spark, sf_dir, "events").schema
     stream = spark.readStream.schema(kind).parquet(f"{sf_dir}/events*.parquet")
     stream = stream.select(F.concat_ws("/", F.col("user_id").cast("string"), F.to_date("ts").cast("string")).alias("key"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("pos"), "event_type")
-    held = {"at": _pool(spark, sf_dir).limit(0)}
+    store = pool.pool_store(spark, f"{root}/pool", stream)
+    pool.stream_into(stream, store, f"{root}/state").awaitTermination()
+    return store.read().select("key", "pos", "event_type", F.col("first_ingested").cast("string"))
 
-    def put(df, number):
-        df.write.mode("overwrite").parquet(f"{root}/v{number}")
-        held["at"] = spark.read.schema(df.schema).parquet(f"{root}/v{number}")
 
-    pool.stream_into(stream, lambda: held["at"], put, f"{root}/state").awaitTermination()
-    return held["at"].select("key", "pos", "event_type", F.col("first_ingested").cast("string"))
+@query(ORACLE["consume_marker"])
+def pool_consumed(spark, sf_dir):
+    """The marker of the records that a report used, set in the stored pool."""
+    import uuid
+
+    from ..runstate import shared_root
+
+    rows = _events(spark, sf_dir)
+    store = pool.pool_store(spark, f"{shared_root(spark).rstrip('/')}/pool-{uuid.uuid4().hex}", rows)
+    pool.ingest(store, rows)
+    pool.consume(store, pool.window_of(store.read(), "2024-01-08", "2024-01-15"), RUN_DATE)
+    return store.read().select("key", "consumed_by")
+
+
+@query(f"SELECT url, min(first_seen) AS first_seen FROM (SELECT url, first_seen FROM {_SQL_SEEN} s UNION ALL SELECT url, '9999-12-31' FROM {_SQL_KEYED} k WHERE coalesce(url, '') <> '') GROUP BY url")
+def seen_store(spark, sf_dir):
+    """A store that holds what was seen and then takes in all keyed rows of a later date, in two batches."""
+    import uuid
+
+    from ..runstate import shared_root
+
+    store = seen.SeenStore(spark, f"{shared_root(spark).rstrip('/')}/seen-{uuid.uuid4().hex}")
+    store.store.insert(_seen(spark, sf_dir), "first_seen")
+    rows = _keyed(spark, sf_dir)
+    store.publish(rows.where("pos % 2 = 0"), "9999-12-31")
+    store.publish(rows, "9999-12-31")
+    return store.read()
+
+
+@query(f"SELECT c.id, c.chunk, CASE WHEN d.text ILIKE '%thanedble%' THEN 'match' ELSE 'no_match' END AS verdict, CASE WHEN c.lane = 'en' THEN 1 ELSE 2 END AS asked_in FROM {_SQL_CHUNKED} c JOIN documents d ON d.doc_id = c.id")
+def answer_ledger(spark, sf_dir):
+    """A run that ends after the chunks of one lane and one that asks for the rest: each chunk's answers, and in which run it was asked."""
+    import uuid
+
+    from ..runstate import shared_root
+
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.concat(F.lit("u"), F.col("doc_id").cast("string")).alias("url"), F.lit("").alias("title"), F.lit("").alias("company"), "source", F.lit("").alias("posted_date"), F.array().cast("array<string>").alias("tags"), F.col("text").alias("snippet"))
+    made = stored(_chunked(spark, sf_dir).select("id", "lane", "chunk").join(docs, "id"), "asked")
+    rules = J.RuleJudge({lane: [("senior_tpm", "thanedble")] for lane in ("en", "fr", "de", "es")})
+    held = ledger.Ledger(spark, f"{shared_root(spark).rstrip('/')}/ledger-{uuid.uuid4().hex}")
+    _, first = ledger.answered(made.where("lane = 'en'"), rules, held)
+    given, second = ledger.answered(made, rules, held)
+    runs = first.select("key", F.lit(1).alias("asked_in")).unionByName(second.select("key", F.lit(2).alias("asked_in")))
+    asked = ledger.keyed(made, {}).join(runs, "key").select("chunk", "asked_in")
+    return given.join(asked, "chunk").select("id", "chunk", "verdict", "asked_in")
 
 
 # --- the whole ------------------------------------------------------------

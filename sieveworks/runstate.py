@@ -79,6 +79,11 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         filesystem.delete(part, False)
         raise
     out.close()
+    _renamed_over(spark, part, target, filesystem)
+
+
+def _renamed_over(spark: SparkSession, part, target, filesystem) -> None:
+    """Gives a whole file its name, in place of an old one."""
     kind = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
     over = spark.sparkContext._gateway.new_array(kind, 1)
     over[0] = kind.OVERWRITE
@@ -108,6 +113,28 @@ def listed(spark: SparkSession, path: str) -> list[str]:
     return sorted(out)
 
 
+def put_together(spark: SparkSession, path: str, head: str, lines: DataFrame, tail: str) -> None:
+    """One text file of head, the lines in their order and tail, under its name when it is whole.  Parts are written by tasks and copied by the JVM a buffer at a time."""
+    parts = f"{path}.{uuid.uuid4().hex}.parts"
+    lines.write.text(parts)
+    whole = f"{path}.{uuid.uuid4().hex}.tmp"
+    (target, filesystem), (final, _) = _path(spark, whole), _path(spark, path)
+    out = filesystem.create(target, True)
+    try:
+        out.write(bytearray(head.encode()))
+        for part in (f for f in listed(spark, parts) if f.rpartition("/")[2].startswith("part-")):
+            stream = filesystem.open(_path(spark, part)[0])
+            try:
+                spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 16, False)
+            finally:
+                stream.close()
+        out.write(bytearray(tail.encode()))
+    finally:
+        out.close()
+    _renamed_over(spark, target, final, filesystem)
+    removed(spark, parts)
+
+
 def removed(spark: SparkSession, path: str) -> None:
     """Deletes a file or folder that nothing reads any more."""
     hadoop, filesystem = _path(spark, path)

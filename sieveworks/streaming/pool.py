@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..keyed_store import KeyedStore
 from ..operators.dedupe import keep_first
 
 
@@ -41,14 +41,32 @@ def coverage(rows: DataFrame, upto, days: int = 7, at: str = "ts") -> DataFrame:
     return rows.where((day > F.date_sub(last, days)) & (day <= last)).agg(F.count_distinct(day).alias("covered_days")).withColumn("days", F.lit(days))
 
 
-def stream_into(stream: DataFrame, read_pool: Callable[[], DataFrame], write_pool: Callable[[DataFrame, int], None], checkpoint: str, **columns: str):
-    """T1 as a stream: each micro-batch is merged as a batch would be, so a batch that is run again changes nothing.
+def pool_store(spark: SparkSession, root: str, rows: DataFrame, key: str = "key", buckets: int = 64) -> KeyedStore:
+    """The pool as a KeyedStore for records like rows, with first_ingested and consumed_by."""
+    kinds = [f for f in rows.schema if f.name not in ("first_ingested", "consumed_by")]
+    return KeyedStore(spark, root, T.StructType([*kinds, T.StructField("first_ingested", T.DateType()), T.StructField("consumed_by", T.StringType())]), key, buckets)
+
+
+def ingest(store: KeyedStore, batch: DataFrame, number: int | None = None, *, stream: str = "stream", at: str = "ts", pos: str = "pos") -> int:
+    """As merged(), into the store: only new records are written, and a batch of a stream that comes again adds none."""
+    made = batch.withColumns({"first_ingested": F.to_date(at), "consumed_by": F.lit(None).cast("string")})
+    return store.insert(made, pos, None if number is None else (stream, number))
+
+
+def consume(store: KeyedStore, keys: DataFrame, report: str) -> list[int]:
+    """As consumed(), in the store: the buckets of the keys are written anew, the others are left."""
+    return store.update(keys, {"consumed_by": F.coalesce("consumed_by", F.lit(report))})
+
+
+def stream_into(stream: DataFrame, store: KeyedStore, checkpoint: str, *, name: str = "stream", at: str = "ts", pos: str = "pos", layers: int = 8):
+    """T1 as a stream: each micro-batch goes into the store once, under its number.
 
-    Event times are timestamps with a time zone; the pool's writer puts a new
-    version in place, since a plan can't overwrite what it reads.
+    Event times are timestamps with a time zone.  Buckets of many layers are made
+    one table between batches.
     """
 
     def each(batch: DataFrame, number: int) -> None:
-        write_pool(merged(read_pool(), batch, **columns), number)
+        ingest(store, batch, number, stream=name, at=at, pos=pos)
+        store.compact(layers)
 
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

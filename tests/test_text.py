@@ -98,3 +98,17 @@ def test_optional_int(spark):
 def test_present_and_json_keep_their_nulls(spark):
     assert values(spark, ["", None, "a"], X.present("t", F.lit("z"))) == ["z", "z", "a"]
     assert values(spark, [None, "b"], X.json_of("i", "t")) == ['{"i":0,"t":null}', '{"i":1,"t":"b"}']
+
+
+def test_entities_equal_the_standard_library(spark):
+    import random
+    from html.entities import html5
+
+    r = random.Random(1)
+    numbers = [*range(300), 0xD800, 0xDFFF, 0xFDD0, 0xFFFE, 0xFFFF, 0x10000, 0x1FFFE, 0x10FFFF, 0x110000, 0x1F600, 99_999_999, 10**12, 10**30]
+    given = [f"a&{n}b" for n in html5] + [f"&{n.rstrip(';')} &{n}" for n in html5] + [f"&#{n};x&#x{n:x}&#X{n:X};" for n in numbers]
+    given += ["&#;", "&#x;", "&", "&&amp;&", "& amp;", "&amp", "&ampamp;", "&notit;", "&#0065;", "&#x00000000000041;", "&" + "a" * 40 + ";", "", "no", "&lt;p&gt; &amp;lt;"]
+    given += ["".join(r.choice(["&", "#", "x", "amp", "lt", ";", " ", "not", "in", "1", "f", "é"]) for _ in range(r.randint(1, 10))) for _ in range(1500)]
+    plan = spark.createDataFrame([(k, t) for k, t in enumerate(given)], "k int, t string").select("k", X.decode_entities("t").alias("d"))
+    assert {x.k: x.d for x in plan.collect()} == {k: html.unescape(t) for k, t in enumerate(given)}
+    assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()
