@@ -33,6 +33,9 @@ END, ROW_IDS, STRIDE = 2, 1 << 18, 1000
 #: Characters that are encoded at once, about; a longer text is encoded in segments between cuts.
 SEGMENT = 8 << 20
 
+# Stops, which the pattern parts from letters.
+STOPS = ".,;:!?"
+
 #: What a space becomes at the start of a token in the model file.
 SPACE = "Ġ"
 
@@ -43,10 +46,21 @@ ROWS = "shard int, doc_no bigint, doc_id bigint, piece int, last boolean, n_ids
 
 _SPACED = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S) ")
+_ENDS_IN_SPACE = r"(?:^|[\x00-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}])$"
 _PLAIN = re.compile(r"\S+").fullmatch
 _END = np.array([END], np.int32)
 
 
+def _flat(lists: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), np.int32)
+
+
+def _spans(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of every span, one span after another."""
+    ends = np.cumsum(count)
+    return np.repeat(start - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class _Numbers(dict):
     """A number for each distinct piece, in the order of arrival; new ones are listed."""
 
@@ -108,7 +122,7 @@ class _Encoder:
         """Each text cut before spaces, which the pieces then lack: the first pieces, and of all others how many a text has and which."""
         cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ").cast(pa.large_list(pa.large_string()))
         heads, sizes, coded = self.parted(cut)
-        if any(not x or x[-1].isspace() for x in chain(heads, coded.dictionary.to_pylist())):  # white space before some space, or last
+        if any(not x or x[-1].isspace() for x in heads) or pc.any(pc.match_substring_regex(coded.dictionary, _ENDS_IN_SPACE)).as_py():  # white space before some space, or last
             odd = [n for n, t in enumerate(texts) if _SPACED.search(t)]
             at = np.arange(len(texts))
             at[odd] = len(texts) + np.arange(len(odd))
@@ -127,27 +141,48 @@ class _Encoder:
     def encoded(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer().encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, new: list) -> None:
-        """Appends the ids of new pieces."""
+    def learn(self, new: list[str]) -> None:
+        """Appends the ids of new pieces; one that ends in stops after a letter has those of the piece before them and of the stops."""
         if not new:
             return
         self.tokenizer()
-        plain = np.fromiter((_PLAIN(x) is not None for x in new), bool, len(new))
-        lines = [x for x, p in zip(new, plain.tolist(), strict=True) if p]
-        found = self.encoded([f" {' '.join(lines[lo : lo + LINES])}" for lo in range(0, len(lines), LINES)])
-        joined = np.fromiter(chain.from_iterable(found), np.int32)
-        begins = np.flatnonzero(self.spaced[joined])
-        other = self.encoded([f" {x}" for x, p in zip(new, plain.tolist(), strict=True) if not p])
-        counts = np.empty(len(new), np.int64)
-        counts[plain] = np.diff(begins, append=len(joined))
+        first, at, base, stops = len(self.starts) - 1, [], [], []
+        for k, x in enumerate(new):  # grows while pieces before stops are new
+            b = x.rstrip(STOPS)
+            if b and len(b) < len(x) and b[-1].isalpha() and b[-1] < "\u0250":
+                at.append(k)
+                base.append(self.numbers[b])
+                stops.append(x[len(b) :])
+        apart = np.zeros(len(new), bool)
+        apart[at] = True
+        own = [x for x, a in zip(new, apart.tolist(), strict=True) if not a]
+        plain = np.fromiter((_PLAIN(x) is not None for x in own), bool, len(own))
+        lines = [x for x, p in zip(own, plain.tolist(), strict=True) if p]
+        joined = _flat(self.encoded([f" {' '.join(lines[lo : lo + LINES])}" for lo in range(0, len(lines), LINES)]))
+        other = self.encoded([f" {x}" for x, p in zip(own, plain.tolist(), strict=True) if not p])
+        counts = np.empty(len(own), np.int64)
+        counts[plain] = np.diff(np.flatnonzero(self.spaced[joined]), append=len(joined))
         counts[~plain] = [len(x) for x in other]
-        ends = np.cumsum(counts)
-        values = np.empty(int(ends[-1]), np.int32)
-        own = np.repeat(plain, counts)
-        values[own] = joined
-        values[~own] = np.fromiter(chain.from_iterable(other), np.int32)
-        self.starts = np.concatenate([self.starts, self.starts[-1] + ends])
-        self.values = np.concatenate([self.values, values])
+        found = np.empty(int(counts.sum()), np.int32)
+        mask = np.repeat(plain, counts)
+        found[mask], found[~mask] = joined, _flat(other)
+        distinct = list(dict.fromkeys(stops))
+        ends = dict(zip(distinct, self.encoded(distinct), strict=True))
+        tails = [ends[x] for x in stops]
+        sizes, length = np.empty(len(new), np.int64), np.fromiter(map(len, tails), np.int64, len(tails))
+        sizes[~apart] = counts
+        before, known = np.array(base, np.int64), np.diff(self.starts)
+        sizes[apart] = np.concatenate([known, sizes])[before] + length
+        starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        values = np.empty(int(starts[-1]), np.int32)
+        values[: len(self.values)] = self.values
+        kept = np.repeat(~apart, sizes)
+        values[len(self.values) :][kept] = found
+        into = starts[first + np.array(at, np.int64)]
+        room = starts[before + 1] - starts[before]
+        values[_spans(into, room)] = values[_spans(starts[before], room)]
+        values[_spans(into + room, length)] = _flat(tails)
+        self.starts, self.values = starts, values
 
     def segments(self, texts: list[str]) -> Iterator[tuple[list[str], list[int]]]:
         """The texts in lists of about SEGMENT characters, and which text each comes from; a longer text in segments."""
@@ -187,7 +222,7 @@ class _Encoder:
             start = self.starts[piece]
             count = self.starts[piece + 1] - start
             ends = np.concatenate([[0], np.cumsum(count)])
-            ids = self.values[np.repeat(start - ends[:-1], count) + np.arange(ends[-1])]
+            ids = self.values[_spans(start, count)]
             places = ends[np.cumsum(sizes)].tolist()
             for n, head, (lo, hi) in zip(owner, heads, pairwise([0, *places]), strict=True):
                 out[n] += [np.array(head, np.int32), ids[lo:hi]]
@@ -295,8 +330,8 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """crc32 of each row's ids as little-endian unsigned integers in place of the ids, which are last."""
     for batch in batches:
         ids = batch.column(batch.num_columns - 1)
-        values, offsets = ids.values.to_numpy(zero_copy_only=False).astype("<u4"), ids.offsets.to_numpy()
-        crc = pa.array([zlib.crc32(values[a:b].tobytes()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], pa.int64())
+        values, offsets = ids.values.to_numpy().astype("<i4", copy=False), ids.offsets.to_numpy()
+        crc = pa.array([zlib.crc32(values[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], pa.int64())
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], crc], names=[*batch.schema.names[:-1], "crc"])
 
 

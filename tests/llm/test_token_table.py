@@ -29,7 +29,7 @@ def expected(library, rows):
 
 
 def texts(r, n):
-    bits = ["a", "don't", "été", "  ", " ", "\n", "\t ", " ", "  ", "12", "...", "<|endoftext|>", "漢字", "\x1c ", "\x85", "🙂", "we'll ", "'S"]
+    bits = ["a", "don't", "été", "  ", " ", "\n", "\t ", " ", "  ", "12", "...", "<|endoftext|>", "漢字", "\x1c ", "\x85", "🙂", "we'll ", "'S", "word. ", "Word, ", "word", "don't! ", "12. ", "é.. ", "漢. ", "_. ", "end.\n"]
     return [r.choice([None, "", " ", "one"]) if k % 11 == 0 else "".join(r.choice(bits) for _ in range(r.randint(1, 60))) for k in range(n)]
 
 
