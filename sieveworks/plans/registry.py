@@ -476,6 +476,29 @@ def latest_first_hit(spark, sf_dir):
     return first.select("conv_id", "t.role", "t.text")
 
 
+@query("""WITH h AS (SELECT conv_id % 17 AS search, max(conv_id) AS thread FROM conversations WHERE conv_id % 17 < 9 GROUP BY 1)
+SELECT CAST(search AS VARCHAR) AS search, CAST(thread AS VARCHAR) AS thread, turn AS pos, 'thread ' || thread AS thread_title, text FROM h JOIN conversations ON conv_id = thread WHERE trim(text) <> ''""")
+def dependent_threads(spark, sf_dir):
+    """Searches that each name conversations, the latest first, and the turns of the first hits, read from landed threads."""
+    import uuid
+
+    from ..runstate import shared_root
+
+    turns = table(spark, sf_dir, "conversations")
+    key = F.col("conv_id").cast("string")
+    path = landed.land_threads(turns.select(key.alias("thread"), F.col("turn").alias("pos"), F.col("turn").alias("id"), F.lit("").alias("created_at"), "text"), f"{shared_root(spark).rstrip('/')}/threads-{uuid.uuid4().hex}")
+    last = turns.where("conv_id % 17 < 9").groupBy((F.col("conv_id") % 17).cast("string").alias("search")).agg(F.array_sort(F.collect_set(-F.col("conv_id"))).alias("c"))
+    hits = F.transform("c", lambda c: F.struct((-c).cast("string").alias("objectID"), F.concat(F.lit("thread "), (-c).cast("string")).alias("title")))
+    return landed.dependent_items(last.select("search", F.to_json(F.struct(hits.alias("hits"))).alias("body")), path).select("search", "thread", "pos", "thread_title", "text")
+
+
+@query("SELECT conv_id AS pos, 'hn:all' AS source, 'https://news.ycombinator.com/item?id=' || conv_id || '-' || turn AS url, substring(" + _sql_strip("split_part(text, chr(10), 1)") + ", 1, 80) AS company, 'fractional' AS lane FROM conversations")
+def thread_map(spark, sf_dir):
+    """Turns as comments of a thread: what their first line says of the company."""
+    items = table(spark, sf_dir, "conversations").select(F.lit("all").alias("thread_title"), F.concat_ws("-", "conv_id", "turn").alias("id"), F.lit("").alias("created_at"), "text", F.col("conv_id").alias("pos"))
+    return normalize.thread_listings(items).select("pos", "source", "url", "company", "lane")
+
+
 #: The fixture's lanes: languages as categories.
 FIXTURE_LANES = {"western": Lane("western", "Western", "documents", "CRITERIA.md", {"en": "English", "fr": "French"}), "other": Lane("other", "Other", "more documents", "MORE.md", {"de": "German", "it": "Italian"})}
 

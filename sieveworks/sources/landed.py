@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import text as X
-from ..runstate import exists
+from ..runstate import exists, stored
 
 BOARD_ITEM = "struct<id:string,date:string,company:string,position:string,tags:array<string>,description:string,url:string>"
 JOB = "struct<id:string,title:string,text:string,absolute_url:string,jobUrl:string,hostedUrl:string,first_published:string,publishedAt:string,createdAt:string,content:string,descriptionPlain:string,description:string>"
@@ -72,6 +72,50 @@ def thread_items(spark: SparkSession, search_path: str, thread_path: str) -> Dat
     return rows.where(X.strip(F.coalesce("c.text", F.lit(""))) != "").select(F.col("pos").cast("long").alias("pos"), "thread_title", "c.*")
 
 
+#: Folders that landed threads are dealt to, and threads up to which their numbers become a filter of the read.
+THREAD_FOLDERS, NAMED_THREADS = 64, 10_000
+
+THREAD_ROW = "thread string, pos long, id string, created_at string, text string, folder int"
+
+
+def _folder(thread: str = "thread"):
+    return F.pmod(F.xxhash64(F.col(thread)), F.lit(THREAD_FOLDERS)).cast("int")
+
+
+def land_threads(comments: DataFrame, path: str) -> str:
+    """Comments (thread, pos, id, created_at, text) of many threads, in folders by thread, so that a read of some threads opens theirs only."""
+    rows = comments.select("thread", F.col("pos").cast("long").alias("pos"), F.col("id").cast("string").alias("id"), F.col("created_at").cast("string").alias("created_at"), "text", _folder().alias("folder"))
+    rows.repartition("folder").sortWithinPartitions("folder", "thread", "pos").write.partitionBy("folder").parquet(path)
+    return path
+
+
+def first_hits(searches: DataFrame) -> DataFrame:
+    """L4 of many searches: (search, thread, thread_title) of the hit that each answer (search, body) names first; answers without hits or that aren't JSON give none."""
+    hits = searches.select("search", F.posexplode(F.from_json("body", HITS)["hits"]).alias("k", "hit"))
+    return hits.groupBy("search").agg(F.min_by("hit", "k").alias("hit")).select("search", F.col("hit.objectID").alias("thread"), F.col("hit.title").alias("thread_title")).where("thread is not null")
+
+
+def dependent_items(searches: DataFrame, threads_path: str) -> DataFrame:
+    """S3 for many searches: the comments of the thread that each names first, read after the hits are known.
+
+    The hits are stored first.  While they name few threads, the threads' numbers
+    and folders are filters of the second read, so other folders are never opened
+    and other threads' row groups are skipped; beyond that the folders still are
+    pruned, by a join at run time.  A thread that several searches hit gives its
+    comments to each; one that isn't landed gives none; blank comments are left out.
+    """
+    spark = searches.sparkSession
+    hits = stored(first_hits(searches).withColumn("folder", _folder()), "hits")
+    wanted = hits.select("thread", "folder").distinct()
+    named = wanted.limit(NAMED_THREADS + 1).collect()
+    threads = spark.read.schema(THREAD_ROW).parquet(threads_path)
+    if len(named) <= NAMED_THREADS:
+        threads = threads.where(F.col("folder").isin(sorted({r.folder for r in named})) & F.col("thread").isin(sorted({r.thread for r in named})))
+        hits = F.broadcast(hits) if hits.count() <= NAMED_THREADS else hits
+    rows = threads.join(hits, ["folder", "thread"])
+    return rows.where(X.strip(F.coalesce("text", F.lit(""))) != "").select("search", "thread", "pos", "thread_title", "id", "created_at", "text")
+
+
 def companies(spark: SparkSession, path: str) -> DataFrame:
     """The company list, trimmed; none if the file is missing; a blank headcount is unknown, another than digits an error."""
     if not exists(spark, path):

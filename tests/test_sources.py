@@ -1,6 +1,7 @@
 """Landed files, live readers without a network, run state and the streaming pool."""
 
 import json
+import re
 import urllib.error
 
 import pytest
@@ -159,3 +160,18 @@ def test_a_failed_write_keeps_the_old_content(spark, tmp_path, monkeypatch):
 def test_a_failure_is_not_hidden_by_a_success(spark):
     rows = spark.createDataFrame([("a", "success", 1, 2), ("a", "failed", 2, 0), ("b", "skipped", 1, 0), ("b", "success", 1, 1)], "name string, status string, attempts int, count long")
     assert [tuple(r) for r in status.by_source(rows).orderBy("name").collect()] == [("a", "failed", 2, 2), ("b", "success", 1, 1)]
+
+
+def test_only_hit_threads_are_read(spark, tmp_path, monkeypatch):
+    comments = spark.createDataFrame([(str(t), k, f"{t}/{k}", "d", " " if k == 2 else f"text {t} {k}") for t in range(300) for k in range(4)], "thread string, pos long, id string, created_at string, text string")
+    path = landed.land_threads(comments, f"file://{tmp_path}/threads")
+    said = lambda *hits: json.dumps({"hits": [{"objectID": h, "title": f"T{h}"} for h in hits]})
+    searches = spark.createDataFrame([("a", said("7", "8")), ("b", said("7")), ("c", said()), ("d", "<html>"), ("e", said("999", "9")), ("f", said("250")), ("g", None)], "search string, body string")
+    want = sorted((s, t, k, f"T{t}", f"{t}/{k}") for s, t in (("a", "7"), ("b", "7"), ("f", "250")) for k in (0, 1, 3))
+    found = landed.dependent_items(searches, path)
+    assert sorted((r.search, r.thread, r.pos, r.thread_title, r.id) for r in found.collect()) == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*folder#\d+ IN \(", plan) and "PushedFilters: [In(thread" in plan
+    monkeypatch.setattr(landed, "NAMED_THREADS", 1)
+    assert sorted((r.search, r.thread, r.pos, r.thread_title, r.id) for r in landed.dependent_items(searches, path).collect()) == want
+    assert landed.dependent_items(searches.limit(0), path).count() == 0
