@@ -266,14 +266,15 @@ def neighbours(rows: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(scan, "a long, b long, h long, size int, pos int")
 
 
-def families(large: DataFrame) -> DataFrame:
+def families(large: DataFrame, percent: int) -> DataFrame:
     """(sig, component, family): the sets of large buckets (h, sig, size, component) whose bucket holds sets of another component and of like size, and the components that such buckets connect.
 
-    Sets that can link differ in size by at most one band, and each stands in
-    its own band and the next.  Buckets are aggregated by component first, so a
+    Sets that can link differ in size by at most one band, a factor of 100 /
+    percent, and each stands in its own band and the next.  Buckets are aggregated by component first, so a
     hot one is small.
     """
-    band = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(4 / 3)) + 1e-9).cast("int")
+    wide = F.log(F.lit(100 / min(percent, 99)))
+    band = F.floor(F.log(F.col("size").cast("double")) / wide + 1e-9).cast("int")
     rows = large.select("h", "sig", "component", F.explode(F.array(band, band + 1)).alias("band"))
     held = stored(rows.select("h", "band", "component").distinct(), "buckets")
     open_ = stored(held.groupBy("h", "band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("h", "band", "low"), "open")
@@ -468,7 +469,7 @@ def linked_sets(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataF
 
     large = found.where("b is null").select("h", F.col("a").alias("sig"), "size", "pos").join(labels.withColumnRenamed("node", "sig"), "sig", "left")
     large = large.withColumn("component", F.coalesce("component", "sig"))
-    kin = stored(families(large), "kin")
+    kin = stored(families(large, percent), "kin")
     each = members.where("size > 0").groupBy("sig").agg(F.any_value("parts").alias("parts"), F.any_value("size").alias("size"))
     pairs = stored(crossings(kin.join(each, "sig"), percent), "crossings")
     if not pairs.isEmpty():

@@ -59,6 +59,16 @@ def test_components_equal_brute_force(spark, docs, seed):
     assert got == brute(rows)
 
 
+@pytest.mark.parametrize("percent", [50, 90])
+def test_other_percentages_equal_brute_force(spark, docs, percent):
+    """Sets of 100 and 190 shingles, whose shared shingles stand in the prefixes of sets between."""
+    shared = [f"s{k}" for k in range(104)]
+    rows = [(1, " ".join(shared)), (2, " ".join(shared + [f"t{k}" for k in range(90)]))]
+    rows += [(10 + n, " ".join([f"u{n}x{k}" for k in range(30)] + shared[: 45 + n])) for n in range(40)] + corpus(9, families=4, copies=8)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in N.components(docs(rows), percent=percent).collect()), key=str)
+    assert got == brute(rows, percent=percent)
+
+
 def test_salted_buckets_and_blocks_lose_no_link(spark, docs, monkeypatch):
     rows = corpus(5, families=4, copies=40)
     monkeypatch.setattr(N, "BUSY", 1)
