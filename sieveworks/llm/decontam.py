@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 from .common import WordHashes, handed_out, plain_words, read_table, small, taken_in, windowed
 
 #: Each mask hashes the positions marked 1 and ignores the others, so that a substituted word between them does no harm.
-MASKS = ("11101011", "110110011", "1010011011", "11111")
+#: No row of 13 words or more with three equal words of four, and no stretch of 13 equal words that scores best, avoids all of MASKS;
+#: SHORT_MASKS do the same from 8 words on, with fewer words a seed.
+MASKS = ("111011", "1100001011", "111100001", "11111")
+SHORT_MASKS, SHORT_UNDER = ("11101", "100111", "1101001"), 13
 
 #: Bytes of benchmark text that one broadcast index may be built from; a larger benchmark is searched in several such blocks.
 BLOCK_BYTES = 8 << 20
@@ -37,8 +40,10 @@ class SeedIndex:
                 self.words.append(h)
             elif len(h):
                 short.setdefault(len(h), []).append((item_id, h))
-        owners = range(len(self.words))
-        self.seeds = [(_offsets(m), *_sorted_seeds([windowed(h, _offsets(m)) for h in self.words], owners)) for m in MASKS]
+        self.seeds = []
+        for masks, owners in ((MASKS, [k for k, h in enumerate(self.words) if len(h) >= SHORT_UNDER]), (SHORT_MASKS, [k for k, h in enumerate(self.words) if len(h) < SHORT_UNDER])):
+            if owners:
+                self.seeds += [(_offsets(m), *_sorted_seeds([windowed(self.words[k], _offsets(m)) for k in owners], owners)) for m in masks]
         #: For each length of shorter items their ids and words, and the hashes of the items as wholes.
         self.short = [(own, n, *_sorted_seeds([windowed(h, range(n)) for _, h in own], range(len(own)))[:2]) for n, own in sorted(short.items())]
 
@@ -150,8 +155,10 @@ def overlaps(documents: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_i
     the whole diagonal is compared, and the stretch that scores best (1 for an
     equal word, -2 for a substituted one) must hold min_match equal words, or
     min_cover of a shorter item; or the whole diagonal must hold min_cover of the
-    item.  Items under min_item_tokens words are too short for seeds; they are
-    found wherever all their words stand in a row.
+    item.  With the given min_match and min_cover, or higher ones, every such
+    overlap holds a seed, wherever its substituted words stand; with lower ones
+    some have none and are missed.  Items under min_item_tokens words are too short
+    for seeds; they are found wherever all their words stand in a row.
 
     The benchmark is the query set: it is indexed in blocks of bounded size, and
     every document is compared with every block in the map tasks, without a

@@ -1,13 +1,15 @@
+import itertools
+import math
 import random
 
+import pytest
+
 from sieveworks.llm import decontam
 from sieveworks.llm.common import plain_words
 
 
 def brute(docs, items, min_match=13, min_cover=0.75, least=8):
     """All diagonals of all pairs."""
-    import math
-
     out = set()
     for d, t in docs:
         w = plain_words(t)
@@ -54,8 +56,69 @@ def test_equals_brute_force_with_substitutions(spark, docs):
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = {(x.doc_id, x.item_id) for x in decontam.overlaps(docs(rows), bench).collect()}
     want = brute(rows, items)
-    # A substitution every few words may leave no whole seed; everything with two or fewer is found.
-    assert got <= want and {p for p in want - got} == set()
+    assert got == want
+
+
+def test_every_placement_of_the_permitted_substitutions_is_found(spark, docs):
+    items = [(n, " ".join(f"n{n}w{k}" for k in range(n))) for n in range(8, 17)]
+    rows = []
+    for n, text in items:
+        for subs in itertools.combinations(range(n), n // 4):
+            rows.append((n * 10_000 + len(rows), " ".join("other" if k in subs else w for k, w in enumerate(text.split()))))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(x.doc_id, x.item_id, x.matched) for x in decontam.overlaps(docs(rows), bench).collect()}
+    assert len(rows) > 3_000 and got == {(d, d // 10_000, d // 10_000 - d // 10_000 // 4) for d, _ in rows}
+
+
+def hit(word, n, masks):
+    """Whether the last of n places, as bits, ends a seed."""
+    return any(n >= len(m) and word & int(m, 2) == int(m, 2) for m in masks)
+
+
+@pytest.mark.parametrize("masks, least", [(decontam.MASKS, decontam.SHORT_UNDER), (decontam.SHORT_MASKS, 8)])
+def test_no_row_of_any_length_keeps_its_cover_without_a_seed(masks, least):
+    kept = (1 << max(map(len, masks)) - 1) - 1
+    most = {0: 0}  # equal words at most, by the last places
+    for n in range(1, 200):
+        after = {}
+        for state, equal in most.items():
+            for bit in (0, 1):
+                word = state << 1 | bit
+                if not hit(word, n, masks):
+                    after[word & kept] = max(after.get(word & kept, 0), equal + bit)
+        most = after
+        assert n < least or max(most.values()) < math.ceil(0.75 * n)
+
+
+def test_no_best_stretch_of_13_equal_words_is_without_a_seed():
+    masks = decontam.MASKS
+    kept = (1 << max(map(len, masks)) - 1) - 1
+    todo, seen = [(0, 0, 0, 0, 0)], set()
+    while todo:  # places, score, highest score before and equal words of every beginning of a best stretch
+        state, n, score, high, equal = todo.pop()
+        for bit in (0, 1):
+            word, now, count = state << 1 | bit, score + (1 if bit else -2), min(equal + bit, 13)
+            if now <= 0 or now > 40 or hit(word, n + 1, masks):
+                continue
+            assert count < 13 or now <= high
+            step = (word & kept, min(n + 1, 10), now, max(high, now), count)
+            if step not in seen:
+                seen.add(step)
+                todo.append(step)
+    assert seen
+
+
+def test_random_substitutions_equal_brute_force(spark, docs):
+    r = random.Random(21)
+    items = [(k, " ".join(r.choice("abcdefghijklmnopqrstuvwxyz") + str(r.randrange(9)) for _ in range(8 + k))) for k in range(24)]
+    rows = []
+    for d in range(300):
+        v = items[d % 24][1].split()
+        for k in r.sample(range(len(v)), r.randrange(0, len(v) // 3 + 1)):
+            v[k] = "other"
+        rows.append((d, " ".join(["start", *v, "end"][r.randrange(2) :])))
+    got = {(x.doc_id, x.item_id) for x in decontam.overlaps(docs(rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == brute(rows, items)
 
 
 def test_two_substitutions_near_an_end_and_short_items_inside_texts(spark, docs):
