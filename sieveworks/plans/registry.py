@@ -14,7 +14,7 @@ from ..functions import text as X
 from ..operators import chunks, dedupe, normalize, phrase, report, scoring, seen, status, verdicts
 from ..runstate import stored
 from ..sources import landed
-from ..streaming import pool
+from ..streaming import days, pool
 from ..vocab import RoleRules, SnippetRules, PhraseRules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -581,6 +581,38 @@ def stream_pool(spark, sf_dir):
     return store.read().select("key", "pos", "event_type", F.col("first_ingested").cast("string"))
 
 
+#: Every tenth event comes in nine days after its time; the events come in four batches of eight days.
+_SQL_ARRIVED = """(SELECT *, least(3, greatest(0, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) + CASE WHEN event_id % 10 = 0 THEN 9 ELSE 0 END) // 8) AS batch FROM events)"""
+
+
+def _arriving(spark, sf_dir):
+    """All events, landed batch by batch, each taken in by a run of the stream: (what it wrote, the events' schema)."""
+    import uuid
+
+    from ..runstate import shared_root
+
+    rows = table(spark, sf_dir, "events")
+    root = f"{shared_root(spark).rstrip('/')}/days-{uuid.uuid4().hex}"
+    after = F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")) + F.when(F.col("event_id") % 10 == 0, 9).otherwise(0)
+    batch = F.least(F.lit(3), F.floor(F.greatest(F.lit(0), after) / 8))
+    for b in range(4):
+        rows.where(batch == b).write.mode("append").parquet(f"{root}/landed")
+        days.count_days(spark.readStream.schema(rows.schema).parquet(f"{root}/landed"), f"{root}/out", f"{root}/state").awaitTermination()
+    return f"{root}/out", rows.schema
+
+
+@query(f"""WITH a AS {_SQL_ARRIVED}, m AS (SELECT b.batch, (SELECT max(ts) FROM a WHERE a.batch < b.batch) - INTERVAL 2 DAY AS mark FROM (SELECT unnest(range(5)) AS batch) b),
+k AS (SELECT event_id, CAST(ts AS DATE) AS day, coalesce(CAST(ts AS DATE) + INTERVAL 1 DAY <= mark, ts IS NULL) AS late FROM a JOIN m USING (batch))
+SELECT 'closed' AS kind, CAST(day AS VARCHAR) AS day, CAST(NULL AS BIGINT) AS event_id, count(*) AS records FROM k WHERE NOT late AND day + INTERVAL 1 DAY <= (SELECT mark FROM m WHERE batch = 4) GROUP BY day
+UNION ALL SELECT 'late', CAST(day AS VARCHAR), event_id, 1 FROM k WHERE late""")
+def stream_days(spark, sf_dir):
+    """The days that the watermark closed, and each event that came after its day had ended."""
+    out, schema = _arriving(spark, sf_dir)
+    closed = days.closed_days(spark, out).select(F.lit("closed").alias("kind"), F.col("day").cast("string"), F.lit(None).cast("long").alias("event_id"), "records")
+    late = days.late_records(spark, out, schema).select(F.lit("late").alias("kind"), F.to_date("ts").cast("string").alias("day"), "event_id", F.lit(1).cast("long").alias("records"))
+    return closed.unionByName(late)
+
+
 @query(ORACLE["consume_marker"])
 def pool_consumed(spark, sf_dir):
     """The marker of the records that a report used, set in the stored pool."""
