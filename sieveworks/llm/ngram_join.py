@@ -500,8 +500,9 @@ def components(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     Null and wordless texts have empty sets, are linked with nothing and keep
     their own id; a null id stays null and counts only if no other id is in its
-    component; rows with equal ids are separate documents; other columns are
-    ignored.
+    component; rows with equal ids are separate documents; other columns, whatever
+    their names, are ignored; an empty table gives no rows.  Texts of any length
+    are taken whole; the longest one's words are in a worker's memory at once.
     """
     members, labels = linked_sets(_plain(documents, doc_id, text), n, percent)
     own = members.where("size > 0").groupBy("sig").agg(F.min("doc_id").alias("low")).join(labels, "sig", "left")
@@ -517,7 +518,8 @@ def one_of_each(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "te
 
     The row with the smallest id stays (null counts as the largest), of equal
     ids that with the smallest hash of its text, of equal texts one.  Null and
-    wordless texts all stay.  Other columns may have any names.
+    wordless texts all stay.  Other columns may have any names; an empty table
+    stays empty; texts of any length are taken whole.
     """
     members, labels = linked_sets(_plain(documents, doc_id, text), n, percent)
     place = F.struct(F.col("doc_id").isNull().alias("null"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("text_hash").alias("hash"))

@@ -276,6 +276,9 @@ def round_trip(pages: DataFrame, *, page_id: str = "page_id", url: str = "url",
     is the response (several rows with that page_id all are), the others revisit
     it; null page_ids count as the smallest, and among such rows only, all are
     responses.  intact: the payload read matches the declared digest.
+    Repeated rows have a record each; other columns, whatever their names, are
+    ignored; an empty table gives no rows.  A payload of any size is written and
+    read in pieces; only the row of the page itself is in memory whole.
     """
     archives = write_archives(pages, shared_path(pages.sparkSession, "warc"), page_id=page_id, url=url, html=html, least_bytes=least_bytes)
     ends = read_archives(archives, with_data=False).where("last")

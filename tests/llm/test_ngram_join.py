@@ -127,3 +127,11 @@ def test_connected_components(spark):
         for a, b in edges:
             low[a] = low[b] = min(low[a], low[b])
     assert got == {n: c for n, c in low.items() if n in got} and set(got) == {n for a, b in edges if a != b for n in (a, b)}
+
+
+def test_very_long_texts_of_many_shingles_are_compared_whole(spark, docs):
+    words = [f"w{k}" for k in range(60_000)]
+    near, half = words[:-200] + [f"x{k}" for k in range(200)], words[:30_000] + [f"y{k}" for k in range(30_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(half)), (4, "a few words only here now")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.components(docs(rows)).collect()}
+    assert got == {1: (59_996, 1), 2: (59_996, 1), 3: (59_996, 3), 4: (2, 4)}

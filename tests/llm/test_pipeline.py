@@ -6,6 +6,7 @@ import corpus_pipeline as C
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from sieveworks.llm import bpe, ngram_join
 
@@ -65,3 +66,30 @@ def test_stages(spark, tables):
 
 def test_stage_names():
     assert [n for n, _ in C.STAGES] == ["toxicity", "line_dedup", "ngram_join", "decontamination", "byte_bpe"] and C.ORACLE_SQL is None and ngram_join
+
+
+def test_odd_rows_and_clashing_names_go_through_every_stage(spark, tables, tmp_path):
+    """Null and repeated ids, null, empty and very long texts, and columns named as the operators name their own."""
+    at, texts, _ = tables
+    r = random.Random(3)
+    words = [f"c{r.randrange(400)}" for _ in range(50_000)]
+    long, near = " ".join(words), " ".join(["edited" if k == 40_000 else w for k, w in enumerate(words)])
+    odd = [(None, "only a null id here with words of its own"), (7, "another text under an id that is taken by one before"), (800, long), (801, near), (802, "  \n "), (803, None)]
+    docs = C.read_table(spark, at, "documents").unionByName(spark.createDataFrame([(i, t, None, None, None) for i, t in odd], "doc_id long, text string, lang string, source string, n_chars long"))
+    docs = docs.withColumns({"sig": F.lit(1), "h": F.lit("h"), "score": F.lit(0.5), "key": F.lit("k"), "_id": F.lit(2), "lines_removed": F.lit(3), "size": F.lit(4)})
+    for name, stage in C.STAGES[:-1]:
+        out = C.stored(stage(spark, docs, at), name)
+        assert out.columns == docs.columns and out.where("sig != 1 or h != 'h' or score != 0.5 or key != 'k' or _id != 2 or lines_removed != 3 or size != 4").isEmpty()
+        docs = out
+        assert odd[2] in {(r.doc_id, r.text) for r in docs.where("doc_id = 800").collect()}, name
+    kept = {(r.doc_id, r.text) for r in docs.collect()}
+    assert {odd[0], odd[1], odd[2], odd[4], odd[5]} <= kept and 801 not in {i for i, _ in kept}
+    last = C.STAGES[-1][1](spark, docs, at).collect()
+    assert len(last) == len(docs.collect()) and {r.n_tokens for r in last if r.doc_id in (600, 601, 803)} == {0}
+
+
+def test_empty_tables_give_no_rows(spark, tables, tmp_path):
+    at, _, _ = tables
+    for name in ("documents", "labels", "benchmark"):
+        C.read_table(spark, at, name).limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert C.run(spark, str(tmp_path)).collect() == []

@@ -3,6 +3,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from sieveworks.llm import warc
 
@@ -76,3 +77,12 @@ def test_damage_is_an_error_and_empty_is_empty(spark, tmp_path):
     with pytest.raises(Exception, match="ends within|Error|no record"):
         warc.read_archives(archives).collect()
     assert warc.round_trip(pages(spark, [(1, "u", "x")]).limit(0)).count() == 0
+
+
+def test_clashing_columns_repeated_rows_and_a_null_id(spark):
+    long = "x" * 1_500
+    data = [(1, "http://a/1", long, "d", 1), (3, "http://a/3", long, "d", 2), (3, "http://a/3", long, "d", 2), (None, None, "short", "d", 3), (5, None, None, "d", 4)]
+    pages = spark.createDataFrame(data, "page_id long, url string, html string, digest string, row long").withColumns({"chunk_no": F.lit(1), "archive": F.lit("a"), "data": F.lit("b"), "last": F.lit(True)})
+    got = sorted(((r.page_id, r.payload_bytes, r.record_type, r.refers_to, r.intact) for r in warc.round_trip(pages).collect()), key=str)
+    want = [(1, 1_500, "revisit", 3, True), (3, 1_500, "response", None, True), (3, 1_500, "response", None, True), (None, 5, "response", None, True), (5, 0, "response", None, True)]
+    assert got == sorted(want, key=str)
