@@ -43,8 +43,8 @@ IMPLIED = {
 # The deepest nesting that browsers build, and the standard's largest spans.
 DEPTH, SPAN, ROWS = 512, 1000, 65534
 
-#: A table whose padding would have more characters than this many for each of its text, and the second number besides, is not padded.
-PAD_EACH, PAD_FREE = 64, 1 << 16
+#: A line of a table cell that is longer stands out of its column, and the columns that a cell or gap spans count for no more together, besides their bars.
+COLUMN = 256
 
 _MARKUP = re.compile(r"""<!--(?:>|->|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|</?([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|</?([A-Za-z][^\s/>]*)([^>]*)>|</[^A-Za-z>][^>]*>""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
@@ -384,23 +384,21 @@ class Renderer:
                     taken.update({(r + d, col + k): True for k in range(span)})
                 cells.append((col, span, inner.done or [""], c.attrs.get("align", "").lower()))
                 if span == 1:
-                    widths[col] = max(widths.get(col, 0), max(map(len, inner.done), default=0))
+                    widths[col] = max(widths.get(col, 0), max((n for n in map(len, inner.done) if n <= COLUMN), default=0))
                 col += span
             grid.append(cells)
-        held = sum(len(line) for cells in grid for *_, lines, _ in cells for line in lines)
-        tall = sum(max((len(lines) for *_, lines, _ in cells), default=0) for cells in grid)
-        if tall * sum(widths.values()) > PAD_EACH * held + PAD_FREE:
-            widths = {}
         for cells in grid:
             if not any(line.strip() for *_, lines, _ in cells for line in lines):
                 continue
             for k in range(max(len(lines) for *_, lines, _ in cells)):
                 parts, col = [], 0
                 for at, span, lines, align in cells:
+                    left = COLUMN
                     while col < at:
-                        parts.append(" " * widths.get(col, 0))
+                        parts.append(" " * min(left, widths.get(col, 0)))
+                        left -= len(parts[-1])
                         col += 1
-                    width = sum(widths.get(at + j, 0) for j in range(span)) + 3 * (span - 1)
+                    width = min(COLUMN, sum(widths.get(at + j, 0) for j in range(span))) + 3 * (span - 1)
                     text = lines[k] if k < len(lines) else ""
                     parts.append(text.rjust(width) if align == "right" else text.center(width) if align == "center" else text.ljust(width))
                     col = at + span
@@ -425,8 +423,9 @@ def rendered(pages: DataFrame, *, page_id: str = "page_id", html: str = "html")
     media and the like, nor below hidden, display:none, or visibility:hidden or
     collapse unless set visible again; other declarations change nothing.  Blocks start lines, margins of paragraphs, lists,
     tables and headings are one blank line, list items carry marks or numbers
-    and hanging indents, table cells are padded into columns (spans included)
-    unless that takes over 64 times the table's text, pre keeps its white space.
+    and hanging indents, table cells are padded into columns (spans included) of
+    up to COLUMN characters, whatever the table's size, longer lines stand out of
+    theirs, pre keeps its white space.
     Whole pages are read, however long, each in memory; elements nested over 512
     deep become siblings, as in browsers, with their text kept.  Null and empty
     pages give an empty text; repeated rows are rendered each; a null id stays

@@ -113,3 +113,14 @@ def test_frame(spark):
     df = spark.createDataFrame([(1, "<p>a", "u", 3), (1, "<p>a", "u", 3), (None, None, None, None), (2, "", "u", 1)], "page_id long, html string, url string, text int")
     assert sorted(map(tuple, rendered(df).collect()), key=str) == [(1, "a", 1, 1), (1, "a", 1, 1), (2, "", 0, 0), (None, "", 0, 0)]
     assert rendered(df.limit(0)).count() == 0
+
+
+def test_a_table_is_laid_out_alike_at_every_length():
+    """Rows of the same widths stand alike, however many there are and however long another cell is."""
+    head = "<tr><td>aa<td>b<td>c<tr><td>a<td>" + "b" * 250 + "<td>c"
+    few, many = (render(f"<table>{head}" + "<tr><td>x<td>y<td>z" * n + "</table>").split("\n") for n in (2, 20_000))
+    assert few[2] == "x  | y" + " " * 249 + " | z" and set(many[2:]) == {few[2]}
+    long = render("<table><tr><td>" + "w" * 100_000 + "<td>b" + "<tr><td>cc<td>d<tr><td>c<td>d" * 500 + "</table>").split("\n")
+    assert long[1:3] == ["cc | d", "c  | d"]
+    spans = render("<table><tr>" + "".join(f"<td>{'v' * 200}" for _ in range(30)) + "<tr><td colspan=29>s<td>t</table>").split("\n")
+    assert spans[1] == "s" + " " * (255 + 3 * 28) + " | t"
