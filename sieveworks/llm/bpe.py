@@ -21,7 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, give_back, heap_back, read_table, removed, shared_path, stored, units
+from .common import arrow_batches, executors_back, give_back, heap_back, read_table, removed, shared_path, stored, units
 
 #: Longer words are merged with a heap: the fold's work grows with the square of a word's bytes.
 FOLD_BYTES = 48
@@ -444,6 +444,7 @@ def encoded(documents: DataFrame, path: str, *, pattern: str = public_tokenizers
     """
     spark, ranks = documents.sparkSession, read_ranks(path)
     heap_back(spark)
+    executors_back(spark)
     docs, root, table = in_blocks(documents, doc_id, text), shared_path(spark, "words"), _rank_map(path, os.stat(path).st_mtime_ns)
     by_word = distinct_words(docs.select("text", "block"), pattern).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word")
     # The block is kept on both sides of the join so that they read one exchange.
@@ -452,8 +453,10 @@ def encoded(documents: DataFrame, path: str, *, pattern: str = public_tokenizers
         by_word.join(own, "word").select("block", "word", "ids").repartition("block").write.partitionBy("block").parquet(root)
 
     held = spark.sparkContext.broadcast(ranks)  # of the size of the vocabulary
+    del by_word, own
     give_back()
     heap_back(spark)
+    executors_back(spark)
 
     def scan(batches):
         encoder, own = Encoder(pattern, held.value), None

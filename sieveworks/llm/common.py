@@ -95,6 +95,12 @@ def removed(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def discarded(df: DataFrame) -> None:
+    """Deletes a table of stored() that nothing reads any more."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        removed(df.sparkSession, path)
+
+
 def give_back() -> None:
     """Returns a Python process's freed memory to the system, after a training or a task of a worker that others follow in."""
     gc.collect()
@@ -105,9 +111,17 @@ def give_back() -> None:
 
 def heap_back(spark: SparkSession) -> None:
     """A collection of the driver's heap: Spark then drops shuffles and broadcasts that nothing refers to any more, and free memory goes back to the system."""
+    gc.collect()  # Python's hold on them goes first
     spark._jvm.System.gc()
 
 
+def executors_back(spark: SparkSession) -> None:
+    """The same on the executors, before a step that takes much memory: a small task for each of their cores."""
+    cores = spark.sparkContext.defaultParallelism
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):  # there heap_back() has done it
+        spark.range(0, cores, 1, cores).select(F.expr("java_method('java.lang.System', 'gc')")).write.format("noop").mode("overwrite").save()
+
+
 def small(batches: Iterator[pa.RecordBatch], text: int | str, limit: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about limit bytes of the column text, a row at least."""
     for batch in batches:

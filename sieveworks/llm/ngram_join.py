@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, connected_components, free, handed_out, mixed, read_table, small, stored, taken_in, windowed
+from .common import WordHashes, connected_components, discarded, executors_back, free, give_back, handed_out, heap_back, mixed, read_table, small, stored, taken_in, windowed
 
 #: Slots of the table of shingle frequencies; 4 bytes each are broadcast, at any size of the input.
 SLOTS = 1 << 22
@@ -27,6 +27,9 @@ SALTS, FIELD = 128, 28
 #: Bits of the suffix filter's hash ranges, and a count in one that may be more.
 MIN_BITS, MAX_BITS, OPEN = 6, 14, 65_535
 
+#: Rows of a bucket up to which its sets are paired by shared places; the sets of larger ones meet by family.
+PAIRED = 32
+
 #: Sets and shingles of a family that meet in one block, and bits of a Bloom filter at most.
 FAMILY_ROWS, FAMILY_SHINGLES, BLOOM_BITS = 2000, 1 << 20, 1 << 26
 
@@ -126,6 +129,8 @@ def surveyed(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
         rows = table.reshape(-1, SLICE)
         for i in np.flatnonzero(rows.any(1)).tolist():
             yield _survey([[None], [None], [None], [None], [None], [i], [zlib.compress(np.minimum(rows[i], 2**32 - 1).astype("<u4").tobytes(), 1)]])
+        hashes = table = rows = got = slots = None
+        give_back()
 
     def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLICE, np.int64)
@@ -152,21 +157,25 @@ def prefix_length(size: int, percent: int) -> int:
     return size - (-(-percent * size // 100)) + 1
 
 
-def prefixes(docs: DataFrame, table: np.ndarray, n: int, percent: int) -> DataFrame:
+def prefixes(docs: DataFrame, members: DataFrame, table: np.ndarray, n: int, percent: int) -> DataFrame:
     """(h, m, sig): the rarest shingles of each distinct set, as many as the threshold asks for.
 
     h holds the upper 40 bits of the hash (a shared place is only a candidate),
-    m packs a salt, the set's size and the shingle's place in the prefix.  Copies
-    of a set in one task are passed over; those of other tasks give equal rows.
+    m packs a salt, the set's size and the shingle's place in the prefix.  Of the
+    copies of a set that with the smallest id stands for all, by a Bloom filter;
+    what passes it besides gives equal rows, which neighbours() takes once.
     Shingles of very busy slots are dealt out by a salt from 1 on.
     """
     held = docs.sparkSession.sparkContext.broadcast(table)  # 4 * SLOTS bytes
     busy = max(BUSY, 8 * int(table.mean(dtype=np.float64)))
+    first = members.where("size > 0").groupBy("sig").agg(F.min("doc_id").alias("doc_id"))
+    owners = handed_out(docs.sparkSession, bloom_of(first.select(F.coalesce("doc_id", F.lit(0)).alias("key"))))
 
     def scan(batches):
-        hashes, counts, seen = WordHashes(), held.value, set()
+        hashes, counts, bloom, seen = WordHashes(), held.value, taken_in(owners), set()
         for batch in small(batches, "text"):
             out = []
+            batch = batch.filter(pa.array(bloom.has(batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False))))
             for s, g in _sets(batch, hashes, n):
                 if not len(s) or g in seen:
                     continue
@@ -180,10 +189,12 @@ def prefixes(docs: DataFrame, table: np.ndarray, n: int, percent: int) -> DataFr
             cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.empty(0, np.int64)] * 3
             for i in range(0, len(cols[0]), 1 << 18):
                 yield pa.RecordBatch.from_arrays([pa.array(c[i : i + (1 << 18)]) for c in cols], names=["h", "m", "sig"])
+        hashes = counts = bloom = seen = out = cols = None
+        give_back()
 
-    rows = docs.select("text").mapInArrow(scan, "h long, m long, sig long")
+    rows = docs.select("doc_id", "text").mapInArrow(scan, "h long, m long, sig long")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(parts, "h", F.shiftright("m", 2 * FIELD)).sortWithinPartitions("h", F.shiftright("m", FIELD), "sig")
+    return rows.repartition(parts, "h", F.shiftright("m", 2 * FIELD)).sortWithinPartitions("h", F.shiftright("m", FIELD), "sig", "m")
 
 
 def _possible(size, pos, size2, pos2, percent: int) -> np.ndarray:
@@ -202,11 +213,18 @@ def neighbours(rows: DataFrame, percent: int) -> DataFrame:
 
     In a bucket, the sets with one shingle and salt, every set is paired with
     the one before it and with the first, which are all pairs of up to three.
-    Rows of larger buckets, and salted ones, are handed on as well.  Memory
-    doesn't grow with a bucket.
+    Rows of larger buckets, and salted ones, are handed on as well.  Equal rows,
+    of copies of a set, count as one.  Memory doesn't grow with a bucket.
     """
-    def unpacked(batch):
+    def unpacked(batch, last):
         h, m, sig = _columns(batch, ["h", "m", "sig"])
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (m[1:] != m[:-1]) | (sig[1:] != sig[:-1])
+        if last and len(h):
+            new[0] = last[0] != (h[0], m[0], sig[0])
+        if len(h):
+            last[:] = [(h[-1], m[-1], sig[-1])]
+        h, m, sig = h[new], m[new], sig[new]
         return h, m >> 2 * FIELD, m >> FIELD & (1 << FIELD) - 1, sig, m & (1 << FIELD) - 1
 
     def scan(batches):
@@ -259,13 +277,38 @@ def neighbours(rows: DataFrame, percent: int) -> DataFrame:
                 out.append(pa.RecordBatch.from_arrays([pa.array(sig[large]), pa.nulls(int(large.sum()), pa.int64()), pa.array(h[large]), pa.array(size[large].astype(np.int32)), pa.array(pos[large].astype(np.int32))], names=["a", "b", "h", "size", "pos"]))
             return out
 
+        last = []
         for batch in batches:
-            yield from work([np.concatenate(c) for c in zip(pending, unpacked(batch), strict=True)], False) or ()
+            yield from work([np.concatenate(c) for c in zip(pending, unpacked(batch, last), strict=True)], False) or ()
         yield from work(pending, True) or ()
 
     return rows.mapInArrow(scan, "a long, b long, h long, size int, pos int")
 
 
+def opened(large: DataFrame) -> DataFrame:
+    """The rows (h, sig, size, pos, component) of buckets with sets of several components, and n, the rows of each bucket."""
+    buckets = large.groupBy("h").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+    return large.join(buckets.where("low < high").select("h", "n"), "h")
+
+
+def sharing(rows: DataFrame, percent: int) -> DataFrame:
+    """From rows of opened(), of buckets of up to PAIRED rows each: the pairs (a, b) of different components that share as many places of their prefixes as they must.
+
+    Of two sets that link, all shared shingles but those that stand behind the
+    prefix of one of them stand in both prefixes, so links of sets of like size
+    share many.  That holds for pairs that share no place elsewhere: those of
+    smaller buckets have been compared, those of larger ones meet by family.
+    """
+    a, b = (rows.select("h", *(F.col(c).alias(k + c) for c in ("sig", "size", "pos", "component"))) for k in "ab")
+    low, high = F.least("asize", "bsize"), F.greatest("asize", "bsize")
+    need = F.ceil(percent * (F.col("asize").cast("long") + F.col("bsize")) / (100 + percent))
+    possible = F.least(F.col("asize") - F.col("apos"), F.col("bsize") - F.col("bpos")) + F.least("apos", "bpos") >= need
+    both = a.join(b, "h").where(F.col("asig") < F.col("bsig")).where("acomponent <> bcomponent").where((100 * low.cast("long") >= percent * high.cast("long")) & possible)
+    counted = both.groupBy(F.col("asig").alias("a"), F.col("bsig").alias("b"), "asize", "bsize").agg(F.count("*").alias("n"))
+    behind = lambda size: F.ceil(percent * F.col(size).cast("long") / 100) - 1
+    return counted.where(F.col("n") >= need - F.greatest(behind("asize"), behind("bsize"))).select("a", "b")
+
+
 def families(large: DataFrame, percent: int) -> DataFrame:
     """(sig, component, family): the sets of large buckets (h, sig, size, component) whose bucket holds sets of another component and of like size, and the components that such buckets connect.
 
@@ -427,6 +470,8 @@ def sets_of(docs: DataFrame, members: DataFrame, sigs: DataFrame, n: int) -> Dat
             for i in range(0, len(got), 500):
                 part = got[i : i + 500]
                 yield pa.RecordBatch.from_arrays([pa.array([g for g, _ in part], pa.int64()), pa.array([s for _, s in part], pa.binary())], names=["sig", "shingles"])
+        hashes = bloom = seen = own = got = part = None
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(scan, "sig long, shingles binary").join(sigs, "sig").dropDuplicates(["sig"])
 
@@ -461,20 +506,47 @@ def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, n: int, perc
 
 
 def linked_sets(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """The rows of surveyed(), and (sig, component) of the sets that have a link."""
+    """The rows of surveyed(), and (sig, component) of the sets that have a link.
+
+    What is read no more, tables and shuffles, goes as soon as the next step is written.
+    """
+    spark = docs.sparkSession
+    executors_back(spark)
     members, table = surveyed(docs, n)
-    found = stored(neighbours(prefixes(docs, table, n, percent), percent), "neighbours")
-    links = stored(verified(stored(plausible(found.where("b is not null"), members, percent), "pairs"), docs, members, n, percent), "links")
+    heap_back(spark)
+    found = stored(neighbours(prefixes(docs, members, table, n, percent), percent), "neighbours")
+    del table
+    heap_back(spark)
+    executors_back(spark)
+    pairs = stored(plausible(found.where("b is not null"), members, percent), "pairs")
+    heap_back(spark)
+    links = stored(verified(pairs, docs, members, n, percent), "links")
+    heap_back(spark)
     labels = connected_components(links, "labels")
 
     large = found.where("b is null").select("h", F.col("a").alias("sig"), "size", "pos").join(labels.withColumnRenamed("node", "sig"), "sig", "left")
-    large = large.withColumn("component", F.coalesce("component", "sig"))
-    kin = stored(families(large, percent), "kin")
+    large = stored(opened(large.withColumn("component", F.coalesce("component", "sig"))), "large")
+    discarded(found)
+    heap_back(spark)
+
+    near = stored(plausible(sharing(large.where(F.col("n") <= PAIRED), percent).join(pairs, ["a", "b"], "left_anti"), members, percent), "sharing")
+    discarded(pairs)
+    more = not near.isEmpty()
+    if more:
+        links = stored(links.union(verified(near, docs, members, n, percent)), "links")
+    heap_back(spark)
+    kin = stored(families(large.where(F.col("n") > PAIRED), percent), "kin")
+    discarded(large)
+    heap_back(spark)
     each = members.where("size > 0").groupBy("sig").agg(F.any_value("parts").alias("parts"), F.any_value("size").alias("size"))
-    pairs = stored(crossings(kin.join(each, "sig"), percent), "crossings")
-    if not pairs.isEmpty():
-        links = stored(links.union(verified_in_blocks(pairs, kin, docs, members, n, percent)), "links")
+    crossed = stored(crossings(kin.join(each, "sig"), percent), "crossings")
+    heap_back(spark)
+    if not crossed.isEmpty():
+        links, more = stored(links.union(verified_in_blocks(crossed, kin, docs, members, n, percent)), "links"), True
+    if more:
         labels = connected_components(links, "labels")
+    discarded(crossed)
+    heap_back(spark)
     return members, labels.select(F.col("node").alias("sig"), "component")
 
 
@@ -493,10 +565,11 @@ def components(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     All pairs of a bucket are not made at once: first each set meets its
     neighbours there, pairs that pass the length, positional and suffix filters
-    are verified, and links give components; then every pair of different
-    components that larger buckets bring together is verified too if it passes
-    the length and suffix filters.  A pair left out is connected already, so the
-    components are exact.
+    are verified, and links give components; then pairs of different components
+    that larger buckets bring together are verified too: in buckets of up to
+    PAIRED sets those that share enough of their prefixes, beyond it all that
+    pass the length and suffix filters.  A pair left out is connected already or
+    can't link, so the components are exact.
 
     Null and wordless texts have empty sets, are linked with nothing and keep
     their own id; a null id stays null and counts only if no other id is in its

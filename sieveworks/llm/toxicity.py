@@ -243,6 +243,8 @@ def accepted(documents: DataFrame, net: Network, *, text: str = "text", limit: f
         net, words = taken_in(held), Vocabulary()
         for batch in small(batches, at):
             yield batch.filter(pa.array([s < limit for s in _scores(net, words, batch.column(at).to_pylist())], pa.bool_()))
+        net = words = None
+        give_back()
 
     return documents.mapInArrow(keep, documents.schema)
 

@@ -1,3 +1,4 @@
+import os
 import random
 
 import numpy as np
@@ -135,3 +136,40 @@ def test_very_long_texts_of_many_shingles_are_compared_whole(spark, docs):
     rows = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(half)), (4, "a few words only here now")]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.components(docs(rows)).collect()}
     assert got == {1: (59_996, 1), 2: (59_996, 1), 3: (59_996, 3), 4: (2, 4)}
+
+
+@pytest.mark.parametrize("paired", [0, 4, 10_000])
+def test_pairs_and_families_of_buckets_lose_no_link(spark, docs, monkeypatch, paired):
+    """All large buckets by family, some, and none."""
+    rows = corpus(6, families=5, copies=40)
+    monkeypatch.setattr(N, "PAIRED", paired, raising=False)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in N.components(docs(rows)).collect()), key=str) == brute(rows)
+
+
+def test_places_shared_by_chance_make_no_family(spark, docs, monkeypatch):
+    """Texts that each share a passage with some others are not compared all with all."""
+    met, crossings = [], N.crossings
+    monkeypatch.setattr(N, "crossings", lambda members, percent: met.append(members.count()) or crossings(members, percent))
+    r, texts = random.Random(8), [[] for _ in range(60)]
+    for p in range(100):  # passages of twenty words, each in six texts
+        for i in r.sample(range(60), 6):
+            texts[i] += [f"p{p}x{k}" for k in range(20)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in N.components(docs(rows)).collect()), key=str) == brute(rows)
+    assert met == [0]
+
+
+def test_copies_of_a_set_are_joined_once_and_tables_go(spark, docs, monkeypatch):
+    text = [" ".join(f"v{i}x{k}" for k in range(60)) for i in range(5)]
+    df = docs([(100 * c + i, t) for c in range(9) for i, t in enumerate(text)]).repartition(9)
+    found, stored = {}, N.stored
+
+    def counted(df, tag):
+        made = stored(df, tag)
+        found.setdefault(tag, (made.count(), made.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]))
+        return made
+
+    monkeypatch.setattr(N, "stored", counted)
+    assert {r.component_id for r in N.components(df).collect()} == set(range(5))
+    assert found["neighbours"][0] == 0  # no bucket has two sets
+    assert [os.path.exists(found[tag][1]) for tag in ("survey", "neighbours", "pairs", "large", "crossings")] == [True, False, False, False, False]
