@@ -196,3 +196,79 @@ def test_fixtures_on_their_held_out_folds(spark, sf):
         got = op(spark, f"/root/testdata/{sf}").where("held_out").join(labels.select("doc_id", F.col(column).alias("y")), "doc_id").collect()
         hit, false, missed = (sum(1 for r in got if (r.predicted, r.y) == p) for p in ((1, 1), (1, 0), (0, 1)))
         assert hit / (hit + false) > 0.7 and hit / (hit + missed) > 0.6, (sf, column, hit, false, missed)
+
+
+@pytest.fixture(scope="module")
+def many(spark):
+    """More labelled documents than any training sample held; the last toxic ones, by the order samples were taken in, share an insult of their own."""
+    r = random.Random(8)
+    toxic = [i for i in range(8400) if i % 2]
+    learned = [i for i in toxic if fold(i, 5)]
+    order = [row.id for row in spark.createDataFrame([(i,) for i in learned], "id long").orderBy(F.xxhash64("id"), "id").collect()]
+    late = {*order[2500:], *(i for i in toxic if not fold(i, 5) and i % 4 == 1)}
+    rows = [(i, " ".join([*r.choices(["river", "stone", "the", "of", "green", "paper"], k=12), *(["blargh" if i in late else "idiot"] if i % 2 else [])])) for i in range(8400)]
+    return spark.createDataFrame(rows, "doc_id long, text string").cache(), spark.createDataFrame([(i, i % 2) for i in range(8400)], "doc_id long, toxic int").cache(), late
+
+
+def test_training_reads_every_labelled_document(many):
+    docs, labels, late = many
+    net = toxicity.train(docs, labels)
+    held = {r.doc_id: r.score >= 0.5 for r in toxicity.scored(docs, net).collect() if not fold(r.doc_id, 5)}
+    for own in ({i for i in held if i in late}, {i for i in held if i % 2 and i not in late}, {i for i in held if not i % 2}):
+        assert len(own) > 300 and np.mean([held[i] == bool(i % 2) for i in own]) > 0.95
+
+
+def test_networks_put_together_do_not_depend_on_partitions(many, monkeypatch):
+    docs, labels, _ = many
+    monkeypatch.setattr(toxicity, "FEW_TEXTS", 100)
+    docs = docs.where("doc_id < 600")
+    a, b = toxicity.train(docs.coalesce(1), labels), toxicity.train(docs.repartition(7, "text").union(docs.limit(50)), labels.repartition(5))
+    assert np.array_equal(a.embed, b.embed) and np.array_equal(a.out, b.out) and np.array_equal(a.threshold, b.threshold)
+
+
+def test_every_text_is_learned_from_in_its_shard_and_scored_by_the_other_half(many, spark, monkeypatch):
+    docs, labels, _ = many
+    rows = toxicity.labelled_words(docs, labels).withColumn("shard", F.pmod("doc_id", F.lit(5)))
+    counts = [rows.where(F.col("y") == y).count() for y in (0, 1)]
+    assert sum(counts) == sum(1 for i in range(8400) if fold(i, 5))
+    monkeypatch.setattr(toxicity, "ROUNDS", 1)
+    before = toxicity.put_together(rows, 5, counts)
+    after = toxicity.put_together(rows.withColumn("y", F.when(F.col("shard") == 2, 1 - F.col("y")).otherwise(F.col("y"))), 5, counts)
+    same = [np.array_equal(x.embed, y.embed) for x, y in zip(before, after, strict=True)]
+    assert same == [False, True, False]  # shard 2 is of half 0, which network 1 leaves out
+    word, stem = np.array([7]), np.array([toxicity.ROWS // 2 + 7])
+    packed = (word.astype(np.uint32) | stem.astype(np.uint32) << np.uint32(16)).tobytes()
+    one = spark.createDataFrame([(s, 0, 4, bytearray(packed)) for s in (2, 3)], "shard long, y int, lang int, words binary")
+    got = [r.logit for r in toxicity.out_of_half(one, before[1:]).orderBy(F.monotonically_increasing_id()).collect()]
+    assert sorted(got) == sorted(n.logit(word, stem) for n in before[1:])
+
+
+@pytest.mark.parametrize("kind", ["ties", "apart", "turned", "one class", "none"])
+def test_thresholds_from_counts_equal_those_from_all_logits(spark, kind):
+    r = np.random.default_rng(3)
+    n = 0 if kind == "none" else 400
+    y, langs = r.integers(0, 1 if kind == "one class" else 2, n), r.integers(0, 4, n)
+    langs[:10] = 4
+    logits = {"ties": np.round(r.normal(y, 1), 1), "apart": y * 3 + r.random(n), "turned": -9.0 * y}.get(kind, r.normal(0, 1, n))
+    rows = spark.createDataFrame([(int(k), float(v), int(c)) for k, v, c in zip(langs, logits, y, strict=True)], "lang int, logit double, y int")
+    net = toxicity.Network()
+    net.calibrate(logits, y, langs)
+    assert np.allclose(toxicity.thresholds(rows), net.threshold, atol=1e-12)
+
+
+def test_strides_end_where_the_text_ends(monkeypatch):
+    net, r = toxicity.Network(), np.random.default_rng(2)
+    for n in range(0, 30):
+        words, stems = r.integers(0, 1000, n), r.integers(20_000, 21_000, n)
+        whole = net.pooled(words, stems)[0]
+        with monkeypatch.context() as m:
+            m.setattr(toxicity, "STRIDE", 7)
+            assert np.allclose(whole, net.pooled(words, stems)[0], atol=1e-6) and np.isclose(net.logit(words, stems), whole @ net.out + net.shift[0], atol=1e-6)
+
+
+def test_marks_keep_every_labelled_text_and_few_others(spark):
+    texts = spark.range(-3000, 20_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    known = texts.where("doc_id % 3 = 0").select("doc_id")
+    kept = {r.doc_id for r in toxicity.maybe_among(texts, known).collect()}
+    want = {i for i in range(-3000, 20_000) if i % 3 == 0}
+    assert kept >= want and len(kept - want) < 20 and toxicity.maybe_among(texts, known.limit(0)).count() == 0
