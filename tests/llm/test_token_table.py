@@ -44,6 +44,32 @@ def test_pieces_have_the_same_ids(library, monkeypatch):
             assert ids.tolist() == [*library.encode(t, add_special_tokens=False).ids, tt.END], t
 
 
+def test_pieces_at_line_feeds_and_stops_have_the_same_ids(library, monkeypatch):
+    bits = ["\n", "\n\n", "\n\n\n", " \n", "\n ", " \n ", "\r\n", "\t\n", "\n\t", "word", "Word.\n", "it's", "'s", "dogs' ", "(so) ", "\"no.\" ", "a_b_ ", "__ ", "ªª. ", "µ, ", "ÿ\" ", "ɐ. ", "×! ", "12) ", "\x1c\n", "\u2028\n", "\u3000 ", "Ġ ", "Ċ\n", "***\n", "end"]
+    r = random.Random(9)
+    every = ["".join(r.choice(bits) for _ in range(r.randint(0, 40))) for _ in range(1500)] + ["", "\n", "\n\n", "a\n", "a\n\n", " \n", "\na", "a\nb", "a\n\nb", "a\n\n\nb", "a \nb", "a\n b"]
+    for segment, lines, words in ((5, 3, 40), (3000, 2, 100), (1 << 20, 64, 400_000)):
+        for name, value in (("SEGMENT", segment), ("LINES", lines), ("CACHE_PIECES", words)):
+            monkeypatch.setattr(tt, name, value)
+        with open(MODEL, encoding="utf-8") as f:
+            encoder = tt._Encoder(f.read())
+        for t, ids in zip(every, encoder.ids(every), strict=True):
+            assert ids.tolist() == [*library.encode(t, add_special_tokens=False).ids, tt.END], t
+
+
+def test_new_words_beside_line_feeds_and_stops_go_to_the_library_many_at_once(library):
+    r, given = random.Random(3), []
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(9))
+    every = [" ".join(f'{word()}.\n{word()} {word()}") {word()}***' for _ in range(500)) for _ in range(4)]
+    with open(MODEL, encoding="utf-8") as f:
+        encoder = tt._Encoder(f.read())
+    sent = encoder.encoded
+    encoder.encoded = lambda texts: given.extend(texts) or sent(texts)
+    for t, ids in zip(every, encoder.ids(every), strict=True):
+        assert ids.tolist() == [*library.encode(t, add_special_tokens=False).ids, tt.END]
+    assert len(given) < 200 and sum(map(len, given)) < 1.05 * 8000 * 10  # each word once, without the stops after it
+
+
 def test_crc_of_pieces():
     r = random.Random(1)
     for _ in range(50):
